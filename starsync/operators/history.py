@@ -71,10 +71,11 @@ def sync_lag(history: DataFrame, log: DataFrame, central: str) -> DataFrame:
     ).scalar()
 
     def below(field, value):
-        return F.size(F.filter(all_marks, lambda m: m[field] < value))
+        return F.size(F.filter("marks", lambda m: m[field] < value))
 
     classes = (
-        log.groupBy(
+        log.select("event_id", "tstamp_tx", all_marks.alias("marks"))
+        .groupBy(
             below("max_event_id", F.col("event_id")).alias("id_class"),
             below("max_tstamp_tx", F.col("tstamp_tx")).alias("time_class"),
         )
@@ -85,12 +86,13 @@ def sync_lag(history: DataFrame, log: DataFrame, central: str) -> DataFrame:
         )
     )
     past = F.filter(
-        all_marks,
+        "marks",
         lambda m: (m["max_event_id"] < F.col("event_id"))
         & (m["max_tstamp_tx"] < F.col("tstamp_tx")),
     )
     counted = (
-        classes.select("n", F.explode(past).alias("mark"))
+        classes.withColumn("marks", all_marks)
+        .select("n", F.explode(past).alias("mark"))
         .groupBy(F.col("mark.clone_id").alias("clone_id"))
         .agg(F.sum("n").alias("n_events"))
     )

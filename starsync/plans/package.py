@@ -27,6 +27,10 @@ MANIFEST = T.StructType([
 ])
 
 
+# Marks are compared to the microsecond; the default JSON format would cut them to milliseconds.
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 class PackageError(Exception):
     """The package cannot be made or must not be deployed."""
 
@@ -127,7 +131,7 @@ def package(store: Store, path: str, idents, central: str, now: datetime, uid="u
     }
     spark.createDataFrame(
         [tuple(manifest[f] for f in MANIFEST.names)], MANIFEST
-    ).coalesce(1).write.json(f"{path}/manifest")
+    ).coalesce(1).write.json(f"{path}/manifest", timestampFormat=TIME_FORMAT)
     tx.append(f"{central}/history", history_rows(spark, {
         "sync_id": manifest["sync_id"], "seq": 1, "sync_time": now, "server_from": central,
         "sync_type": H.FULL, "sync_status": H.PENDING, **bounds,
@@ -137,7 +141,9 @@ def package(store: Store, path: str, idents, central: str, now: datetime, uid="u
 
 
 def open_package(spark: SparkSession, path: str) -> Package:
-    row = spark.read.schema(MANIFEST).json(f"{path}/manifest").first()
+    row = spark.read.schema(MANIFEST).json(
+        f"{path}/manifest", timestampFormat=TIME_FORMAT
+    ).first()
     if row is None:
         raise PackageError(f"no package at {path}")
     return Package(path, row.asDict())
