@@ -71,27 +71,29 @@ def _is_misfit(schema: T.StructType, keys) -> Column:
     )
 
 
-def _classify(snapshot, changes, keys, local_keys):
-    """Changes with the outcome that does not depend on other changes (NULL: decided later)."""
-    noop = F.coalesce(F.col("noop"), F.lit(False)) if "noop" in changes.columns else F.lit(False)
-    missing_key = F.lit(False)
+def known_outcome(schema: T.StructType, keys, local_keys, has_noop=True) -> Column:
+    """The outcome of a change where it does not depend on other changes, else NULL."""
+    noop = F.coalesce(F.col("noop"), F.lit(False)) if has_noop else F.lit(False)
     for k in keys:
-        missing_key = missing_key | F.col(k).isNull()
+        noop = noop | F.col(k).isNull()
     is_update = F.col("action") == UPDATE
-    unknown = ~F.col("field").isin(snapshot.columns)
-    return changes.withColumn(
-        "_known",
+    return (
         F.when(
-            noop | missing_key | ~F.col("action").isin(INSERT, UPDATE, DELETE)
+            noop | ~F.col("action").isin(INSERT, UPDATE, DELETE)
             | (is_update & F.col("field").isin(list(local_keys))),
             NOOP,
         )
         .when(is_update & F.col("field").isin(list(keys)), KEY_UPDATE)
-        .when(is_update & (unknown | F.col("field").isNull()), BAD_VALUE)
-        .when(_is_misfit(snapshot.schema, [*keys, *local_keys]), BAD_VALUE),
+        .when(is_update & ~F.coalesce(F.col("field").isin(schema.names), F.lit(False)), BAD_VALUE)
+        .when(_is_misfit(schema, [*keys, *local_keys]), BAD_VALUE)
     )
 
 
+def _classify(snapshot, changes, keys, local_keys):
+    outcome = known_outcome(snapshot.schema, keys, local_keys, "noop" in changes.columns)
+    return changes.withColumn("_known", outcome)
+
+
 def _switch(column="action"):
     """The action when it may change whether the row exists, else NULL."""
     usable = F.col("_known").isNull() & F.col("action").isin(INSERT, DELETE)
@@ -268,7 +270,7 @@ def apply_effects(snapshot: DataFrame, effects: DataFrame, keys=("uid",), local_
         ],
         F.col("birth").alias("_birth"),
     )
-    if number_local:
+    if number_local and not inserted.isEmpty():
         for key in local_keys:
             inserted = assign_local_ids(inserted, key, snapshot, ["_birth", *keys])
     return kept.unionByName(inserted.select(*snapshot.columns))
@@ -281,6 +283,19 @@ def assign_local_ids(rows: DataFrame, column: str, target: DataFrame, order_by)
     return numbered.withColumn(column, F.col(column).cast(target.schema[column].dataType))
 
 
+def fold(known: DataFrame, key_rows: DataFrame, keys, slice_size=LOG_SLICE, keep=None):
+    """Statuses and net effects of classified changes.
+
+    ``key_rows`` holds the keys of the snapshot, or of many snapshots when the keys include the
+    table name: then one job folds the changes of all tables.
+    """
+    keep = keep or (lambda df, name: df)
+    existing = _touched_rows(key_rows, known, keys)
+    statuses = keep(_with_status(known, existing, keys, slice_size), "statuses")
+    effects = keep(_net_effects(known, statuses, existing, keys), "effects")
+    return statuses, effects
+
+
 def replay(snapshot: DataFrame, changes: DataFrame, keys=("uid",), local_keys=(),
            slice_size=LOG_SLICE, number_local=False, keep=None) -> Replay:
     """Apply changes to a snapshot in event order.
@@ -288,13 +303,10 @@ def replay(snapshot: DataFrame, changes: DataFrame, keys=("uid",), local_keys=()
     ``keep`` may name a function ``(df, name) -> df`` that stores an intermediate result, used for
     the statuses and the net effects; without it the plan stays lazy throughout.
     """
-    keep = keep or (lambda df, name: df)
     if "orig_micros" not in changes.columns:
         changes = changes.withColumn("orig_micros", F.lit(None).cast("long"))
     known = _classify(snapshot, changes, keys, local_keys)
-    existing = _touched_rows(snapshot, changes, keys)
-    statuses = keep(_with_status(known, existing, keys, slice_size), "statuses")
-    effects = keep(_net_effects(known, statuses, existing, keys), "effects")
+    statuses, effects = fold(known, snapshot, keys, slice_size, keep)
     after = apply_effects(snapshot, effects, keys, local_keys, number_local)
     return Replay(after, statuses, effects)
 
@@ -303,15 +315,20 @@ def failures(statuses: DataFrame) -> DataFrame:
     return statuses.filter(F.col("status").isin(*ERRORS))
 
 
-def replay_to_clone(snapshot: DataFrame, changes: DataFrame, keys=("uid",), local_keys=(),
-                    **options) -> Replay:
-    """All-or-nothing replay at a clone: any error aborts the batch.  Leaves no log rows."""
-    result = replay(snapshot, changes, keys, local_keys, **options)
-    failed = failures(result.statuses).select("event_id", "action", "status").limit(1).collect()
+def require_clean(statuses: DataFrame) -> None:
+    """Raise unless every change can be applied."""
+    failed = failures(statuses).select("event_id", "action", "status").limit(1).collect()
     if failed:
         raise ReplayError(
             f"event {failed[0].event_id} ({failed[0].action}): {failed[0].status}"
         )
+
+
+def replay_to_clone(snapshot: DataFrame, changes: DataFrame, keys=("uid",), local_keys=(),
+                    **options) -> Replay:
+    """All-or-nothing replay at a clone: any error aborts the batch.  Leaves no log rows."""
+    result = replay(snapshot, changes, keys, local_keys, **options)
+    require_clean(result.statuses)
     return result
 
 

@@ -7,7 +7,7 @@ centre also ``receipts``, ``history``, ``sync_tables``, ``relations`` and ``conf
 import hashlib
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from starsync import schemas
 from starsync.functions.exprs import CENTRAL, CLONE
 from starsync.operators import capture, compare, pending, replay, resolve
 from starsync.operators.history import DONE, PARTIAL, PENDING, fold_history
-from starsync.session import stage
+from starsync.session import run_all, stage
 from starsync.sources.store import Store
 
 
@@ -69,30 +69,45 @@ def log_edit(store: Store, node: str, ident: str, after: DataFrame, now: datetim
 
 
 def _replay_tables(store, tx, node, changes, idents, local_keys, uid, strict):
-    """Replay one side's survivors table by table (one job per table that has changes).
+    """Replay one side's survivors onto the tables of a node.
 
-    Returns per table the snapshot before, the statuses and the net effects.
+    The changes of all tables are folded together, keyed by table and uid; only the rewrite is
+    one job per changed table.  Returns the statuses, per table the snapshot before and its net
+    effects, and the rewrites still to be run.
     """
-    done = {}
-    for ident in idents:
-        name = table_name(node, ident)
-        mine = changes.filter(F.col("ident") == ident)
-        if name not in store:
-            statuses = mine.withColumn("status", F.when(
-                F.col("noop"), replay.NOOP).otherwise(replay.NO_TABLE))
-            if strict and not replay.failures(statuses).isEmpty():
-                raise replay.ReplayError(f"{node} has no table {ident}")
-            done[ident] = (None, statuses, None)
-            continue
-        before = store.read(name)
-        apply = replay.replay_to_clone if strict else replay.replay
-        result = apply(
-            before, mine, keys=(uid,), local_keys=tuple(local_keys.get(ident, ())),
-            number_local=True, keep=stage,
-        )
-        tx.overwrite(name, result.snapshot)
-        done[ident] = (before, result.statuses, result.effects)
-    return done
+    keys = ["ident", uid]
+    present = [i for i in idents if table_name(node, i) in store]
+    before = {i: store.read(table_name(node, i)) for i in present}
+    outcome = F.when(F.col("noop"), replay.NOOP)
+    for ident in present:
+        outcome = outcome.when(F.col("ident") == ident, replay.known_outcome(
+            before[ident].schema, [uid], local_keys.get(ident, ())))
+    absent = ~F.col("ident").isin(present)
+    known = changes.withColumn("_known", outcome).withColumn(
+        "_known", F.when(absent & F.col("_known").isNull(), replay.NO_TABLE)
+        .otherwise(F.col("_known"))
+    )
+    key_rows = _union([
+        df.select(F.lit(i).alias("ident"), uid) for i, df in before.items()
+    ]) if present else changes.select(*keys).limit(0)
+    statuses, effects = replay.fold(known, key_rows, keys, keep=_keep_by_table)
+    if strict:
+        replay.require_clean(statuses)
+    by_table = {
+        i: (before[i], effects.filter(F.col("ident") == i).drop("ident")) for i in present
+    }
+
+    def rewrite(ident):
+        old, mine = by_table[ident]
+        tx.overwrite(table_name(node, ident), replay.apply_effects(
+            old, mine, (uid,), tuple(local_keys.get(ident, ())), number_local=True))
+
+    return statuses, by_table, [partial(rewrite, i) for i in present]
+
+
+def _keep_by_table(df, name):
+    """Stage effects in one folder per table, so that each rewrite reads its own only."""
+    return stage(df, name, ["ident"] if name == "effects" else None)
 
 
 def _union(frames):
@@ -142,7 +157,6 @@ def synchronize(store: Store, clone: str, central: str, now: datetime, uid="uid"
     ).collect()  # three counts per table
     idents = {s: sorted(r["ident"] for r in per_table if r[s]) for s in (CENTRAL, CLONE)}
     n_conflicts = sum(r["conflicts"] for r in per_table)
-    n_failed = 0
     records = []
 
     def record(direction, server_from, server_to, b=None):
@@ -155,44 +169,59 @@ def synchronize(store: Store, clone: str, central: str, now: datetime, uid="uid"
         records.extend([base, {"sync_id": round_id, "seq": 2, "sync_status": DONE}])
         return round_id
 
-    # Centre to clone: all or nothing, no log rows at the clone.
-    if bounds["n_events"]:
-        round_id = record("down", central, clone, bounds)
-        _replay_tables(store, tx, clone, resolve.survivors(merged, CENTRAL), idents[CENTRAL],
-                       local_keys, uid, strict=True)
-        tx.append(f"{central}/receipts", replay.mark_replayed(from_central, clone, round_id))
-
-    # Clone to centre: change by change; failed events stay in the clone's log.
-    kept = clone_log.limit(0)
-    if idents[CLONE]:
-        round_id = record("up", clone, central)
-        outcome = _replay_tables(store, tx, central, resolve.survivors(merged, CLONE),
-                                 idents[CLONE], local_keys, uid, strict=False)
-        statuses = _union(s.select("event_id", "status") for _, s, _ in outcome.values())
-        n_failed = replay.failures(statuses).count()
-        kept = replay.retain_failed(clone_log, statuses)
-        effects = [
-            replay.effect_events(before, effects, ident, clone, (uid,), now)
-            for ident, (before, _, effects) in outcome.items() if effects is not None
-        ]
-        if effects:
-            events = _union(effects).withColumn(
-                "order_field", F.coalesce(F.map_keys("changed_fields")[0], F.lit(""))
-            )
-            events = capture.order_events(
+    down_id = record("down", central, clone, bounds) if bounds["n_events"] else None
+    up_id = record("up", clone, central) if idents[CLONE] else None
+
+    def down():
+        """Centre to clone: all or nothing, no log rows at the clone."""
+        _, _, rewrites = _replay_tables(
+            store, tx, clone, resolve.survivors(merged, CENTRAL), idents[CENTRAL], local_keys,
+            uid, strict=True)
+        receipts = replay.mark_replayed(from_central, clone, down_id)
+        run_all([*rewrites, lambda: tx.append(f"{central}/receipts", receipts)])
+
+    def up():
+        """Clone to centre: change by change; failed events stay in the clone's log."""
+        statuses, by_table, rewrites = _replay_tables(
+            store, tx, central, resolve.survivors(merged, CLONE), idents[CLONE], local_keys,
+            uid, strict=False)
+
+        def log_effects():
+            events = _union([
+                replay.effect_events(before, effects, ident, clone, (uid,), now)
+                for ident, (before, effects) in by_table.items()
+            ]).withColumn("order_field", F.coalesce(F.map_keys("changed_fields")[0], F.lit("")))
+            events = tx.append(f"{central}/log", capture.order_events(
                 events, ["order_key", "order_field"], retained=central_log
-            ).drop("order_key", "order_field")
-            events = tx.append(f"{central}/log", events)
+            ).drop("order_key", "order_field"))
             tx.append(
-                f"{central}/receipts", capture.provenance_receipts(events, central, round_id)
-            )
-    tx.overwrite(f"{clone}/log", kept)
+                f"{central}/receipts", capture.provenance_receipts(events, central, up_id))
 
-    if n_conflicts:
+        kept = replay.retain_failed(clone_log, statuses)
+        done = run_all([
+            lambda: replay.failures(statuses).count(),
+            lambda: tx.overwrite(f"{clone}/log", kept),
+            *([log_effects] if by_table else []),
+            *rewrites,
+        ])
+        return done[0]
+
+    def ledger():
         tx.append(f"{central}/conflicts", resolve.conflict_ledger(
             resolve.reconciled_conflicts(merged), clone, now, uid))
-    if records:
+
+    def history_entry():
         tx.append(f"{central}/history", history_rows(spark, *records))
+
+    # The two directions change different tables, and all their inputs are staged by now.
+    jobs = {
+        "up": up if up_id else lambda: tx.overwrite(f"{clone}/log", clone_log.limit(0)),
+        "down": down if down_id else None,
+        "ledger": ledger if n_conflicts else None,
+        "history": history_entry if records else None,
+    }
+    outcome = run_all([job for job in jobs.values() if job])
+    n_failed = outcome[0] if up_id else 0
     tx.commit(note=sync_id)
     return Round(
         sync_id=sync_id,

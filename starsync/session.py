@@ -7,7 +7,9 @@ local session that leaves the setting empty gets a temporary folder of its own.
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -41,7 +43,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by=None) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Cuts the lineage with a table in shared storage, so that several consumers read the same
@@ -49,5 +51,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def run_all(tasks, at_once=8) -> list:
+    """Submit independent Spark jobs together, so that small ones fill the gaps of large ones."""
+    tasks = list(tasks)
+    if len(tasks) < 2:
+        return [task() for task in tasks]
+    with ThreadPoolExecutor(min(at_once, len(tasks))) as pool:
+        inherit = inheritable_thread_target(SparkSession.active())
+        futures = [pool.submit(inherit(task)) for task in tasks]
+        return [f.result() for f in futures]

@@ -4,6 +4,7 @@ Maps and structs never leave a query; rows come out in long form, times as epoch
 """
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +13,7 @@ from starsync.functions import exprs
 from starsync.functions.exprs import CENTRAL, CLONE
 from starsync.functions.render import render_sql
 from starsync.operators import capture, compare, history, pending, registry, replay, resolve
-from starsync.session import stage, work_dir
+from starsync.session import run_all, stage, work_dir
 from starsync.sources.files import export_csv, export_sql, read_feature_collection
 from starsync.sources.store import Store, read_snapshot, write_snapshot
 from starsync.plans import package as packages
@@ -585,18 +586,20 @@ def _star(spark, sf, clones=(d.CLONE_A,), inserts=False):
     """A store with a centre and clones that start from the same rows, and their logs."""
     store = Store(spark, work_dir(spark, "star"))
     base = stage(d.base_rows(spark, sf), "base")
+    tables = {
+        f"{d.CENTRAL_ID}/log": d.central_log(spark, sf, inserts),
+        f"{d.CENTRAL_ID}/receipts": d.receipts(spark, sf),
+        f"{d.CENTRAL_ID}/history": d.history_records(spark, clones),
+        f"{d.CENTRAL_ID}/sync_tables": d.sync_tables(spark),
+        f"{d.CENTRAL_ID}/relations": d.relations(spark),
+        **{f"{clone}/log": d.clone_log(spark, sf) for clone in clones},
+        **{
+            sync.table_name(node, ident): base.filter(F.col("ident") == ident).drop("ident")
+            for node in (d.CENTRAL_ID, *clones) for ident in d.IDENTS
+        },
+    }
     tx = store.begin()
-    for ident in d.IDENTS:
-        table = base.filter(F.col("ident") == ident).drop("ident")
-        for node in (d.CENTRAL_ID, *clones):
-            tx.overwrite(sync.table_name(node, ident), table)
-    tx.overwrite(f"{d.CENTRAL_ID}/log", d.central_log(spark, sf, inserts))
-    tx.overwrite(f"{d.CENTRAL_ID}/receipts", d.receipts(spark, sf))
-    tx.overwrite(f"{d.CENTRAL_ID}/history", d.history_records(spark, clones))
-    tx.overwrite(f"{d.CENTRAL_ID}/sync_tables", d.sync_tables(spark))
-    tx.overwrite(f"{d.CENTRAL_ID}/relations", d.relations(spark))
-    for clone in clones:
-        tx.overwrite(f"{clone}/log", d.clone_log(spark, sf))
+    run_all([partial(tx.overwrite, name, df) for name, df in tables.items()])
     tx.commit()
     return store
 
