@@ -26,19 +26,21 @@ def number_rows(df: DataFrame, order_by, column, start=0) -> DataFrame:
         .drop("_id")
     )
     staged = stage(ranged, "numbered")
-    # One row per task: as many rows as shuffle partitions, whatever the size of the data.
+    # One count per task, whatever the size of the data; the running totals travel to the tasks
+    # as one array indexed by range, so the rows are not shuffled again.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = staged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = (
-        staged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+        spark.range(parts).select(F.col("id").alias("_part"))
+        .join(counts, "_part", "left")
         .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .agg(F.array_sort(F.collect_list(F.struct("_part", "_offset"))).alias("a"))
+        .select(F.transform("a", lambda e: e["_offset"]).alias("a"))
+        .scalar()
     )
     first = start if isinstance(start, Column) else F.lit(start)
-    number = F.col("_offset") + F.col("_pos") + F.lit(1) + first
-    return (
-        staged.join(offsets, "_part")
-        .withColumn(column, number.cast("long"))
-        .drop("_part", "_pos", "_offset")
-    )
+    number = F.element_at(offsets, (F.col("_part") + 1).cast("int")) + F.col("_pos") + 1 + first
+    return staged.withColumn(column, number.cast("long")).drop("_part", "_pos")
 
 
 def largest(df: DataFrame, column) -> Column:

@@ -90,14 +90,26 @@ def relation_keys(relations: DataFrame) -> DataFrame:
     )
 
 
+def keys_of(relations: DataFrame, ident: Column) -> Column:
+    """Key columns of a table, NULL when it is not registered.
+
+    The registry is catalogue metadata (a few names per table) and travels as one scalar value:
+    a join on the table name would shuffle the log onto as many tasks as there are tables.
+    """
+    registry = relation_keys(relations).agg(
+        F.map_from_entries(F.collect_list(F.struct("ident", "keys"))).alias("m")
+    ).scalar()
+    return F.element_at(registry, ident)
+
+
 def to_field_grain(log: DataFrame, relations: DataFrame, uid="uid", excluded=()) -> DataFrame:
     """One row per changed column of an update; one row without a field for other events.
 
     ``noop`` marks changes whose statement would be empty (truncate, update of a local key or of
     an excluded column, table without registered keys, missing uid): they count, but do nothing.
     Only inserts keep ``row_data`` (without the excluded columns): an update is one cell and a
-    delete one uid, so the old rows need not travel on.  Needs no shuffle: the key registry is small
-    metadata joined by table name, and everything else happens inside the row.
+    delete one uid, so the old rows need not travel on.  Needs no shuffle: everything happens
+    inside the row.
     """
     excluded = list(excluded)
     exploded = (
@@ -119,7 +131,7 @@ def to_field_grain(log: DataFrame, relations: DataFrame, uid="uid", excluded=())
         .withColumn("value", F.col("_change.value"))
         .drop("_change")
     )
-    keyed = exploded.join(relation_keys(relations), "ident", "left")
+    keyed = exploded.withColumn("keys", keys_of(relations, F.col("ident")))
     field_is_hidden = F.array_contains("keys", F.col("field"))
     if excluded:
         field_is_hidden = field_is_hidden | F.col("field").isin(excluded)

@@ -460,30 +460,35 @@ def replay_events(snapshot: DataFrame, log: DataFrame, ids: DataFrame, ident: st
     return replay(snapshot, changes, keys, **options)
 
 
-def rollback_guard(log: DataFrame, ids: DataFrame, keys) -> DataFrame:
+def rollback_guard(log: DataFrame, ids: DataFrame, keys, slice_size=LOG_SLICE) -> DataFrame:
     """For each chosen event: may it be rolled back, and if not, which event came later.
 
-    Only the latest event of a row may be (time decides, then event id).  The latest event is an
-    aggregation with partial results, restricted to the rows of the chosen events.
+    Only the latest event of a row may be (time decides, then event id).  The latest event is
+    found per row and slice of the log, with partial results per task, and then over the slices of
+    a row; chosen events look it up in their own slice.  So no task holds more than a slice of any
+    row, however many events it has.
     """
+    row = ["ident", *keys]
     events = log.select(
         exprs.ident().alias("ident"), F.col("event_id"), F.col("tstamp_tx"),
         *[F.element_at("row_data", k).alias(k) for k in keys],
+        F.floor(F.col("event_id") / F.lit(slice_size)).alias("_slice"),
     )
-    row = ["ident", *keys]
-    chosen = events.join(ids.select("event_id"), "event_id", "left_semi").select(
-        *row, "event_id"
-    )
+    for k in keys:  # events without a row (truncates) cannot be rolled back
+        events = events.withColumn(
+            "_slice", F.when(F.col(k).isNull(), -1 - F.col("event_id")).otherwise(F.col("_slice"))
+        )
     latest = (
-        events.join(chosen.select(*row).distinct(), row, "left_semi")
-        .groupBy(*row)
-        .agg(F.max_by("event_id", F.struct("tstamp_tx", "event_id")).alias("latest_event_id"))
+        events.dropna(subset=list(keys)).groupBy(*row, "_slice")
+        .agg(F.max(F.struct("tstamp_tx", "event_id")).alias("_last"))
+        .withColumn("_last", F.max("_last").over(Window.partitionBy(*row)))
     )
-    allowed = F.coalesce(F.col("event_id") == F.col("latest_event_id"), F.lit(False))
-    return chosen.join(latest, row, "left").select(
+    chosen = events.join(ids.select("event_id"), "event_id", "left_semi")
+    allowed = F.coalesce(F.col("event_id") == F.col("_last.event_id"), F.lit(False))
+    return chosen.join(latest, [*row, "_slice"], "left").select(
         "event_id", *row,
         allowed.alias("allowed"),
-        F.when(~allowed, F.col("latest_event_id")).alias("newer_event_id"),
+        F.when(~allowed, F.col("_last.event_id")).alias("newer_event_id"),
     )
 
 

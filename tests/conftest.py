@@ -11,7 +11,8 @@ def spark(tmp_path_factory):
     from starsync.session import build_session
 
     session = build_session("tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "3",
+        "spark.default.parallelism": "2",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
