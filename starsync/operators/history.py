@@ -24,16 +24,17 @@ def fold_history(records: DataFrame) -> DataFrame:
             F.when(F.col("server_to").isNotNull(), F.struct("seq", "server_to"))
         )
     )
-    return records.groupBy("sync_id").agg(
-        *[
-            F.min_by(F.col(c), F.when(F.col("sync_time").isNotNull(), seq)).alias(c)
-            for c in _OPENING
-        ],
+    opening = F.min_by(F.struct(*_OPENING), F.when(F.col("sync_time").isNotNull(), seq))
+    folded = records.groupBy("sync_id").agg(
+        opening.alias("_open"),
         F.when(F.size(servers) > 0, F.transform(servers, lambda s: s["server_to"]))
         .alias("server_to"),
         F.max_by("sync_status", F.when(F.col("sync_status").isNotNull(), seq))
         .alias("sync_status"),
     )
+    return folded.select(
+        "sync_id", *[F.col("_open")[c].alias(c) for c in _OPENING], "server_to", "sync_status"
+    )
 
 
 def last_sync(history: DataFrame, central: str) -> DataFrame:

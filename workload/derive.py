@@ -5,10 +5,14 @@ made at a clone.  Nothing is filtered, sampled or capped: the modulo terms only
 edit from row to row.
 """
 
+from datetime import datetime
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from starsync.operators.history import DONE, PARTIAL
 from starsync.schemas import CHANGE_LOG, HISTORY_RECORDS, RELATIONS, SYNC_TABLES
+from starsync.session import stage
 
 CENTRAL_ID, CLONE_A, CLONE_B = "centre", "clone_a", "clone_b"
 ROW_FIELDS = ("click", "view", "purchase", "signup", "error")
@@ -20,6 +24,27 @@ def read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_PREPARED = {}
+
+
+def prepared(spark, sf_dir, build, *args):
+    """A derived input as a stored table, as logs and snapshots are in practice.
+
+    It is written once per session and data set.  Without this each filter on a logged value
+    would be pushed below the derivation and repeat its JSON parsing many times per row.
+    """
+    source = Path(sf_dir) / "events.parquet"
+    stamp = source.stat().st_mtime_ns if source.exists() else 0
+    key = (spark.sparkContext.applicationId, sf_dir, stamp, build.__name__, args)
+    if key not in _PREPARED:
+        df = build(spark, sf_dir, *args)
+        tasks = spark.sparkContext.defaultParallelism
+        if len(df.inputFiles()) < tasks:  # a single small file would be read by a single task
+            df = df.repartition(tasks)
+        _PREPARED[key] = stage(df, build.__name__)
+    return _PREPARED[key]
+
+
 def _edits(spark, sf_dir):
     k = F.get_json_object("props", "$.k").cast("int")
     return read(spark, sf_dir, "events").select(
@@ -126,8 +151,6 @@ def sync_tables(spark, tables=("users",)):
 
 def history_records(spark, clones=(CLONE_A, CLONE_B)):
     """One finished round per clone: the marks the pending queries start from."""
-    from datetime import datetime
-
     mark = datetime.fromisoformat(MARK_TIME)
     return spark.createDataFrame(
         [

@@ -35,6 +35,18 @@ def query(fn):
 
 # --- helpers -----------------------------------------------------------------------------------
 
+def central_log(spark, sf, inserts=True):
+    return d.prepared(spark, sf, d.central_log, inserts)
+
+
+def clone_log(spark, sf):
+    return d.prepared(spark, sf, d.clone_log)
+
+
+def base_rows(spark, sf):
+    return d.prepared(spark, sf, d.base_rows)
+
+
 def _pairs(df, column, keys, label="field"):
     """A map column as one row per entry."""
     return df.select(*keys, F.explode_outer(F.map_entries(column)).alias("_e")).select(
@@ -49,7 +61,7 @@ def _long(snapshot, fields=FIELDS, keys=ROW):
 
 def _pending(spark, sf, inserts=True):
     return pending.pending_central(
-        d.central_log(spark, sf, inserts), d.receipts(spark, sf),
+        central_log(spark, sf, inserts), d.receipts(spark, sf),
         history.fold_history(d.history_records(spark)), d.sync_tables(spark),
         d.CLONE_A, d.CENTRAL_ID,
     )
@@ -64,7 +76,7 @@ def _central_fields(spark, sf):
 
 
 def _clone_fields(spark, sf):
-    return _fields(spark, pending.pending_clone(d.clone_log(spark, sf)))
+    return _fields(spark, pending.pending_clone(clone_log(spark, sf)))
 
 
 def _conflicts(spark, sf):
@@ -75,7 +87,7 @@ def _conflicts(spark, sf):
 
 def _all_changes(spark, sf):
     """Field changes of the whole log of the centre, written once for the steps of a replay."""
-    return stage(_fields(spark, d.central_log(spark, sf)), "changes")
+    return stage(_fields(spark, central_log(spark, sf)), "changes")
 
 
 # --- capture and preparation -------------------------------------------------------------------
@@ -131,7 +143,7 @@ def capture_statements(spark, sf):
 
 @query
 def stamp_provenance(spark, sf):
-    log = d.clone_log(spark, sf)
+    log = clone_log(spark, sf)
     stamped = capture.stamp_provenance(log, d.CLONE_A, F.col("tstamp_tx"))
     receipts = capture.provenance_receipts(log, d.CENTRAL_ID, "round-1")
     return stamped.join(receipts, "event_id").select(
@@ -143,8 +155,8 @@ def stamp_provenance(spark, sf):
 @query
 def order_events(spark, sf):
     """New ids in time order, after the largest id of a retained log."""
-    log = d.clone_log(spark, sf).withColumn("tx_id", F.col("event_id"))
-    ordered = capture.order_events(log, ["tstamp_tx", "tx_id"], retained=d.central_log(spark, sf))
+    log = clone_log(spark, sf).withColumn("tx_id", F.col("event_id"))
+    ordered = capture.order_events(log, ["tstamp_tx", "tx_id"], retained=central_log(spark, sf))
     return ordered.select("event_id", F.col("tx_id").alias("old_event_id"))
 
 
@@ -248,7 +260,7 @@ def pending_central(spark, sf):
 def pending_by_receipts(spark, sf):
     """The same without high-water marks: receipts alone decide."""
     return pending.pending_central(
-        d.central_log(spark, sf), d.receipts(spark, sf),
+        central_log(spark, sf), d.receipts(spark, sf),
         history.fold_history(d.history_records(spark)), d.sync_tables(spark),
         d.CLONE_A, d.CENTRAL_ID, use_marks=False,
     ).select("event_id", "action")
@@ -256,7 +268,7 @@ def pending_by_receipts(spark, sf):
 
 @query
 def pending_clone(spark, sf):
-    return pending.pending_clone(d.clone_log(spark, sf)).select(
+    return pending.pending_clone(clone_log(spark, sf)).select(
         "event_id", exprs.ident().alias("ident"), "action",
         F.size("changed_fields").alias("n_changed"),
         F.unix_micros("tstamp_tx").alias("tx_micros"),
@@ -265,7 +277,7 @@ def pending_clone(spark, sf):
 
 @query
 def field_grain(spark, sf):
-    return _fields(spark, d.central_log(spark, sf)).select(
+    return _fields(spark, central_log(spark, sf)).select(
         "event_id", "ident", "action", "origin_label", "field", "value", "uid", "orig_micros",
         "noop",
     )
@@ -273,26 +285,26 @@ def field_grain(spark, sf):
 
 @query
 def effective_time(spark, sf):
-    return d.central_log(spark, sf).select(
+    return central_log(spark, sf).select(
         "event_id", exprs.effective_time().alias("orig_micros"))
 
 
 @query
 def origin_label(spark, sf):
-    return d.central_log(spark, sf).select(
+    return central_log(spark, sf).select(
         "event_id", exprs.origin_label().alias("origin_label"))
 
 
 @query
 def render_statements(spark, sf):
-    return render_sql(_fields(spark, d.central_log(spark, sf))).select(
+    return render_sql(_fields(spark, central_log(spark, sf))).select(
         "event_id", "field", "statement")
 
 
 @query
 def exclude_columns(spark, sf):
     hidden = ["note", "click"]
-    changes = _fields(spark, d.central_log(spark, sf), excluded=hidden)
+    changes = _fields(spark, central_log(spark, sf), excluded=hidden)
     return render_sql(changes, excluded=hidden).select("event_id", "field", "noop", "statement")
 
 
@@ -383,7 +395,7 @@ def conflict_report(spark, sf):
 
 def _replayed(spark, sf, **options):
     return replay.replay(
-        stage(d.base_rows(spark, sf), "base"), _all_changes(spark, sf), ROW, LOCAL, keep=stage,
+        base_rows(spark, sf), _all_changes(spark, sf), ROW, LOCAL, keep=stage,
         **options)
 
 
@@ -395,7 +407,7 @@ def replay_fold(spark, sf):
 @query
 def replay_status(spark, sf):
     return replay.replay_status(
-        d.base_rows(spark, sf), _all_changes(spark, sf), ROW, LOCAL, slice_size=1000,
+        base_rows(spark, sf), _all_changes(spark, sf), ROW, LOCAL, slice_size=1000,
     ).select("event_id", "ident", "action", "field", "status")
 
 
@@ -403,12 +415,12 @@ def replay_status(spark, sf):
 def replay_to_clone(spark, sf):
     """The centre's survivors at the clone; inserts would hit live rows, so the log has none."""
     changes = stage(resolve.compact(_fields(spark, _pending(spark, sf, inserts=False))), "news")
-    result = replay.replay_to_clone(d.base_rows(spark, sf), changes, ROW, LOCAL, keep=stage)
+    result = replay.replay_to_clone(base_rows(spark, sf), changes, ROW, LOCAL, keep=stage)
     return _long(result.snapshot)
 
 
 def _to_central(spark, sf):
-    base = stage(d.base_rows(spark, sf), "base")
+    base = base_rows(spark, sf)
     changes = stage(resolve.compact(_clone_fields(spark, sf)), "edits")
     return base, replay.replay(base, changes, ROW, LOCAL, keep=stage)
 
@@ -430,7 +442,7 @@ def replay_to_central(spark, sf):
 @query
 def retain_failed(spark, sf):
     _, result = _to_central(spark, sf)
-    return replay.retain_failed(d.clone_log(spark, sf), result.statuses).select(
+    return replay.retain_failed(clone_log(spark, sf), result.statuses).select(
         "event_id", "action")
 
 
@@ -447,7 +459,7 @@ def assign_local_ids(spark, sf):
 
 
 def _by_id(spark, sf):
-    return d.base_rows(spark, sf).drop("ident"), d.central_log(spark, sf)
+    return base_rows(spark, sf).drop("ident"), central_log(spark, sf)
 
 
 def _per_table(run):
@@ -459,8 +471,8 @@ def _per_table(run):
 @query
 def replay_events(spark, sf):
     """All purchases replayed by primary key."""
-    log = stage(d.central_log(spark, sf), "log")
-    base = stage(d.base_rows(spark, sf), "base")
+    log = central_log(spark, sf)
+    base = base_rows(spark, sf)
     ids = d.read(spark, sf, "events").filter("event_type = 'purchase'").select(
         (F.col("event_id") + 1).alias("event_id"))
 
@@ -474,15 +486,15 @@ def replay_events(spark, sf):
 
 @query
 def rollback_guard(spark, sf):
-    log = d.central_log(spark, sf)
+    log = central_log(spark, sf)
     return replay.rollback_guard(log, log.select("event_id"), ["id"])
 
 
 @query
 def rollback_events(spark, sf):
     """Every event that may be rolled back is rolled back."""
-    log = stage(d.central_log(spark, sf), "log")
-    base = stage(d.base_rows(spark, sf), "base")
+    log = central_log(spark, sf)
+    base = base_rows(spark, sf)
 
     def run(ident):
         snapshot = base.filter(F.col("ident") == ident).drop("ident")
@@ -552,7 +564,7 @@ def tables_by_schema(spark, sf):
 @query
 def sync_lag(spark, sf):
     return history.sync_lag(
-        history.fold_history(d.order_rounds(spark, sf)), d.central_log(spark, sf), d.CENTRAL_ID)
+        history.fold_history(d.order_rounds(spark, sf)), central_log(spark, sf), d.CENTRAL_ID)
 
 
 # --- whole tables and jobs ---------------------------------------------------------------------
@@ -573,7 +585,7 @@ def compare_tables(spark, sf):
 @query
 def compare_all(spark, sf):
     old, new = d.orders_old(spark, sf), d.orders_new(spark, sf)
-    base = d.base_rows(spark, sf).drop("ident")
+    base = base_rows(spark, sf).drop("ident")
     replayed = _replayed(spark, sf).snapshot.drop("ident")
     return compare.compare_all({
         "orders": (old, new, ["id"]),
@@ -585,14 +597,14 @@ def compare_all(spark, sf):
 def _star(spark, sf, clones=(d.CLONE_A,), inserts=False):
     """A store with a centre and clones that start from the same rows, and their logs."""
     store = Store(spark, work_dir(spark, "star"))
-    base = stage(d.base_rows(spark, sf), "base")
+    base = base_rows(spark, sf)
     tables = {
-        f"{d.CENTRAL_ID}/log": d.central_log(spark, sf, inserts),
+        f"{d.CENTRAL_ID}/log": central_log(spark, sf, inserts),
         f"{d.CENTRAL_ID}/receipts": d.receipts(spark, sf),
         f"{d.CENTRAL_ID}/history": d.history_records(spark, clones),
         f"{d.CENTRAL_ID}/sync_tables": d.sync_tables(spark),
         f"{d.CENTRAL_ID}/relations": d.relations(spark),
-        **{f"{clone}/log": d.clone_log(spark, sf) for clone in clones},
+        **{f"{clone}/log": clone_log(spark, sf) for clone in clones},
         **{
             sync.table_name(node, ident): base.filter(F.col("ident") == ident).drop("ident")
             for node in (d.CENTRAL_ID, *clones) for ident in d.IDENTS
@@ -749,7 +761,7 @@ def export_csv_dump(spark, sf):
 @query
 def export_sql_script(spark, sf):
     path = work_dir(spark, "sql")
-    export_sql(_fields(spark, d.central_log(spark, sf)), path)
+    export_sql(_fields(spark, central_log(spark, sf)), path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
@@ -804,7 +816,7 @@ def stream_latest(spark, sf):
 @query
 def late_events(spark, sf):
     return pending.late_events(
-        d.central_log(spark, sf), d.receipts(spark, sf),
+        central_log(spark, sf), d.receipts(spark, sf),
         history.fold_history(d.history_records(spark)), d.sync_tables(spark),
         d.CLONE_A, d.CENTRAL_ID,
     ).select("event_id", "action", F.unix_micros("tstamp_tx").alias("tx_micros"))
@@ -814,7 +826,7 @@ def late_events(spark, sf):
 def stream_retry(spark, sf):
     """The log replayed as a stream; what cannot be applied waits in the dead letters."""
     store = Store(spark, work_dir(spark, "retry"))
-    write_snapshot(store, "rows", d.base_rows(spark, sf))
+    write_snapshot(store, "rows", base_rows(spark, sf))
     jobs.stream_retry(
         _log_stream(spark, sf, d.central_log), store, "rows", "dead_letters",
         d.relations(spark), ROW, LOCAL, work_dir(spark, "checkpoint"),
@@ -829,16 +841,16 @@ def stream_retry(spark, sf):
 
 @query
 def activity_tumbling(spark, sf):
-    return jobs.activity_windows(d.central_log(spark, sf), "1 hour").select(
+    return jobs.activity_windows(central_log(spark, sf), "1 hour").select(
         "ident", F.unix_micros("window_start").alias("start_micros"), "n_events")
 
 
 @query
 def activity_sliding(spark, sf):
-    return jobs.activity_windows(d.central_log(spark, sf), "6 hours", "1 hour").select(
+    return jobs.activity_windows(central_log(spark, sf), "6 hours", "1 hour").select(
         "ident", F.unix_micros("window_start").alias("start_micros"), "n_events")
 
 
 @query
 def activity_sessions(spark, sf):
-    return jobs.activity_sessions(d.central_log(spark, sf), 4 * 3600)
+    return jobs.activity_sessions(central_log(spark, sf), 4 * 3600)
