@@ -17,7 +17,7 @@ from starsync.session import stage
 CENTRAL_ID, CLONE_A, CLONE_B = "centre", "clone_a", "clone_b"
 ROW_FIELDS = ("click", "view", "purchase", "signup", "error")
 IDENTS = ("app.alerts", "app.users")
-MARK_ID, MARK_TIME = 1000, "2024-01-05 00:00:00"
+MARK_ID, MARK_TIME = 200, "2024-01-05 00:00:00"
 
 
 def read(spark, sf_dir, name):

@@ -87,7 +87,7 @@ for ev, out in (("central_ev", "pending_ev"), ("central_quiet", "pending_quiet")
     block(out, f"""
   SELECT * FROM {ev}
   WHERE (origin <> 'clone_a' OR origin IS NULL) AND ident = 'app.users'
-    AND tstamp > TIMESTAMP '2024-01-05' AND event_id > 1000
+    AND tstamp > TIMESTAMP '2024-01-05' AND event_id > 200
     AND event_id NOT IN (SELECT event_id FROM seen)""")
 
 
@@ -371,7 +371,7 @@ oracle("pending_by_receipts", """
 oracle("late_events", """
   SELECT event_id, action, epoch_us(tstamp) AS tx_micros FROM central_ev
   WHERE (origin <> 'clone_a' OR origin IS NULL) AND ident = 'app.users'
-    AND (tstamp <= TIMESTAMP '2024-01-05' OR event_id <= 1000)
+    AND (tstamp <= TIMESTAMP '2024-01-05' OR event_id <= 200)
     AND event_id NOT IN (SELECT event_id FROM seen)""")
 oracle("pending_clone", """
   SELECT e.event_id, ident, action, epoch_us(tstamp) AS tx_micros,

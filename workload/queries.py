@@ -9,6 +9,7 @@ from functools import partial
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starsync import schemas
 from starsync.functions import exprs
 from starsync.functions.exprs import CENTRAL, CLONE
 from starsync.functions.render import render_sql
@@ -647,10 +648,11 @@ def synchronize_counts(spark, sf):
     ]
     reported = spark.createDataFrame(counts, "what string, n long")
     stored = [
-        store.read(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "n")
-        for what, name in (
-            ("ledger_rows", f"{d.CENTRAL_ID}/conflicts"),
-            ("kept_in_clone_log", f"{d.CLONE_A}/log"),
+        store.read(name, schema).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(what).alias("what"), "n")
+        for what, name, schema in (
+            ("ledger_rows", f"{d.CENTRAL_ID}/conflicts", schemas.CONFLICTS),
+            ("kept_in_clone_log", f"{d.CLONE_A}/log", schemas.CHANGE_LOG),
         )
     ]
     return reported.unionByName(stored[0]).unionByName(stored[1])
