@@ -1,6 +1,6 @@
 """Statement text of a field-grain change, for ledgers and exports (replay never parses it)."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from starsync.functions import maps
@@ -35,18 +35,23 @@ def _update(table, keys, hidden, uid, uid_column, field, value):
 
 
 def _table():
-    return F.concat(quote_name(F.col("schema_name")), F.lit("."), quote_name(F.col("table_name")))
+    ident = F.col("ident")
+    rest = F.substring(ident, F.instr(ident, ".") + 1, F.length(ident))
+    return F.concat(quote_name(F.substring_index(ident, ".", 1)), F.lit("."), quote_name(rest))
 
 
 def update_statement(value: Column, uid_column="uid") -> Column:
-    """Text of the update of one cell to ``value`` (for conflicts, which are always updates)."""
+    """Text of the update of one cell to ``value`` (for conflicts, which are always updates).
+
+    Needs ``ident, uid, field`` and ``keys``, the local key columns of the table.
+    """
     keys = F.col("keys")
     text = _update(_table(), keys, keys, F.col("uid"), uid_column, F.col("field"), value)
     return F.coalesce(text, F.lit(""))
 
 
 def statement(uid_column="uid", excluded=()) -> Column:
-    """SQL text of one field-grain change.
+    """SQL text of one field-grain change, which also has the ``keys`` of its table.
 
     A table without registered keys, an update of a key or excluded column, an event without uid
     and a truncate give the empty string.
@@ -70,8 +75,3 @@ def statement(uid_column="uid", excluded=()) -> Column:
         .when(F.col("action") == DELETE, delete)
     )
     return F.coalesce(text, F.lit(""))
-
-
-def render_sql(changes: DataFrame, uid_column="uid", excluded=()) -> DataFrame:
-    """Field-grain changes with their ``statement`` text: a projection, no look-ups."""
-    return changes.withColumn("statement", statement(uid_column, excluded))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from starsync.functions import exprs, maps
 from starsync.functions.exprs import DELETE, INSERT, TRUNCATE, UPDATE
 from starsync.operators.history import last_sync
+from starsync.operators.registry import keys_of
 
 
 def whitelist(sync_tables: DataFrame, clone: str) -> DataFrame:
@@ -83,25 +84,6 @@ def late_events(log: DataFrame, receipts: DataFrame, history: DataFrame,
     )
 
 
-def relation_keys(relations: DataFrame) -> DataFrame:
-    """Key columns of each registered table as a sorted array (a handful per table)."""
-    return relations.groupBy(F.col("relation_name").alias("ident")).agg(
-        F.array_sort(F.collect_set("uid_column")).alias("keys")
-    )
-
-
-def keys_of(relations: DataFrame, ident: Column) -> Column:
-    """Key columns of a table, NULL when it is not registered.
-
-    The registry is catalogue metadata (a few names per table) and travels as one scalar value:
-    a join on the table name would shuffle the log onto as many tasks as there are tables.
-    """
-    registry = relation_keys(relations).agg(
-        F.map_from_entries(F.collect_list(F.struct("ident", "keys"))).alias("m")
-    ).scalar()
-    return F.element_at(registry, ident)
-
-
 def to_field_grain(log: DataFrame, relations: DataFrame, uid="uid", excluded=()) -> DataFrame:
     """One row per changed column of an update; one row without a field for other events.
 
@@ -117,8 +99,6 @@ def to_field_grain(log: DataFrame, relations: DataFrame, uid="uid", excluded=())
             "event_id",
             "tstamp_tx",
             exprs.ident().alias("ident"),
-            "schema_name",
-            "table_name",
             "action",
             exprs.origin_label().alias("origin_label"),
             F.element_at("row_data", uid).alias("uid"),
@@ -131,14 +111,14 @@ def to_field_grain(log: DataFrame, relations: DataFrame, uid="uid", excluded=())
         .withColumn("value", F.col("_change.value"))
         .drop("_change")
     )
-    keyed = exploded.withColumn("keys", keys_of(relations, F.col("ident")))
-    field_is_hidden = F.array_contains("keys", F.col("field"))
+    keys = keys_of(relations, F.col("ident"))
+    field_is_hidden = F.array_contains(keys, F.col("field"))
     if excluded:
         field_is_hidden = field_is_hidden | F.col("field").isin(excluded)
     noop = (
         (F.col("action") == TRUNCATE)
-        | (F.col("keys").isNull() & (F.col("action") != DELETE))
+        | (keys.isNull() & (F.col("action") != DELETE))
         | ((F.col("action") != INSERT) & F.col("uid").isNull())
         | ((F.col("action") == UPDATE) & F.coalesce(field_is_hidden, F.lit(True)))
     )
-    return keyed.withColumn("noop", noop)
+    return exploded.withColumn("noop", noop)

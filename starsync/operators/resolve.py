@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starsync.functions.exprs import CENTRAL, CLONE, LAST_MODIFIED, UPDATE
 from starsync.functions.render import update_statement
+from starsync.operators.registry import keys_of
 
 CELL = ["ident", "uid", "field"]
 _SIDE = ("event_id", "tstamp_tx", "orig_micros", "value")
@@ -65,13 +66,12 @@ def detect_conflicts(central: DataFrame, clone: DataFrame) -> DataFrame:
 
     Inserts and deletes never conflict.
     """
-    def side(df, prefix, *more):
+    def side(df, prefix):
         return df.filter(F.col("action") == UPDATE).select(
-            *CELL, *more, *[F.col(c).alias(f"{prefix}_{c}") for c in _SIDE]
+            *CELL, *[F.col(c).alias(f"{prefix}_{c}") for c in _SIDE]
         )
 
-    table = ("schema_name", "table_name", "keys")
-    return side(central, CENTRAL, *table).join(side(clone, CLONE), CELL)
+    return side(central, CENTRAL).join(side(clone, CLONE), CELL)
 
 
 def resolve(conflicts: DataFrame, rule=LAST_MODIFIED) -> DataFrame:
@@ -139,18 +139,17 @@ def reconciled_conflicts(reconciled: DataFrame, rule=LAST_MODIFIED) -> DataFrame
     """The conflicts of ``reconcile`` in the shape of ``resolve``."""
     return reconciled.filter(F.col("rejected").isNotNull()).select(
         *CELL,
-        *[F.col(f"{CENTRAL}.{c}").alias(c) for c in ("schema_name", "table_name", "keys")],
         *[F.col(s)[c].alias(f"{s}_{c}") for s in (CENTRAL, CLONE) for c in _SIDE],
         "rejected",
         F.lit(rule).alias("rule_applied"),
     )
 
 
-def conflict_ledger(conflicts: DataFrame, clone_id: str, conflict_time=None,
-                    uid_column="uid") -> DataFrame:
+def conflict_ledger(conflicts: DataFrame, relations: DataFrame, clone_id: str,
+                    conflict_time=None, uid_column="uid") -> DataFrame:
     """Resolved conflicts in the ledger schema, with the statements of both sides."""
     now = F.current_timestamp() if conflict_time is None else F.lit(conflict_time)
-    return conflicts.select(
+    return conflicts.withColumn("keys", keys_of(relations, F.col("ident"))).select(
         now.cast("timestamp").alias("conflict_time"),
         "ident", "uid", "field",
         F.lit(clone_id).alias("clone_id"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from starsync import schemas
 from starsync.functions.exprs import CENTRAL, CLONE
-from starsync.operators import capture, compare, pending, replay, resolve
+from starsync.operators import capture, compare, pending, registry, replay, resolve
 from starsync.operators.history import DONE, PARTIAL, PENDING, fold_history
 from starsync.session import run_all, stage
 from starsync.sources.store import Store
@@ -131,7 +131,7 @@ def synchronize(store: Store, clone: str, central: str, now: datetime, uid="uid"
     clone_log = store.read(f"{clone}/log", schemas.CHANGE_LOG)
     history = fold_history(store.read(f"{central}/history", schemas.HISTORY_RECORDS))
     local_keys = {
-        r["ident"]: r["keys"] for r in pending.relation_keys(relations).collect()
+        r["ident"]: r["keys"] for r in registry.relation_keys(relations).collect()
     }  # catalogue metadata: a few names per table
 
     news = pending.pending_central(
@@ -208,7 +208,7 @@ def synchronize(store: Store, clone: str, central: str, now: datetime, uid="uid"
 
     def ledger():
         tx.append(f"{central}/conflicts", resolve.conflict_ledger(
-            resolve.reconciled_conflicts(merged), clone, now, uid))
+            resolve.reconciled_conflicts(merged), relations, clone, now, uid))
 
     def history_entry():
         tx.append(f"{central}/history", history_rows(spark, *records))
@@ -252,7 +252,7 @@ def synchronize_star(store: Store, clones, central: str, clock, uid="uid", sched
 def compare_star(store: Store, clones, central: str, uid="uid") -> DataFrame:
     """Differences between every synchronised table of each clone and the centre."""
     relations = store.read(f"{central}/relations", schemas.RELATIONS)
-    keys = {r["ident"]: r["keys"] for r in pending.relation_keys(relations).collect()}
+    keys = {r["ident"]: r["keys"] for r in registry.relation_keys(relations).collect()}
     pairs = {}
     for clone in clones:
         prefix = table_name(clone, "")

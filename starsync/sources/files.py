@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starsync.functions.render import render_sql
+from starsync.operators.render import render_sql
 
 
 def read_feature_collection(spark: SparkSession, path: str, properties: T.StructType,
@@ -33,11 +33,11 @@ def export_csv(df: DataFrame, path: str, order_by, mode="errorifexists") -> None
     df.orderBy(*order_by).write.csv(path, sep="\t", header=False, mode=mode)
 
 
-def export_sql(changes: DataFrame, path: str, uid_column="uid", excluded=(),
-               mode="errorifexists") -> None:
+def export_sql(changes: DataFrame, relations: DataFrame, path: str, uid_column="uid",
+               excluded=(), mode="errorifexists") -> None:
     """The statements of field-grain changes as text, in replay order; empty ones are left out."""
     (
-        render_sql(changes, uid_column, excluded)
+        render_sql(changes, relations, uid_column, excluded)
         .filter(F.col("statement") != "")
         .orderBy("event_id", "field")
         .select(F.concat("statement", F.lit(";")).alias("value"))

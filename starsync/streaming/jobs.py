@@ -5,8 +5,9 @@ carry the batch id, and a batch that is run again after a failure overwrites its
 every result is written exactly once.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starsync import schemas
 from starsync.functions import exprs
@@ -42,8 +43,8 @@ def stream_pending(log: DataFrame, relations: DataFrame, sync_tables: DataFrame,
     The stream's own progress replaces the high-water mark, so events that commit late are not
     lost; receipts of earlier batches drop repeated deliveries.
     """
-    receipt_schema = schemas.T.StructType(
-        [*schemas.RECEIPTS.fields, schemas.T.StructField("batch", schemas.T.LongType())]
+    receipt_schema = T.StructType(
+        [*schemas.RECEIPTS.fields, T.StructField("batch", T.LongType())]
     )
 
     def each_batch(batch, batch_id):
@@ -150,8 +151,6 @@ def activity_sessions(log: DataFrame, gap_seconds: int, uid="uid") -> DataFrame:
     the gap, so a slot never has to be split.  The window then sees at most one entry per slot of
     the covered time span, however many events a row has.
     """
-    from pyspark.sql import Window
-
     micros = F.unix_micros("tstamp_tx")
     gap = gap_seconds * 1_000_000
     row = ["ident", "uid"]

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starsync.functions import exprs, maps
-from starsync.functions.render import render_sql
+from starsync.operators.render import render_sql
+from starsync.schemas import RELATIONS
 
 MAPS = T.StructType([
     T.StructField("a", T.MapType(T.StringType(), T.StringType())),
@@ -65,21 +66,21 @@ def test_effective_time_needs_origin_and_time(spark):
 
 
 def test_statements(spark):
-    schema = ("event_id long, schema_name string, table_name string, action string, field string,"
-              " value string, uid string, row_data map<string,string>, keys array<string>")
+    schema = ("event_id long, ident string, action string, field string, value string,"
+              " uid string, row_data map<string,string>")
     rows = [
-        (1, "s", "t", "I", None, None, "u1", {"id": "4", "uid": "u1", "nm": "it's", "z": None},
-         ["id"]),
-        (2, "s", "t", "U", "nm", None, "u1", None, ["id"]),
-        (3, "s", "t", "U", "id", "9", "u1", None, ["id"]),
-        (4, "s", "t", "D", None, None, "u1", None, ["id"]),
-        (5, "s", "t", "T", None, None, None, None, ["id"]),
-        (6, "s", "t", "I", None, None, "u1", {"nm": "x"}, None),
-        (7, "s", "t", "D", None, None, "u1", None, None),
-        (8, "s", "t", "I", None, None, "u1", {"id": "4"}, ["id"]),
+        (1, "s.t", "I", None, None, "u1", {"id": "4", "uid": "u1", "nm": "it's", "z": None}),
+        (2, "s.t", "U", "nm", None, "u1", None),
+        (3, "s.t", "U", "id", "9", "u1", None),
+        (4, "s.t", "D", None, None, "u1", None),
+        (5, "s.t", "T", None, None, None, None),
+        (6, "s.loose", "I", None, None, "u1", {"nm": "x"}),
+        (7, "s.loose", "D", None, None, "u1", None),
+        (8, "s.t", "I", None, None, "u1", {"id": "4"}),
     ]
-    got = {r.event_id: r.statement
-           for r in render_sql(spark.createDataFrame(rows, schema)).collect()}
+    relations = spark.createDataFrame([("s.t", "id")], RELATIONS)
+    rendered = render_sql(spark.createDataFrame(rows, schema), relations)
+    got = {r.event_id: r.statement for r in rendered.collect()}
     assert got == {
         1: """INSERT INTO "s"."t" ("z","nm","uid") VALUES ( NULL,'it''s','u1')""",
         2: """UPDATE "s"."t" SET "nm" = NULL WHERE "uid" = 'u1'""",
@@ -87,6 +88,6 @@ def test_statements(spark):
         4: """DELETE FROM "s"."t" WHERE "uid" = 'u1'""",
         5: "",
         6: "",
-        7: """DELETE FROM "s"."t" WHERE "uid" = 'u1'""",
+        7: """DELETE FROM "s"."loose" WHERE "uid" = 'u1'""",
         8: "",
     }

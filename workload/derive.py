@@ -228,8 +228,8 @@ def orders_new(spark, sf_dir):
 
 
 def order_rounds(spark, sf_dir):
-    """History records of the whole order book: an order is a sync round from the centre, each
-    line adds the supplier's nation as a receiving clone, and a finished order closes the round."""
+    """History records of the whole order book: an order is a sync round from the centre, its
+    lines add each supplier nation once as a receiving clone, and a finished order closes it."""
     orders = read(spark, sf_dir, "orders")
     sync_id = F.md5(F.col("o_orderkey").cast("string"))
     none = {f.name: F.lit(None).cast(f.dataType) for f in HISTORY_RECORDS}
@@ -257,9 +257,11 @@ def order_rounds(spark, sf_dir):
     added = records(
         read(spark, sf_dir, "lineitem").join(
             read(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
+        ).groupBy("l_orderkey", "s_nationkey").agg(
+            F.min(1 + F.col("l_partkey") * 8 + F.col("l_linenumber")).alias("first")
         ),
         sync_id=F.md5(F.col("l_orderkey").cast("string")),
-        seq=1 + F.col("l_partkey") * 8 + F.col("l_linenumber"),
+        seq=F.col("first"),
         server_to=F.concat(F.lit("clone_"), F.col("s_nationkey").cast("string")),
     )
     closed = records(

@@ -298,8 +298,9 @@ oracle("check_uid_unique", """
 # --- orders as sync rounds ---------------------------------------------------------------------
 
 block("round_servers", """
-  SELECT l_orderkey AS orderkey, 1 + l_partkey * 8 + l_linenumber AS seq,
+  SELECT l_orderkey AS orderkey, min(1 + l_partkey * 8 + l_linenumber) AS seq,
          'clone_' || s_nationkey AS server FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+  GROUP BY l_orderkey, s_nationkey
   UNION ALL
   SELECT o_orderkey, 0, 'clone_' || c_nationkey FROM orders
   JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority <> '5-LOW'""")

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from starsync import schemas
 from starsync.functions import exprs
 from starsync.functions.exprs import CENTRAL, CLONE
-from starsync.functions.render import render_sql
 from starsync.operators import capture, compare, history, pending, registry, replay, resolve
+from starsync.operators.render import render_sql
 from starsync.session import run_all, stage, work_dir
 from starsync.sources.files import export_csv, export_sql, read_feature_collection
 from starsync.sources.store import Store, read_snapshot, write_snapshot
@@ -298,7 +298,7 @@ def origin_label(spark, sf):
 
 @query
 def render_statements(spark, sf):
-    return render_sql(_fields(spark, central_log(spark, sf))).select(
+    return render_sql(_fields(spark, central_log(spark, sf)), d.relations(spark)).select(
         "event_id", "field", "statement")
 
 
@@ -306,7 +306,7 @@ def render_statements(spark, sf):
 def exclude_columns(spark, sf):
     hidden = ["note", "click"]
     changes = _fields(spark, central_log(spark, sf), excluded=hidden)
-    return render_sql(changes, excluded=hidden).select("event_id", "field", "noop", "statement")
+    return render_sql(changes, d.relations(spark), excluded=hidden).select("event_id", "field", "noop", "statement")
 
 
 # --- analysis and conflicts --------------------------------------------------------------------
@@ -374,7 +374,7 @@ def reconcile(spark, sf):
 
 def _ledger(spark, sf):
     return resolve.conflict_ledger(
-        resolve.reconciled_conflicts(_reconciled(spark, sf)), d.CLONE_A, NOW)
+        resolve.reconciled_conflicts(_reconciled(spark, sf)), d.relations(spark), d.CLONE_A, NOW)
 
 
 @query
@@ -763,7 +763,7 @@ def export_csv_dump(spark, sf):
 @query
 def export_sql_script(spark, sf):
     path = work_dir(spark, "sql")
-    export_sql(_fields(spark, central_log(spark, sf)), path)
+    export_sql(_fields(spark, central_log(spark, sf)), d.relations(spark), path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
