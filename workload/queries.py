@@ -4,7 +4,7 @@ Maps and structs never leave a query; rows come out in long form, times as epoch
 """
 
 from datetime import datetime
-from functools import partial
+from functools import partial, wraps
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +30,14 @@ QUERIES = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Register a query; times are compared as UTC micros, so the session clock is pinned."""
+    @wraps(fn)
+    def run(spark, sf):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 # --- helpers -----------------------------------------------------------------------------------
