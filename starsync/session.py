@@ -36,7 +36,8 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for ``name`` under the shared checkpoint folder of the session."""
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):  # local-cluster is a cluster
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="starsync-")
         spark.conf.set(CHECKPOINT_DIR, root)
