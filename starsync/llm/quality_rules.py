@@ -138,8 +138,9 @@ def cutoffs(counts: DataFrame, min_rows=MIN_ROWS) -> DataFrame:
 
     sources, corpus = wide(0, ["lang", "source"]), wide(3, [])
     langs = wide(1, ["lang"]).withColumnRenamed("lang", "_lang")
-    joined = sources.join(langs, F.col("lang").eqNullSafe(F.col("_lang")), "left").join(
-        F.broadcast(corpus))  # one row
+    whole = corpus.select(F.struct(*corpus.columns).alias("c")).scalar()  # one row
+    joined = sources.join(langs, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumn(
+        "_c", whole).select("*", "_c.*")
     pick = lambda name: (
         F.when(F.col("rows_0") >= min_rows, F.col(f"{name}_0"))
         .when(F.col("rows_1") >= min_rows, F.col(f"{name}_1"))

@@ -30,18 +30,22 @@ from starsync.llm.common import in_training_fold, labelled_sample, map_texts
 #: Most labelled rows that stems, label model and classifier are fitted on.
 SAMPLE_ROWS = 20_000
 #: Most stems that are kept as voters.
-STEMS = 160
+STEMS = 120
 #: Lengths of the word beginnings that may become a stem ("$" at the end: the whole word).
 STEM_LENGTHS = range(3, 10)
-#: A stem's documents must be this many and this much toxic.
-MIN_DOCS = 5
-MIN_PRECISION = 0.6
+#: A stem must stand in this many toxic documents and be this much denser there.
+MIN_DOCS = 4
+MIN_LIFT = 8.0
+#: Occurrences of a stem in one document that count.
+BURST = 5
+#: Best stems by gain among which those that overlap are left out.
+CANDIDATES = 4000
 LABEL_ACCURACY = 0.97
 #: Words of the public lexicon: insults that are common to published toxicity word lists.
 LEXICON = (
     "idiot", "idiots", "moron", "morons", "stupid", "dumb", "loser", "losers", "scum", "trash",
     "garbage", "worthless", "pathetic", "disgusting", "clown", "imbecile", "jerk", "bastard",
-    "filth", "vermin", "hate", "ugly", "shut up",
+    "filth", "vermin", "hate", "ugly",
 )
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -201,34 +205,53 @@ def logistic(x, target, ridge=1.0, steps=30):
 
 def _stem_counter():
     def fn(rows):
-        found, toxic = Counter(), Counter()
+        docs, toxic, clean = Counter(), Counter(), Counter()
         for text, label in zip(rows["text"], rows["label"]):
-            stems = {s for w in letter_words(text) for s in beginnings(w)}
-            (toxic if label else found).update(stems)
-        names = list(found.keys() | toxic.keys())
-        return {"stem": names, "toxic": [toxic[s] for s in names], "clean": [found[s] for s in names]}
+            words, own = letter_words(text), Counter()
+            for word, n in words.items():
+                for s in beginnings(word):
+                    own[s] += n
+            into = toxic if label else clean
+            for s, n in own.items():
+                into[s] += min(n, BURST)
+            if label:
+                docs.update(own.keys())
+            into[""] += words.total()  # the empty stem counts all words
+        names = list(clean.keys() | toxic.keys())
+        return {"stem": names, "docs": [docs[s] for s in names],
+                "toxic": [toxic[s] for s in names], "clean": [clean[s] for s in names]}
 
     return fn
 
 
 def find_stems(sample: DataFrame, most=STEMS) -> list:
-    """(stem, weight) of the stems most typical of toxic documents, at most ``most`` of them."""
-    totals = sample.agg(F.sum("label"), F.count(F.lit(1))).first()
-    toxic, rows = totals[0] or 0, totals[1]
-    clean = rows - toxic
-    if not toxic or not clean:
+    """(stem, weight) of the stems most typical of toxic documents, at most ``most`` of them.
+
+    The weight is the log of how much denser the stem is in toxic text than in clean text.  A stem
+    is left out when a better one is a beginning of it, or it of a better one.
+    """
+    from starsync.session import stage
+
+    counted = stage(
+        map_texts(sample, _stem_counter, "stem string, docs long, toxic long, clean long")
+        .groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("docs", "toxic", "clean")]),
+        "toxicity-stems")
+    words = counted.where("stem = ''").first()
+    if not words or not words.toxic or not words.clean:
         return []
-    counted = (
-        map_texts(sample, _stem_counter, "stem string, toxic long, clean long")
-        .groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= MIN_DOCS)
-               & (F.col("toxic") >= (F.col("toxic") + F.col("clean")) * MIN_PRECISION))
-        .withColumn("odds", F.log(((F.col("toxic") + 0.5) / (toxic + 1))
-                                  / ((F.col("clean") + 0.5) / (clean + 1))))
-        .withColumn("gain", F.col("toxic") * F.col("odds"))
+    weight = F.log((F.col("toxic") / words.toxic) / ((F.col("clean") + 0.5) / words.clean))
+    best = (
+        counted.where((F.col("stem") != "") & (F.col("docs") >= MIN_DOCS))
+        .withColumn("weight", weight).where(F.col("weight") >= np.log(MIN_LIFT))
+        .withColumn("gain", F.col("toxic") * F.col("weight"))
+        .orderBy(F.desc("gain"), F.desc(F.length("stem")), "stem").limit(CANDIDATES).collect()
     )
-    best = counted.orderBy(F.desc("gain"), F.length("stem"), "stem").limit(most).collect()
-    return [(r.stem, float(r.odds)) for r in best]
+    kept = {}
+    for r in best:
+        stem = r.stem
+        if len(kept) < most and not any(k.startswith(stem) or stem.startswith(k) for k in kept):
+            kept[stem] = min(float(r.weight), 6.0)
+    return list(kept.items())
 
 
 def train(docs: DataFrame, labels: DataFrame, label="toxic", rows=SAMPLE_ROWS) -> dict:
@@ -236,7 +259,7 @@ def train(docs: DataFrame, labels: DataFrame, label="toxic", rows=SAMPLE_ROWS) -
     from starsync.session import stage
 
     sample = stage(labelled_sample(docs, labels, label, rows), "toxicity-sample")
-    found = dict(find_stems(sample))
+    found = dict(find_stems(sample))  # at most STEMS
     stems = list(found) + [w + "$" for w in LEXICON if w + "$" not in found]
     weights = [found.get(s, 3.0) for s in stems]
     model = {"stems": stems, "weights": weights, "linear": None}
