@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starsync.llm import quality_model, quality_rules, toxicity
+from starsync.llm import byte_bpe, packing, quality_model, quality_rules, toxicity
 from starsync.llm.common import table
 
 
@@ -16,6 +16,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of the ids and the decoded bytes of every document."""
+    return byte_bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -24,6 +34,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
+    "op3_packing": op3_packing,
+    "op4_byte_bpe": op4_byte_bpe,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
