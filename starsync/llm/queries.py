@@ -2,7 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starsync.llm import byte_bpe, packing, quality_model, quality_rules, toxicity
+from starsync.llm import (
+    byte_bpe, packing, quality_model, quality_rules, token_counts, toxicity,
+)
 from starsync.llm.common import table
 
 
@@ -26,6 +28,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document, from a cache that is empty at first."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -36,6 +43,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op8_token_counts": op8_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
