@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from starsync.llm import (
-    byte_bpe, packing, quality_model, quality_rules, token_counts, toxicity,
+    byte_bpe, fingerprints, packing, quality_model, quality_rules, secrets, token_counts, toxicity,
 )
 from starsync.llm.common import table
 
@@ -28,6 +28,16 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.with_edits(table(spark, sf_dir, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document, from a cache that is empty at first."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
@@ -43,6 +53,8 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_fingerprints": op5_fingerprints,
+    "op7_secret_scan": op7_secret_scan,
     "op8_token_counts": op8_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
 }
