@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from starsync.llm import (
-    byte_bpe, fingerprints, packing, quality_model, quality_rules, secrets, token_counts, toxicity,
+    byte_bpe, fingerprints, packing, quality_model, quality_rules, secrets, simhash, token_counts,
+    toxicity,
 )
 from starsync.llm.common import table
 
@@ -33,6 +34,11 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.components_of(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.scan(table(spark, sf_dir, "documents"))
@@ -54,6 +60,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_fingerprints": op5_fingerprints,
+    "op6_simhash": op6_simhash,
     "op7_secret_scan": op7_secret_scan,
     "op8_token_counts": op8_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
