@@ -19,11 +19,10 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame
 
+from starsync.llm.chunks import ChunkMemo, kept
 from starsync.llm.common import map_texts
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Chunks whose ids a task remembers before it starts anew.
-REMEMBER = 300_000
 
 
 def byte_characters() -> list:
@@ -81,7 +80,7 @@ def serialise_model(tokens) -> bytes:
 
 
 class Codec:
-    """Encodes and decodes by a rank file; built once per task."""
+    """Encodes and decodes by a rank file; built once per worker."""
 
     def __init__(self, path, pattern):
         import regex
@@ -93,12 +92,11 @@ class Codec:
         self.pattern = regex.compile(
             pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
             .replace(r"\S", r"\P{White_Space}"))
-        self.double = regex.compile(r"\p{White_Space} ")
         self.to_chars = dict(enumerate(byte_characters()))
         inverse = {c: b for b, c in self.to_chars.items()}
         self.bytes_of = [
             bytes(inverse[c] for c in self.model.id_to_piece(i)) for i in range(len(tokens))]
-        self.chunks = {}
+        self.encode = ChunkMemo(self.encode_many).encode
 
     def encode_pre_tokens(self, pre_tokens) -> list:
         """Ids of each pre-token, as little-endian unsigned 32-bit integers."""
@@ -106,30 +104,11 @@ class Codec:
         return [np.array(ids, dtype="<u4").tobytes()
                 for ids in self.model.encode(mapped, num_threads=1)]
 
-    def learn(self, chunks):
-        """Remember the ids of chunks that were not seen before."""
-        parts = [self.pattern.findall(c) for c in chunks]
+    def encode_many(self, texts) -> list:
+        """Ids of each text: those of its pre-tokens, which are encoded together."""
+        parts = [self.pattern.findall(t) for t in texts]
         ids = iter(self.encode_pre_tokens([p for part in parts for p in part]))
-        for chunk, part in zip(chunks, parts):
-            self.chunks[chunk] = b"".join([next(ids) for _ in part])
-
-    def split(self, text) -> list:
-        """Chunks that no pre-token crosses, which together are the text.
-
-        A space that follows no other white space always begins a pre-token.
-        """
-        if self.double.search(text):
-            return self.pattern.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + part for part in rest]]
-
-    def encode(self, texts) -> list:
-        """Ids of each text, as little-endian unsigned 32-bit integers."""
-        if len(self.chunks) > REMEMBER:
-            self.chunks.clear()
-        split = [self.split(t) for t in texts]
-        self.learn(list({c for chunks in split for c in chunks} - self.chunks.keys()))
-        return [b"".join([self.chunks[c] for c in chunks]) for chunks in split]
+        return [b"".join([next(ids) for _ in part]) for part in parts]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join([self.bytes_of[i] for i in np.frombuffer(ids, "<u4").tolist()])
@@ -152,7 +131,7 @@ def _run(docs, path, pattern, with_ids):
     path = path or public_tokenizers.path(RANKS)
 
     def make():
-        codec = Codec(path, pattern)
+        codec = kept(("bpe", path, pattern), lambda: Codec(path, pattern))
 
         def fn(batch):
             ids = codec.encode([t or "" for t in batch["text"]])

@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: Characters of text that a task works on at a time (a single longer text is one slice).
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 _shipped = set()
 

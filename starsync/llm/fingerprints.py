@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from starsync.llm.chunks import Memo, kept
 from starsync.llm.common import map_texts, ship, utf8
 from starsync.session import stage
 
@@ -31,37 +32,31 @@ WORDS = 5
 SEED = 20_24
 #: Shingles that are hashed at a time (a block of ROWS x LANES numbers of 64 bits).
 ROWS = 2048
-#: Words whose hashes a task remembers before it starts anew.
-REMEMBER = 300_000
 
 BANDS = 16
 THRESHOLD = 0.8
 
 
 class Signer:
-    """Computes signatures; built once per task."""
+    """Computes signatures; built once per worker."""
 
     def __init__(self, lanes=LANES, words=WORDS, seed=SEED):
+        import xxhash
+
         draw = np.random.default_rng(seed)
         odd = lambda n: draw.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.place, self.a, self.b = odd(words), odd(lanes), odd(lanes)
         self.fold = odd(1)[0]
-        self.words, self.hashes = words, {}
+        self.words = words
+        self.hashes = Memo(lambda found: map(xxhash.xxh64_intdigest, found))
 
     def shingles(self, text) -> np.ndarray:
         """Hashes of the shingles of a text, repeats included."""
-        import xxhash
-
         found = utf8(text).split()
         if not found:
             return np.empty(0, dtype=np.uint64)
-        new = set(found) - self.hashes.keys()
-        if new:
-            if len(self.hashes) > REMEMBER:
-                self.hashes.clear()
-                new = set(found)
-            self.hashes.update((w, xxhash.xxh64_intdigest(w)) for w in new)
-        h = np.array([self.hashes[w] for w in found], dtype=np.uint64)
+        self.hashes.learn(set(found))
+        h = np.fromiter(map(self.hashes.young.__getitem__, found), dtype=np.uint64, count=len(found))
         k = min(self.words, len(h))
         mixed = np.zeros(len(h) - k + 1, dtype=np.uint64)
         for i in range(k):
@@ -124,7 +119,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         """All rows but the last with their results, and the first and last text of the range."""
-        signer, part = Signer(), TaskContext.get().partitionId()
+        signer, part = kept("signer", Signer), TaskContext.get().partitionId()
         before = None  # doc_id, text and lanes of the row before
         out = []
 
@@ -159,7 +154,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
         firsts, "_next").select("doc_id", "text", "following")
 
     def make():
-        signer = Signer()
+        signer = kept("signer", Signer)
 
         def fn(rows):
             values = [_compare(signer, t, signer.sign(t), f, signer.sign(f))

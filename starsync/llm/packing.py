@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starsync.llm.chunks import ChunkMemo, kept
 from starsync.llm.common import map_texts, ship
 from starsync.operators.numbering import number_rows
 from starsync.session import stage
@@ -36,46 +37,23 @@ from starsync.session import stage
 SIZE = 2048
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
-#: Chunks whose ids a task remembers before it starts anew.
-REMEMBER = 300_000
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file whose pre-tokens never cross a single space."""
+    """Ids of texts by a tokenizer file of the byte-level kind; built once per worker."""
 
     def __init__(self, path):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.double = regex.compile(r"\p{White_Space} ")
-        self.chunks = {}
+        self.encode = ChunkMemo(self.encode_many).encode
 
-    def _ids(self, texts):
+    def encode_many(self, texts) -> list:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def encode(self, texts) -> list:
-        """Ids of each text, as little-endian unsigned 32-bit integers.
-
-        A space after a character that is not white space begins a pre-token, so the chunks
-        between spaces are encoded once and remembered; other texts are encoded whole.
-        """
-        if len(self.chunks) > REMEMBER:
-            self.chunks.clear()
-        split = []
-        for t in texts:
-            if self.double.search(t):
-                split.append([t])
-            else:
-                first, *rest = t.split(" ")
-                split.append([first, *[" " + part for part in rest]])
-        new = list({c for chunks in split for c in chunks} - self.chunks.keys())
-        self.chunks.update(zip(new, self._ids(new)))
-        return [b"".join([self.chunks[c] for c in chunks]) for chunks in split]
-
 
 def cut(n: int, size: int) -> list:
     """(start, length) of the pieces of ``n`` ids: full ones, after a shorter first one if need be."""
@@ -92,7 +70,7 @@ def pieces(docs: DataFrame, path=None, size=SIZE) -> DataFrame:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        encoder = Encoder(path)
+        encoder = kept(("packing", path), lambda: Encoder(path))
 
         def fn(batch):
             out = {c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32")}

@@ -22,13 +22,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starsync.llm.chunks import Memo, kept
 from starsync.llm.common import map_texts
 from starsync.session import stage, work_dir
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
-#: Words whose counts a task remembers before it starts anew.
-REMEMBER = 300_000
 
 CACHE = "version string, digest binary, n_tokens long"
 
@@ -49,7 +48,7 @@ def normalised(path, text="text"):
 
 
 class Counter:
-    """Counts tokens; built once per task."""
+    """Counts tokens; built once per worker."""
 
     def __init__(self, path):
         self.whole = str(path).endswith(".model")
@@ -63,19 +62,17 @@ class Counter:
             self.model = Tokenizer.from_file(path)
             self.model.no_padding()
             self.model.no_truncation()
-        self.words = {}
+            self.words = Memo(lambda words: [
+                len(e.ids) for e in self.model.encode_batch_fast(words, add_special_tokens=False)])
 
     def counts(self, texts) -> list:
         if self.whole:
             return [len(ids) for ids in self.model.encode(texts, num_threads=1)]
         # The tokenizer drops white space, so a text's tokens are those of its words.
-        if len(self.words) > REMEMBER:
-            self.words.clear()
         split = [t.split(" ") for t in texts]
-        new = list({w for words in split for w in words} - self.words.keys())
-        found = self.model.encode_batch_fast(new, add_special_tokens=False)
-        self.words.update((w, len(e.ids)) for w, e in zip(new, found))
-        return [sum([self.words[w] for w in words]) for words in split]
+        self.words.learn(set().union(*split))
+        find = self.words.young.__getitem__
+        return [sum(map(find, words)) for words in split]
 
 
 def read_cache(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame:
@@ -113,7 +110,7 @@ def encode_misses(docs: DataFrame, keyed: DataFrame, cache: str, path, tokenizer
         _first_of_task, "digest binary, text string")
 
     def make():
-        counter, first = Counter(path), _first_of_task()
+        counter, first = kept(("counter", path), lambda: Counter(path)), _first_of_task()
 
         def fn(rows):
             rows = first(rows)  # what several tasks have sent
