@@ -33,11 +33,12 @@ class Memo:
         """Make sure that ``young`` has the values of a set of strings."""
         if len(self.young) > self.most:
             self.young, self.old = {}, self.young
-        missing = strings - self.young.keys()
-        again = missing & self.old.keys()
-        for s in again:
-            self.young[s] = self.old[s]
-        missing = list(missing - again)
+        missing = []
+        for s in strings.difference(self.young):
+            if s in self.old:
+                self.young[s] = self.old[s]
+            else:
+                missing.append(s)
         for at in range(0, len(missing), BLOCK):
             block = missing[at:at + BLOCK]
             self.young.update(zip(block, self.compute(block)))
