@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from starsync.llm import (
-    byte_bpe, fingerprints, packing, quality_model, quality_rules, secrets, simhash, token_counts,
-    toxicity,
+    byte_bpe, fingerprints, packing, quality_model, quality_rules, repeats, secrets, simhash,
+    token_counts, toxicity,
 )
 from starsync.llm.common import table
 
@@ -49,6 +49,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages that stand elsewhere, too."""
+    return repeats.spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -63,6 +68,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_secret_scan": op7_secret_scan,
     "op8_token_counts": op8_token_counts,
+    "op9_repeats": op9_repeats,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
