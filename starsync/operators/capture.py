@@ -15,6 +15,18 @@ def _column(value, data_type) -> Column:
     return (value if isinstance(value, Column) else F.lit(value)).cast(data_type)
 
 
+def _widened(old, new):
+    """The old snapshot with the columns that only the new one has, as NULL.
+
+    A column that only the old one has is refused: its values would be lost without an event.
+    """
+    missing = [c for c in old.columns if c not in new.columns]
+    if missing:
+        raise ValueError(f"columns only in the old snapshot: {missing}")
+    added = [f for f in new.schema.fields if f.name not in old.columns]
+    return old.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
+
+
 def _pair_up(old, new, uid):
     """One row per uid with both versions side by side (``o`` / ``n``, NULL when missing)."""
     o = old.select(F.col(uid).alias("_uid"), F.struct(*old.columns).alias("o"))
@@ -24,10 +36,9 @@ def _pair_up(old, new, uid):
 
 def _events(old, new, uid, ignored):
     """``action, row_data, changed_fields`` of every difference outside the ignored columns."""
-    names = [c for c in old.columns if c not in set(ignored)]
-    missing = [c for c in names if c not in new.columns]
-    if missing:
-        raise ValueError(f"columns only in the old snapshot: {missing}")
+    ignored = set(ignored)
+    old = _widened(old.drop(*ignored - {uid}), new)
+    names = [c for c in old.columns if c not in ignored]
     o, n = F.col("o"), F.col("n")
     differs = {c: ~o[c].eqNullSafe(n[c]) for c in names}
     any_change = F.lit(False)
@@ -78,7 +89,8 @@ def capture_changes(old: DataFrame, new: DataFrame, ident: str, uid="uid", ignor
 
     An insert carries the new row; an update the old row plus the new values of the changed
     columns; a delete the old row.  Ignored columns appear nowhere, and an update that changes
-    nothing else is not logged.  ``event_id`` stays NULL until ``order_events`` assigns it.
+    nothing else is not logged.  A column that only ``new`` has was NULL before.  ``event_id`` stays
+    NULL until ``order_events`` assigns it.
 
     One full outer join on the unique ``uid``; values are compared typed, and only rows that
     differ are turned into text maps.
@@ -94,7 +106,9 @@ def capture_statements(old: DataFrame, new: DataFrame, ident: str, uid="uid", ig
     A table emptied as a whole is one truncate.  Everything is counted in a single pass with
     map-side partial sums.
     """
-    names = [c for c in old.columns if c not in set(ignored)]
+    ignored = set(ignored)
+    old = _widened(old.drop(*ignored - {uid}), new)
+    names = [c for c in old.columns if c not in ignored]
     o, n = F.col("o"), F.col("n")
     same = F.lit(True)
     for c in names:
@@ -141,10 +155,11 @@ def provenance_receipts(log: DataFrame, server_to, sync_id) -> DataFrame:
 def order_events(log: DataFrame, order_by, retained: DataFrame = None, start=0) -> DataFrame:
     """Assign increasing event ids in capture order.
 
-    Ids go on from the largest id still retained; an emptied log leaves the counter at ``start``.
+    Ids go on from the largest id still retained or from ``start``, whichever is larger, so a node
+    that stores its last id never gives one twice, also after its log was emptied.
     ``order_by`` must be unique together (for instance time, then uid).
     """
     first = F.lit(start)
     if retained is not None:
-        first = F.coalesce(largest(retained, "event_id"), first)
+        first = F.greatest(largest(retained, "event_id"), first)  # skips NULL
     return number_rows(log.drop("event_id"), order_by, "event_id", first).select(*log.columns)

@@ -11,17 +11,28 @@ from starsync.functions import maps
 ONLY_RIGHT = "not in table 1"
 ONLY_LEFT = "not in table 2"
 DIFFERENT = "table 1 != table 2"
+# Of tables that cannot be compared row by row.
+NO_LEFT = "table 1 is missing"
+NO_RIGHT = "table 2 is missing"
+NO_KEYS = "not registered"
+
+
+def _with_columns_of(df: DataFrame, other: DataFrame) -> DataFrame:
+    absent = [f for f in other.schema.fields if f.name not in df.columns]
+    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
 
 
 def compare_tables(left: DataFrame, right: DataFrame, key_cols, uid="uid") -> DataFrame:
     """Rows that are missing on one side or differ outside the local key columns.
 
+    Columns of either side are compared; one that a side lacks is NULL there.
     One full outer join on the unique uid; columns are compared typed and NULL-safe, and only
     rows that differ get their maps of differing values.
     """
     key_cols = list(key_cols or ())
     if not key_cols:
         raise ValueError("a table needs registered key columns to be compared")
+    left, right = _with_columns_of(left, right), _with_columns_of(right, left)
     names = [c for c in left.columns if c not in key_cols]
     a = left.select(F.col(uid).alias("_uid"), F.struct(*names).alias("a"))
     b = right.select(F.col(uid).alias("_uid"), F.struct(*names).alias("b"))
@@ -49,12 +60,19 @@ def compare_tables(left: DataFrame, right: DataFrame, key_cols, uid="uid") -> Da
 def compare_all(pairs, uid="uid") -> DataFrame:
     """Differences per table and status over many tables; no row means all copies agree.
 
-    ``pairs`` maps a label to ``(left, right, key_cols)``.
+    ``pairs`` maps a label to ``(left, right, key_cols)``.  A table that one side lacks (None) or
+    that has no registered keys is reported with the rows of the side that is there.
     """
+    def part(left, right, keys):
+        if left is None or right is None or not keys:
+            status = NO_LEFT if left is None else NO_RIGHT if right is None else NO_KEYS
+            rows = (right if left is None else left).agg(F.count(F.lit(1)).alias("n_rows"))
+            return rows.withColumn("status", F.lit(status))
+        return compare_tables(left, right, keys, uid).groupBy("status").agg(
+            F.count(F.lit(1)).alias("n_rows"))
+
     parts = [
-        compare_tables(left, right, keys, uid)
-        .groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(label).alias("label"), "status", "n_rows")
-        for label, (left, right, keys) in pairs.items()
+        part(*pair).select(F.lit(label).alias("label"), "status", "n_rows")
+        for label, pair in pairs.items()
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -237,14 +237,38 @@ def _new_value(field: T.StructField, otherwise: Column) -> Column:
     ).otherwise(otherwise)
 
 
-def apply_effects(snapshot: DataFrame, effects: DataFrame, keys=("uid",), local_keys=(),
+def inserted_rows(snapshot: DataFrame, effects: DataFrame, keys=("uid",), local_keys=(),
                   number_local=False) -> DataFrame:
+    """The rows that the net effects insert, as they are stored, with ``_birth`` (the inserting
+    event) and ``_micros`` (its edit time).
+
+    With ``number_local`` each row gets a new local key, counted on from the largest one in order
+    of insertion; otherwise local keys are NULL.
+    """
+    keys, local_keys = list(keys), list(local_keys)
+    rows = effects.filter("fresh").select(
+        *[
+            F.col(f.name) if f.name in keys
+            else F.lit(None).cast(f.dataType).alias(f.name) if f.name in local_keys
+            else _new_value(f, exprs.typed(F.element_at("birth_row", f.name), f.dataType))
+            .alias(f.name)
+            for f in snapshot.schema.fields
+        ],
+        F.col("birth").alias("_birth"), F.col("birth_micros").alias("_micros"),
+    )
+    if number_local and not rows.isEmpty():
+        for key in local_keys:
+            rows = assign_local_ids(rows, key, snapshot, ["_birth", *keys])
+    return rows
+
+
+def apply_effects(snapshot: DataFrame, effects: DataFrame, keys=("uid",), local_keys=(),
+                  number_local=False, inserted: DataFrame = None) -> DataFrame:
     """The snapshot after the net effects.
 
     The table is the left side of a left join, so a small set of effects is broadcast at run time
-    and the table is neither shuffled nor exploded into cells.  Inserted rows need no join.  With
-    ``number_local`` each inserted row gets a new local key, counted on from the largest one in
-    order of insertion; otherwise local keys of inserted rows are NULL.
+    and the table is neither shuffled nor exploded into cells.  Inserted rows need no join; give
+    those of ``inserted_rows`` when they are used elsewhere, too.
     """
     keys, local_keys = list(keys), list(local_keys)
     fields = snapshot.schema.fields
@@ -260,19 +284,8 @@ def apply_effects(snapshot: DataFrame, effects: DataFrame, keys=("uid",), local_
             for f in fields
         ])
     )
-    inserted = effects.filter("fresh").select(
-        *[
-            _new_value(f, exprs.typed(F.element_at("birth_row", f.name), f.dataType))
-            .alias(f.name) if f in plain
-            else F.col(f.name) if f.name in keys
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in fields
-        ],
-        F.col("birth").alias("_birth"),
-    )
-    if number_local and not inserted.isEmpty():
-        for key in local_keys:
-            inserted = assign_local_ids(inserted, key, snapshot, ["_birth", *keys])
+    if inserted is None:
+        inserted = inserted_rows(snapshot, effects, keys, local_keys, number_local)
     return kept.unionByName(inserted.select(*snapshot.columns))
 
 
@@ -333,9 +346,11 @@ def replay_to_clone(snapshot: DataFrame, changes: DataFrame, keys=("uid",), loca
 
 
 def effect_events(snapshot: DataFrame, effects: DataFrame, ident: str, origin: str,
-                  keys=("uid",), tstamp=None) -> DataFrame:
+                  keys=("uid",), tstamp=None, inserted: DataFrame = None) -> DataFrame:
     """Log events for the net effects of a replay at the centre, stamped with their origin.
 
+    ``inserted`` are the inserted rows as they were stored (``inserted_rows``), so an insert is
+    logged with the local key that the row has at the centre.
     One update per changed cell with the edit time of that cell, so that later rounds compare
     with the moment the clone edited it; one insert or delete per row.  A cell that already held
     the value gives no event.  ``order_key`` holds the replayed event id for ``order_events``.
@@ -379,17 +394,12 @@ def effect_events(snapshot: DataFrame, effects: DataFrame, ident: str, origin: s
     gone_or_changed = paired.select(F.explode(
         F.when(ended, died).otherwise(updates)
     ).alias("e"))
+    if inserted is None:
+        inserted = inserted_rows(snapshot, effects, keys)
     new_row = F.map_from_arrays(
-        F.array(*[F.lit(f.name) for f in snapshot.schema.fields]),
-        F.array(*[
-            (F.col(f.name) if f.name in keys else _new_value(
-                f, exprs.typed(F.element_at("birth_row", f.name), f.dataType)
-            )).cast("string")
-            for f in snapshot.schema.fields
-        ]),
-    )
-    born = effects.filter("fresh").select(
-        event(INSERT, F.col("birth"), F.col("birth_micros"), new_row).alias("e")
+        F.array(*[F.lit(c) for c in names]), F.array(*[F.col(c).cast("string") for c in names]))
+    born = inserted.select(
+        event(INSERT, F.col("_birth"), F.col("_micros"), new_row).alias("e")
     )
     now = F.current_timestamp() if tstamp is None else F.lit(tstamp).cast("timestamp")
     text = F.lit(None).cast("string")
@@ -419,6 +429,21 @@ def retain_failed(log: DataFrame, statuses: DataFrame) -> DataFrame:
     return log.join(failed, "event_id", "left_semi").select(*log.columns)
 
 
+def failed_parts(log: DataFrame, statuses: DataFrame) -> DataFrame:
+    """The failed changes of a log: updates keep only the columns that failed.
+
+    So what did apply is not applied again, over later edits, when the rest is retried.
+    """
+    failed = failures(statuses).groupBy("event_id").agg(F.collect_set("field").alias("_failed"))
+    kept = F.map_filter("changed_fields", lambda k, _: F.array_contains("_failed", k))
+    return (
+        log.join(failed, "event_id")
+        .withColumn("changed_fields", F.when(F.size("_failed") > 0, kept)
+                    .otherwise(F.col("changed_fields")))
+        .select(*log.columns)
+    )
+
+
 def mark_replayed(events: DataFrame, clone: str, sync_id: str) -> DataFrame:
     """Receipts: this clone has seen these events (one receipt per event)."""
     return events.select("event_id").distinct().select(
@@ -500,7 +525,10 @@ def rollback_events(snapshot: DataFrame, log: DataFrame, ids: DataFrame, ident:
     the old values of the columns it changed.  Events that ``rollback_guard`` refuses are left
     alone; check it first to report them.
     """
-    guard = rollback_guard(log, ids, keys).filter("allowed").select("event_id")
+    schema_name, table_name = ident.split(".", 1)
+    own = log.filter(
+        (F.col("schema_name") == schema_name) & (F.col("table_name") == table_name))
+    guard = rollback_guard(own, ids, keys).filter("allowed").select("event_id")
     chosen = _keyed(log, ident, keys).join(guard, "event_id", "left_semi")
     restored = F.map_filter(
         F.col("row_data"), lambda k, _: F.map_contains_key("changed_fields", k)

@@ -29,10 +29,17 @@ class Round:
     to_clone: int
     conflicts: int
     failed: int
+    logged: int = 0
+    failures: tuple = ()
 
     @property
     def quiet(self):
-        return not (self.to_central or self.to_clone or self.failed)
+        """Nothing changed at either side (failed events may be waiting in the clone's log)."""
+        return not (self.logged or self.to_clone)
+
+
+class NotConverged(Exception):
+    """The rounds over a star still change something after the cycles its caller allowed."""
 
 
 def table_name(node: str, ident: str) -> str:
@@ -61,13 +68,27 @@ def log_edit(store: Store, node: str, ident: str, after: DataFrame, now: datetim
     events = capture.capture_changes(
         before, after, ident, uid, tstamp=F.lit(now), **capture_options
     ).withColumn("_uid", F.element_at("row_data", uid))
-    events = capture.order_events(events, ["_uid"], retained=log).drop("_uid")
+    events = capture.order_events(
+        events, ["_uid"], retained=log, start=last_event_id(store, node)).drop("_uid")
     tx = store.begin()
     tx.overwrite(table_name(node, ident), after)
-    tx.append(f"{node}/log", events)
+    count_events(tx, node, tx.append(f"{node}/log", events))
     tx.commit()
 
 
+def last_event_id(store: Store, node: str) -> int:
+    """The last event id that a node has given, also when its log was emptied since."""
+    return store.read(f"{node}/last_event", schemas.LAST_EVENT).agg(
+        F.coalesce(F.max("event_id"), F.lit(0))).first()[0]
+
+
+def count_events(tx, node: str, events: DataFrame):
+    """Keep the node's counter with the events of the same commit."""
+    held = tx.store.read(f"{node}/last_event", schemas.LAST_EVENT)
+    top = held.unionByName(events.select("event_id")).agg(F.max("event_id")).first()[0] or 0
+    tx.overwrite(f"{node}/last_event", tx.store.spark.createDataFrame([(top,)], schemas.LAST_EVENT))
+
+
 def _replay_tables(store, tx, node, changes, idents, local_keys, uid, strict):
     """Replay one side's survivors onto the tables of a node.
 
@@ -93,14 +114,19 @@ def _replay_tables(store, tx, node, changes, idents, local_keys, uid, strict):
     statuses, effects = replay.fold(known, key_rows, keys, keep=_keep_by_table)
     if strict:
         replay.require_clean(statuses)
-    by_table = {
-        i: (before[i], effects.filter(F.col("ident") == i).drop("ident")) for i in present
-    }
+    def with_inserts(ident):
+        # Numbered once: the table and the log get the same rows.
+        mine = effects.filter(F.col("ident") == ident).drop("ident")
+        return before[ident], mine, stage(replay.inserted_rows(
+            before[ident], mine, (uid,), tuple(local_keys.get(ident, ())), number_local=True),
+            "inserted")
+
+    by_table = dict(zip(present, run_all([partial(with_inserts, i) for i in present])))
 
     def rewrite(ident):
-        old, mine = by_table[ident]
+        old, mine, inserted = by_table[ident]
         tx.overwrite(table_name(node, ident), replay.apply_effects(
-            old, mine, (uid,), tuple(local_keys.get(ident, ())), number_local=True))
+            old, mine, (uid,), tuple(local_keys.get(ident, ())), inserted=inserted))
 
     return statuses, by_table, [partial(rewrite, i) for i in present]
 
@@ -115,9 +141,13 @@ def _union(frames):
 
 
 def synchronize(store: Store, clone: str, central: str, now: datetime, uid="uid",
-                mode="updates") -> Round:
+                mode="updates", excluded=(), use_marks=True, only_listed=False) -> Round:
     """One round: the centre's news to the clone, then the clone's to the centre.
 
+    ``excluded`` columns do not travel.  ``use_marks=False`` looks for news by receipts alone, which
+    also finds events that committed late.  ``only_listed`` sends the centre only the tables on the
+    clone's list; the other events stay in the clone's log.
+
     Both logs are brought to field grain once, and one shuffle compacts them, pairs the edits of
     the same cell and decides the conflicts.  Everything becomes visible with a single commit at
     the end: a round that dies, or a batch the clone cannot apply as a whole, leaves the store as
@@ -130,6 +160,8 @@ def synchronize(store: Store, clone: str, central: str, now: datetime, uid="uid"
     central_log = store.read(f"{central}/log", schemas.CHANGE_LOG)
     clone_log = store.read(f"{clone}/log", schemas.CHANGE_LOG)
     history = fold_history(store.read(f"{central}/history", schemas.HISTORY_RECORDS))
+    sync_tables = store.read(f"{central}/sync_tables", schemas.SYNC_TABLES)
+    last_id = last_event_id(store, central)
     local_keys = {
         r["ident"]: r["keys"] for r in registry.relation_keys(relations).collect()
     }  # catalogue metadata: a few names per table
@@ -138,11 +170,16 @@ def synchronize(store: Store, clone: str, central: str, now: datetime, uid="uid"
         central_log,
         store.read(f"{central}/receipts", schemas.RECEIPTS),
         history,
-        store.read(f"{central}/sync_tables", schemas.SYNC_TABLES),
-        clone, central,
+        sync_tables, clone, central, use_marks,
     )
-    from_central = stage(pending.to_field_grain(news, relations, uid), "from_central")
-    from_clone = pending.to_field_grain(pending.pending_clone(clone_log), relations, uid)
+    from_central = stage(
+        pending.to_field_grain(news, relations, uid, excluded), "from_central")
+    edits = pending.pending_clone(clone_log)
+    held_back = clone_log.limit(0)
+    if only_listed:
+        listed = F.coalesce(pending.allowed(sync_tables, clone), F.lit(False))
+        edits, held_back = clone_log.filter(listed), clone_log.filter(~listed)
+    from_clone = pending.to_field_grain(edits, relations, uid, excluded)
     merged = stage(resolve.reconcile(from_central, from_clone, mode), "reconciled")
 
     bounds = resolve.sync_bounds(from_central).first()
@@ -188,23 +225,31 @@ def synchronize(store: Store, clone: str, central: str, now: datetime, uid="uid"
 
         def log_effects():
             events = _union([
-                replay.effect_events(before, effects, ident, clone, (uid,), now)
-                for ident, (before, effects) in by_table.items()
+                replay.effect_events(before, effects, ident, clone, (uid,), now, inserted)
+                for ident, (before, effects, inserted) in by_table.items()
             ]).withColumn("order_field", F.coalesce(F.map_keys("changed_fields")[0], F.lit("")))
             events = tx.append(f"{central}/log", capture.order_events(
-                events, ["order_key", "order_field"], retained=central_log
+                events, ["order_key", "order_field"], retained=central_log, start=last_id
             ).drop("order_key", "order_field"))
+            count_events(tx, central, events)
             tx.append(
                 f"{central}/receipts", capture.provenance_receipts(events, central, up_id))
+            return events.count()
 
-        kept = replay.retain_failed(clone_log, statuses)
+        def failed():
+            """How many changes failed, and a sum that tells which (order does not matter)."""
+            f = replay.failures(statuses).agg(
+                F.count(F.lit(1)), F.sum(F.xxhash64("event_id", "field").cast("decimal(38,0)")))
+            return tuple(f.first())
+
+        kept = replay.retain_failed(edits, statuses).unionByName(held_back)
         done = run_all([
-            lambda: replay.failures(statuses).count(),
+            failed,
             lambda: tx.overwrite(f"{clone}/log", kept),
-            *([log_effects] if by_table else []),
+            log_effects if by_table else lambda: 0,
             *rewrites,
         ])
-        return done[0]
+        return done[0], done[2]
 
     def ledger():
         tx.append(f"{central}/conflicts", resolve.conflict_ledger(
@@ -215,13 +260,15 @@ def synchronize(store: Store, clone: str, central: str, now: datetime, uid="uid"
 
     # The two directions change different tables, and all their inputs are staged by now.
     jobs = {
-        "up": up if up_id else lambda: tx.overwrite(f"{clone}/log", clone_log.limit(0)),
+        "up": up if up_id else lambda: tx.overwrite(f"{clone}/log", held_back),
         "down": down if down_id else None,
         "ledger": ledger if n_conflicts else None,
         "history": history_entry if records else None,
+        "counter": lambda: count_events(tx, clone, clone_log),  # the log is about to be emptied
     }
     outcome = run_all([job for job in jobs.values() if job])
-    n_failed = outcome[0] if up_id else 0
+    failures, n_logged = outcome[0] if up_id else ((0, None), 0)
+    n_failed = failures[0]
     tx.commit(note=sync_id)
     return Round(
         sync_id=sync_id,
@@ -229,36 +276,54 @@ def synchronize(store: Store, clone: str, central: str, now: datetime, uid="uid"
         to_clone=sum(r[CENTRAL] for r in per_table),
         conflicts=n_conflicts,
         failed=n_failed,
+        logged=n_logged,
+        failures=failures,
     )
 
 
 def synchronize_star(store: Store, clones, central: str, clock, uid="uid", schedule=None,
-                     max_cycles=10) -> list:
-    """Rounds over several clones: in the order of ``schedule``, or until a cycle is quiet.
+                     max_cycles=None) -> list:
+    """Rounds over several clones: in the order of ``schedule``, or until they have converged.
 
-    ``clock`` gives the time of each round; times must increase.
+    Converged means that a whole cycle changed no table and failed with the same changes as the
+    cycle before: more rounds would do the same again.  There is no limit of cycles unless the
+    caller sets one; if it is reached first, ``NotConverged`` is raised.  ``clock`` gives the time
+    of each round; times must increase.
     """
     if schedule is not None:
         return [(c, synchronize(store, c, central, clock(), uid)) for c in schedule]
-    rounds = []
-    for _ in range(max_cycles):
+    rounds, failed_before = [], None
+    while max_cycles is None or len(rounds) < max_cycles * len(clones):
         cycle = [(c, synchronize(store, c, central, clock(), uid)) for c in clones]
         rounds.extend(cycle)
-        if all(r.quiet for _, r in cycle):
-            break
-    return rounds
+        failed = [r.failures for _, r in cycle]
+        none = all(not r.failed for _, r in cycle)
+        if all(r.quiet for _, r in cycle) and (none or failed == failed_before):
+            return rounds
+        failed_before = failed
+    raise NotConverged(f"tables still change or other events fail after {max_cycles} cycles")
 
 
 def compare_star(store: Store, clones, central: str, uid="uid") -> DataFrame:
-    """Differences between every synchronised table of each clone and the centre."""
+    """Differences between every table of each clone and the centre.
+
+    Tables on a clone's list that it lacks, and tables without registered keys, are reported.
+    """
     relations = store.read(f"{central}/relations", schemas.RELATIONS)
     keys = {r["ident"]: r["keys"] for r in registry.relation_keys(relations).collect()}
+    sync_tables = store.read(f"{central}/sync_tables", schemas.SYNC_TABLES)
+    listed = {
+        r["server_id"]: [n.replace('"', "") for n in r["tables"]]
+        for r in registry.merge_whitelist(sync_tables, sync_tables.limit(0)).collect()
+    }  # a few names per clone
     pairs = {}
     for clone in clones:
         prefix = table_name(clone, "")
-        for name in store.names(prefix):
-            ident = name[len(prefix):]
-            pairs[f"{clone}:{ident}"] = (
-                store.read(name), store.read(table_name(central, ident)), keys.get(ident)
-            )
+        held = {name[len(prefix):] for name in store.names(prefix)}
+        for ident in sorted(held.union(listed.get(clone, ()))):
+            pairs[f"{clone}:{ident}"] = tuple(
+                store.read(name) if (name := table_name(node, ident)) in store else None
+                for node in (clone, central)
+            ) + (keys.get(ident),)
+    pairs = {k: p for k, p in pairs.items() if p[0] is not None or p[1] is not None}
     return compare.compare_all(pairs, uid)

@@ -69,3 +69,12 @@ SYNC_TABLES = T.StructType([
     T.StructField("server_id", T.StringType()),
     T.StructField("tables", T.ArrayType(T.StringType())),
 ])
+
+# The last event id that a node has given.
+LAST_EVENT = T.StructType([T.StructField("event_id", T.LongType())])
+
+# The last batch of a stream that is part of a table.
+PROGRESS = T.StructType([
+    T.StructField("stream", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])

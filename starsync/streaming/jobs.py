@@ -18,6 +18,9 @@ from starsync.sources.store import Store
 
 CELL = ["ident", "uid", "field"]
 
+# Gap-wide slots of a row's sessions that one task may sort.
+SLOT_BLOCK = 4096
+
 
 def _run(stream, checkpoint, each_batch, mode="append", trigger=None):
     return (
@@ -109,15 +112,20 @@ def latest_cells(updates: DataFrame) -> DataFrame:
 def stream_retry(log: DataFrame, store: Store, table: str, dead_letters: str,
                  relations: DataFrame, keys, local_keys, checkpoint: str, uid="uid",
                  slice_size=replay.LOG_SLICE, trigger=None):
-    """Replay a growing log onto a table; events that fail are tried again with the next batch.
+    """Replay a growing log onto a table; changes that fail are tried again with the next batch.
 
-    Table and dead letters are committed together, with the batch id in the commit, so a batch
-    that is delivered again after its commit changes nothing.
+    Only the failed changes wait in the dead letters, so what applied once is never applied again
+    over later edits.  Table, dead letters and the progress of this stream (named by its checkpoint)
+    on this table are committed together, so a batch that is delivered again after its commit
+    changes nothing, whatever else was committed in between.
     """
+    progress = f"{table}/progress"
+
     def each_batch(batch, batch_id):
         tx = store.begin()
-        note = f"batch-{batch_id}"
-        if store.note == note:
+        done = store.read(progress, schemas.PROGRESS).collect()  # one row for each stream
+        last = max((r.batch_id for r in done if r.stream == checkpoint), default=-1)
+        if batch_id <= last:
             return
         waiting = store.read(dead_letters, schemas.CHANGE_LOG)
         events = stage(waiting.unionByName(batch.select(*waiting.columns)), "stream_retry")
@@ -125,8 +133,11 @@ def stream_retry(log: DataFrame, store: Store, table: str, dead_letters: str,
         result = replay.replay(store.read(table), changes, keys, local_keys,
                                slice_size=slice_size, keep=stage)
         tx.overwrite(table, result.snapshot)
-        tx.overwrite(dead_letters, replay.retain_failed(events, result.statuses))
-        tx.commit(note)
+        tx.overwrite(dead_letters, replay.failed_parts(events, result.statuses))
+        others = [tuple(r) for r in done if r.stream != checkpoint]
+        tx.overwrite(progress, batch.sparkSession.createDataFrame(
+            [*others, (checkpoint, batch_id)], schemas.PROGRESS))
+        tx.commit(f"batch-{batch_id}")
 
     return _run(log, checkpoint, each_batch, trigger=trigger)
 
@@ -148,8 +159,10 @@ def activity_sessions(log: DataFrame, gap_seconds: int, uid="uid") -> DataFrame:
     """Bursts of edits per row: events at most ``gap_seconds`` apart belong together.
 
     Events are first counted per row and gap-wide slot: neighbours inside a slot are closer than
-    the gap, so a slot never has to be split.  The window then sees at most one entry per slot of
-    the covered time span, however many events a row has.
+    the gap, so a slot never has to be split.  Slots are then chained within blocks of
+    ``SLOT_BLOCK`` of them, and what a block inherits from earlier ones (the last event, the start
+    of the open session) comes from one summary per row and block.  So no task sorts more than a
+    block of any row, however long the row has been edited.
     """
     micros = F.unix_micros("tstamp_tx")
     gap = gap_seconds * 1_000_000
@@ -163,12 +176,33 @@ def activity_sessions(log: DataFrame, gap_seconds: int, uid="uid") -> DataFrame:
         .agg(F.min("t").alias("first"), F.max("t").alias("last"),
              F.count(F.lit(1)).alias("n"))
     )
-    order = Window.partitionBy(*row).orderBy("slot")
-    opens = F.coalesce(F.col("first") - F.lag("last").over(order) > gap, F.lit(True))
+    slots = slots.withColumn("block", F.floor(F.col("slot") / SLOT_BLOCK))
+    inside = Window.partitionBy(*row, "block").orderBy("slot")
+    blocks = Window.partitionBy(*row).orderBy("block")
+    before = blocks.rowsBetween(Window.unboundedPreceding, -1)
+    # Within a block: a slot opens a session when it is too far from the one before it.
+    chained = slots.withColumn("apart", F.col("first") - F.lag("last").over(inside) > gap)
+    edges = (
+        chained.groupBy(*row, "block").agg(
+            F.min("first").alias("head"), F.max("last").alias("tail"),
+            F.max(F.when(F.col("apart"), F.col("first"))).alias("opened"))
+        .withColumn("head_opens", F.coalesce(
+            F.col("head") - F.lag("tail").over(blocks) > gap, F.lit(True)))
+        .withColumn("start", F.coalesce(
+            "opened", F.when(F.col("head_opens"), F.col("head"))))
+        .withColumn("inherited", F.when(F.col("head_opens"), F.col("head")).otherwise(
+            F.last("start", ignorenulls=True).over(before)))
+        .select(*row, "block", "inherited")
+    )
+    # A session is named by the time of its first event.
+    named = chained.join(
+        edges.withColumnsRenamed({"ident": "_ident", "uid": "_uid", "block": "_block"}),
+        (F.col("ident") == F.col("_ident")) & F.col("uid").eqNullSafe(F.col("_uid"))
+        & (F.col("block") == F.col("_block")),
+    ).withColumn("session", F.coalesce(
+        F.last(F.when(F.col("apart"), F.col("first")), ignorenulls=True).over(inside), "inherited"))
     return (
-        slots.withColumn("opens", opens.cast("int"))
-        .withColumn("session", F.sum("opens").over(order))
-        .groupBy(*row, "session")
+        named.groupBy(*row, "session")
         .agg(F.min("first").alias("first_micros"), F.max("last").alias("last_micros"),
              F.sum("n").alias("n_events"))
         .drop("session")

@@ -1,12 +1,11 @@
 """Inputs of the sync operators, derived by plain expressions from whole given tables.
 
 Every event row is an edit seen by the centre and, with other values and a shifted clock, an edit
-made at a clone.  Nothing is filtered, sampled or capped: the modulo terms only vary the kind of
-edit from row to row.
+made at a clone.  Nothing is sampled or capped: the modulo terms vary the kind of edit from row to
+row, and filters give a row its role (which events a clone has seen, which rows exist at first).
 """
 
 from datetime import datetime
-from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -33,15 +32,12 @@ def prepared(spark, sf_dir, build, *args):
     It is written once per session and data set.  Without this each filter on a logged value
     would be pushed below the derivation and repeat its JSON parsing many times per row.
     """
-    source = Path(sf_dir) / "events.parquet"
-    stamp = source.stat().st_mtime_ns if source.exists() else 0
+    source = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    stamp = files.getFileStatus(source).getModificationTime()  # on whatever storage it is
     key = (spark.sparkContext.applicationId, sf_dir, stamp, build.__name__, args)
     if key not in _PREPARED:
-        df = build(spark, sf_dir, *args)
-        tasks = spark.sparkContext.defaultParallelism
-        if len(df.inputFiles()) < tasks:  # a single small file would be read by a single task
-            df = df.repartition(tasks)
-        _PREPARED[key] = stage(df, build.__name__)
+        _PREPARED[key] = stage(build(spark, sf_dir, *args), build.__name__)
     return _PREPARED[key]
 
 
@@ -188,6 +184,24 @@ def base_rows(spark, sf_dir):
     )
 
 
+def edited_rows(spark, sf_dir, base, node):
+    """The base rows after the edits of one of three nodes: every event is an edit of one of them.
+
+    A node sets a cell to its last event for it, adds the rows of users that have none (each user is
+    added at one node only) and removes the rows of some users (at one node only).
+    """
+    mine = _edits(spark, sf_dir).filter(F.col("event_id") % 3 == node)
+    cells = mine.groupBy("uid", "user_id", F.concat(F.lit("app."), F.col("table_name")).alias("ident")).agg(*[
+        F.concat(F.lit(f"n{node}_"), F.max(F.when(F.col("event_type") == f, F.col("event_id")))
+                 .cast("string")).alias(f"_{f}") for f in ROW_FIELDS])
+    both = base.join(cells, ["ident", "uid"], "full_outer")
+    removed = F.col("id").isNotNull() & (F.col("id") % 20 == node)
+    added = F.col("id").isNotNull() | (F.col("user_id") % 3 == node)
+    return both.filter(added & ~removed).select(
+        "ident", "uid", F.coalesce("id", "user_id").alias("id"),
+        *[F.coalesce(f"_{f}", f).alias(f) for f in ROW_FIELDS], "note")
+
+
 def orders_old(spark, sf_dir):
     """Orders as one snapshot of a table with a stable uid and a local id."""
     return read(spark, sf_dir, "orders").select(

@@ -264,7 +264,8 @@ oracle("order_events", """
 
 block("returned_parts", """
   SELECT * FROM part WHERE p_partkey IN (
-    SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 45)""")
+    SELECT l_partkey FROM lineitem GROUP BY l_partkey
+    HAVING sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) * 3 > sum(l_quantity))""")
 oracle("insert_if_absent", """
   SELECT p_brand, p_type, p_size, max(p_partkey) AS first_part FROM returned_parts
   GROUP BY p_brand, p_type, p_size
@@ -460,20 +461,26 @@ oracle("assign_local_ids", """
   FROM fold_rows r LEFT JOIN base b ON b.ident = r.ident AND b.uid = r.uid WHERE r.alive""")
 block("up_ended", "SELECT * FROM up_rows WHERE in_base AND (NOT alive OR birth IS NOT NULL)")
 oracle("replay_to_central", """
-  SELECT u.event_id AS order_key, 'U' AS action, u.uid, b.value AS row_click,
-         'clone_a' AS origin, u.orig_micros, u.field, u.value
+  SELECT u.event_id AS order_key, 'U' AS action, u.uid, substr(u.uid, 2)::BIGINT AS row_id,
+         b.value AS row_click, 'clone_a' AS origin, u.orig_micros, u.field, u.value
   FROM up_last u JOIN up_rows r ON u.ident = r.ident AND u.uid = r.uid
   JOIN base_cells b ON b.ident = u.ident AND b.uid = u.uid AND b.field = 'click'
   JOIN base_cells o ON o.ident = u.ident AND o.uid = u.uid AND o.field = u.field
   WHERE r.in_base AND r.alive AND r.birth IS NULL AND u.value IS DISTINCT FROM o.value
   UNION ALL
-  SELECT r.death, 'D', r.uid, b.value, 'clone_a', e.orig_micros, NULL, NULL
+  SELECT r.death, 'D', r.uid, substr(r.uid, 2)::BIGINT, b.value, 'clone_a', e.orig_micros, NULL, NULL
   FROM up_ended r JOIN base_cells b ON b.ident = r.ident AND b.uid = r.uid AND b.field = 'click'
   JOIN clone_ev e ON e.event_id = r.death
   UNION ALL
-  SELECT r.birth, 'I', r.uid, c.value, 'clone_a', e.orig_micros, NULL, NULL
-  FROM up_rows r JOIN up_cells c ON c.ident = r.ident AND c.uid = r.uid AND c.field = 'click'
-  JOIN clone_ev e ON e.event_id = r.birth WHERE r.alive""")
+  SELECT r.birth, 'I', r.uid,
+         (SELECT max(substr(uid, 2)::BIGINT) FROM base)
+           + row_number() OVER (ORDER BY r.birth, r.ident, r.uid),
+         CASE WHEN u.event_id > r.birth THEN u.value ELSE v.value END,
+         'clone_a', e.orig_micros, NULL, NULL
+  FROM up_rows r JOIN clone_ev e ON e.event_id = r.birth
+  LEFT JOIN up_last u ON u.ident = r.ident AND u.uid = r.uid AND u.field = 'click'
+  LEFT JOIN row_values v ON v.event_id = r.birth AND v.field = 'click'
+  WHERE r.alive""")
 oracle("retain_failed", """
   SELECT event_id, action FROM clone_ev WHERE event_id IN (
     SELECT event_id FROM up_st WHERE status = 'unique_violation')""")
@@ -600,3 +607,25 @@ block("bursts", """
 oracle("activity_sessions", """
   SELECT ident, uid, min(t) AS first_micros, max(t) AS last_micros, count(*) AS n_events
   FROM bursts GROUP BY ident, uid, burst""")
+
+# The star: the node that edits a cell last wins it, wherever the row is not removed.
+block("star_edits", """
+  SELECT ident, uid, user_id, event_type AS field, event_id % 3 AS node, max(event_id) AS event_id
+  FROM edits GROUP BY ALL""")
+block("star_rows", """
+  SELECT ident, uid, user_id, in_base FROM (
+    SELECT ident, uid, substr(uid, 2)::BIGINT AS user_id, true AS in_base FROM base
+    UNION ALL
+    SELECT DISTINCT ident, uid, user_id, false FROM star_edits e WHERE node = user_id % 3
+      AND NOT EXISTS (SELECT 1 FROM base b WHERE b.ident = e.ident AND b.uid = e.uid))
+  WHERE NOT (in_base AND user_id % 20 < 3)""")
+block("star_last", """
+  SELECT ident, uid, field, max_by('n' || node || '_' || event_id, node) AS value
+  FROM star_edits e JOIN star_rows r USING (ident, uid)
+  WHERE r.in_base OR e.node = e.user_id % 3 GROUP BY ident, uid, field""")
+oracle("synchronize_star", """
+  SELECT n.node, r.ident, r.uid, f.field, coalesce(l.value, b.value) AS value
+  FROM star_rows r CROSS JOIN (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('note')) f(field)
+  CROSS JOIN (VALUES ('centre'), ('clone_a'), ('clone_b')) n(node)
+  LEFT JOIN star_last l ON l.ident = r.ident AND l.uid = r.uid AND l.field = f.field
+  LEFT JOIN base_cells b ON b.ident = r.ident AND b.uid = r.uid AND b.field = f.field""")

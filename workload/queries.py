@@ -3,8 +3,9 @@
 Maps and structs never leave a query; rows come out in long form, times as epoch micros.
 """
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import partial, wraps
+from itertools import count
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,13 +168,22 @@ def order_events(spark, sf):
     return ordered.select("event_id", F.col("tx_id").alias("old_event_id"))
 
 
+def _returned(spark, sf):
+    """Parts of which more pieces came back than stayed, over all lines."""
+    back = F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0))
+    return (
+        d.read(spark, sf, "lineitem").groupBy("l_partkey")
+        .agg(back.alias("back"), F.sum("l_quantity").alias("pieces"))
+        .filter(F.col("back") * 3 > F.col("pieces"))
+    )
+
+
 @query
 def insert_if_absent(spark, sf):
     part = d.read(spark, sf, "part")
-    returned = d.read(spark, sf, "lineitem").filter("l_returnflag = 'R' and l_quantity >= 45")
     keys = ["p_brand", "p_type", "p_size"]
     target = (
-        part.join(returned, F.col("p_partkey") == F.col("l_partkey"), "left_semi")
+        part.join(_returned(spark, sf), F.col("p_partkey") == F.col("l_partkey"), "left_semi")
         .groupBy(*keys).agg(F.max("p_partkey").alias("first_part"))
     )
     rows = part.select(*keys, F.col("p_partkey").alias("first_part"))
@@ -185,9 +195,8 @@ def _inventory(spark, sf):
     part = d.read(spark, sf, "part").select(
         "p_partkey", F.col("p_brand").alias("schema_name"), name.alias("table_name")
     )
-    returned = d.read(spark, sf, "lineitem").filter("l_returnflag = 'R' and l_quantity >= 45")
     relations = part.join(
-        returned, F.col("p_partkey") == F.col("l_partkey"), "left_semi"
+        _returned(spark, sf), F.col("p_partkey") == F.col("l_partkey"), "left_semi"
     ).select(
         F.concat_ws(".", "schema_name", "table_name").alias("relation_name"),
         F.lit("id").alias("uid_column"),
@@ -436,9 +445,13 @@ def _to_central(spark, sf):
 def replay_to_central(spark, sf):
     """New log events of the centre after a clone's edits are replayed there."""
     base, result = _to_central(spark, sf)
-    events = replay.effect_events(base, result.effects, "app.any", d.CLONE_A, ROW, NOW)
+    inserted = stage(
+        replay.inserted_rows(base, result.effects, ROW, LOCAL, number_local=True), "inserted")
+    events = replay.effect_events(
+        base, result.effects, "app.any", d.CLONE_A, ROW, NOW, inserted)
     flat = events.select(
         "order_key", "action", F.element_at("row_data", "uid").alias("uid"),
+        F.element_at("row_data", "id").cast("long").alias("row_id"),
         F.element_at("row_data", "click").alias("row_click"),
         F.col("sync.origin").alias("origin"),
         F.unix_micros("sync.orig_tstamp").alias("orig_micros"), "changed_fields",
@@ -666,17 +679,32 @@ def synchronize_counts(spark, sf):
 
 @query
 def synchronize_star(spark, sf):
-    """Rounds over two clones until nothing moves any more."""
-    store = _star(spark, sf, (d.CLONE_A, d.CLONE_B))
-    minutes = iter(range(10_000))
-    rounds = sync.synchronize_star(
-        store, (d.CLONE_A, d.CLONE_B), d.CENTRAL_ID,
-        lambda: datetime(2024, 3, 1, 0, next(minutes)), max_cycles=3)
-    return spark.createDataFrame(
-        [(i, c, r.to_central, r.to_clone, r.conflicts, r.failed)
-         for i, (c, r) in enumerate(rounds)],
-        "round int, clone_id string, to_central long, to_clone long, conflicts long, failed long",
-    )
+    """Rounds over two clones until they have converged: the rows of all nodes afterwards.
+
+    All nodes start from the same rows and make their edits, inserts and deletes through the log.
+    """
+    store = Store(spark, work_dir(spark, "star"))
+    nodes, clones = (d.CENTRAL_ID, d.CLONE_A, d.CLONE_B), (d.CLONE_A, d.CLONE_B)
+    base = base_rows(spark, sf)
+    tx = store.begin()
+    start = {
+        f"{d.CENTRAL_ID}/history": d.history_records(spark),
+        f"{d.CENTRAL_ID}/sync_tables": d.sync_tables(spark, ("alerts", "users")),
+        f"{d.CENTRAL_ID}/relations": d.relations(spark),
+        f"{d.CENTRAL_ID}/last_event": spark.createDataFrame([(d.MARK_ID,)], schemas.LAST_EVENT),
+        **{sync.table_name(node, ident): base.filter(F.col("ident") == ident).drop("ident")
+           for node in nodes for ident in d.IDENTS},
+    }
+    run_all([partial(tx.overwrite, name, df) for name, df in start.items()])
+    tx.commit()
+    clock = (datetime(2024, 2, 1) + timedelta(minutes=n) for n in count())
+    for number, node in enumerate(nodes):
+        edited, now = d.edited_rows(spark, sf, base, number), next(clock)
+        for ident in d.IDENTS:
+            after = edited.filter(F.col("ident") == ident).drop("ident")
+            sync.log_edit(store, node, ident, after, now)
+    sync.synchronize_star(store, clones, d.CENTRAL_ID, lambda: next(clock))
+    return _rows_of(store, nodes)
 
 
 def _packaged(spark, sf):
@@ -781,8 +809,13 @@ def _log_stream(spark, sf, derive):
         @staticmethod
         def parquet(path):
             schema = spark.read.parquet(path).schema
+            source = spark._jvm.org.apache.hadoop.fs.Path(path)
+            files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+            stream = spark.readStream.schema(schema)
+            if files.getFileStatus(source).isDirectory():  # a table of many part files
+                return stream.parquet(path)
             folder, name = path.rsplit("/", 1)
-            return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
+            return stream.option("pathGlobFilter", name).parquet(folder)
 
     class Session:
         read = Streaming
