@@ -21,6 +21,7 @@ are ignored.
 """
 
 import bisect
+import struct
 import zlib
 
 import numpy as np
@@ -29,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsync.llm.chunks import ChunkMemo, kept
+from starsync.llm.byte_bpe import byte_characters
+from starsync.llm.chunks import ChunkMemo, Memo, kept
 from starsync.llm.common import map_texts, ship
 from starsync.operators.numbering import number_rows
 from starsync.session import stage
@@ -41,6 +43,9 @@ TOKENIZER = "byte_bpe_50k.json"
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
+pack_id = struct.Struct("<I").pack  # one id as a little-endian unsigned 32-bit integer
+
+
 class Encoder:
     """Ids of texts by a tokenizer file of the byte-level kind; built once per worker."""
 
@@ -49,11 +54,46 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.encode = ChunkMemo(self.encode_many).encode
+        self.letters = dict(enumerate(byte_characters()))
+        self.words = Memo(lambda words: map(self.word, words))
+        self.marks = dict(zip(MARKS, self.whole(MARKS)))
 
-    def encode_many(self, texts) -> list:
+    def whole(self, texts) -> list:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def word(self, text) -> bytes:
+        """Ids of a pre-token, straight from the tokenizer's model."""
+        tokens = self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(self.letters))
+        return b"".join([pack_id(t.id) for t in tokens])
+
+    def encode_many(self, texts) -> list:
+        """Ids of each text.
+
+        A space and letters are one pre-token, and a mark behind it is another: most texts here are
+        such a word or a word and a mark, and words repeat.  All others go through the tokenizer.
+        """
+        out, words, others = [None] * len(texts), {}, []
+        for i, t in enumerate(texts):
+            mark = t[-1:] if t[-1:] in self.marks else ""
+            word = t[:-1] if mark else t
+            if word[:1] == " " and word[1:].isalpha() and max(word) < LAST_LETTER:
+                words[i] = word, mark
+            else:
+                others.append(i)
+        self.words.learn({word for word, _ in words.values()})
+        for i, (word, mark) in words.items():
+            out[i] = self.words.young[word] + self.marks.get(mark, b"")
+        for i, ids in zip(others, self.whole([texts[i] for i in others])):
+            out[i] = ids
+        return out
+
+
+#: Marks that are a pre-token when they end a chunk behind a letter.
+MARKS = [".", ",", ";", ":", "!", "?"]
+#: Letters below this code point are letters in all Unicode versions of the libraries.
+LAST_LETTER = "\u0250"
+
 
 def cut(n: int, size: int) -> list:
     """(start, length) of the pieces of ``n`` ids: full ones, after a shorter first one if need be."""

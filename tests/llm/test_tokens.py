@@ -117,7 +117,8 @@ def test_special_strings_and_spaces_are_the_librarys(spark, sf_dir):
 
     path = public_tokenizers.path(packing.TOKENIZER)
     tokenizer, encoder = Tokenizer.from_file(path), packing.Encoder(path)
-    texts = ["a <|endoftext|> b", "a<|endoftext|>b c", "x  <|endoftext|>", " lead", "tail ", "a \n b", ""]
+    texts = ["a word. Other, été! naïve? ß: it's; 'x' word.. ıʼn ﬁ ª º. ǅ Ωmega", " 's 't. a' re", ". , !",
+             "a <|endoftext|> b", "a<|endoftext|>b c", "x  <|endoftext|>", " lead", "tail ", "a \n b", ""]
     texts += texts_of(spark, sf_dir)[:50]
     for text, ids in zip(texts, encoder.encode(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
