@@ -1,12 +1,11 @@
 import json
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
 from starsync.sources.files import export_csv, read_feature_collection
 from starsync.sources.jdbc import jdbc_options
-from starsync.sources.store import Store, read_snapshot, write_snapshot
+from starsync.sources.store import CommitConflict, Store, read_snapshot, write_snapshot
 
 
 def test_uncommitted_writes_do_not_show(spark, tmp_path):
@@ -30,7 +29,7 @@ def test_second_writer_of_a_version_fails(spark, tmp_path):
     first.overwrite("t", spark.range(4))
     second.overwrite("t", spark.range(5))
     first.commit()
-    with pytest.raises(PySparkException):
+    with pytest.raises(CommitConflict):
         second.commit()
     store.begin()
     assert store.read("t").count() == 4
@@ -66,3 +65,37 @@ def test_jdbc_options():
     assert "partitionColumn" not in jdbc_options("jdbc:x", "t")
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", "event_id")
+
+
+def test_two_commits_at_once(spark, tmp_path):
+    """Of writers that start from the same version one wins, the other gets a clear error."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    for attempt in range(3):
+        root = str(tmp_path / f"store{attempt}")
+        stores = [Store(spark, root) for _ in range(2)]
+        transactions = [s.begin() for s in stores]
+        for i, tx in enumerate(transactions):
+            tx.overwrite("t", spark.range(i + 1))
+
+        def commit(tx):
+            try:
+                return tx.commit()
+            except CommitConflict:
+                return None
+
+        with ThreadPoolExecutor(2) as pool:
+            assert sorted(pool.map(commit, transactions), key=str) == [1, None]
+
+
+def test_compaction_and_vacuum(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    for i in range(5):
+        tx = store.begin()
+        tx.append("node/table/a.b", spark.range(i, i + 1))
+        tx.commit()
+    assert store.segments("node/table/a.b") == 5
+    assert store.compact(most=5) == [] and store.compact(most=4) == ["node/table/a.b"]
+    assert store.segments("node/table/a.b") == 1
+    assert store.vacuum(keep=1) == 10  # five segments, five manifests
+    assert sorted(r.id for r in Store(spark, store.root).read("node/table/a.b").collect()) == [0, 1, 2, 3, 4]

@@ -102,6 +102,54 @@ def test_failed_events_are_tried_again(spark, feed):
     assert {(r.uid, r.x) for r in store.read("t").collect()} == {("u1", "new"), ("u2", "three")}
 
 
+def test_two_streams_of_one_store(spark, feed, tmp_path):
+    """Each stream counts its own batches, and other commits in between do not matter."""
+    store = Store(spark, f"{feed.root}/store")
+    for name in ("t1", "t2"):
+        write_snapshot(store, name, spark.createDataFrame(
+            [("u1", 1, "old")], "uid string, id long, x string"))
+    feed.add(event(1, "u1", "U", {"x": "new"}))
+
+    def run(name, checkpoint):
+        jobs.stream_retry(feed.stream(), store, name, f"{name}/dead", relations(spark), ("uid",),
+                          ("id",), checkpoint).awaitTermination()
+        store.begin()
+        return [r.x for r in store.read(name).collect()]
+
+    assert run("t1", f"{feed.root}/cp1") == ["new"]
+    assert run("t2", f"{feed.root}/cp2") == ["new"]
+    # The first stream's batch 0 comes again after a foreign commit and a later edit: no effect.
+    write_snapshot(store, "t1", spark.createDataFrame(
+        [("u1", 1, "edited")], "uid string, id long, x string"))
+    commit = next((tmp_path / "cp1" / "commits").glob("0"))
+    commit.unlink()
+    (commit.parent / ".0.crc").unlink(missing_ok=True)
+    assert run("t1", f"{feed.root}/cp1") == ["edited"]
+
+
+def test_retries_do_not_bring_old_values_back(spark, feed):
+    store = Store(spark, f"{feed.root}/store")
+    write_snapshot(store, "t", spark.createDataFrame(
+        [("u1", 1, "old", 0)], "uid string, id long, x string, n int"))
+    args = (store, "t", "dead", relations(spark), ("uid",), ("id",), f"{feed.root}/cp")
+    for e, changed in enumerate(({"x": "one", "n": "bad"}, {"x": "two"}, {"n": "5"}), start=1):
+        feed.add(event(e, "u1", "U", changed))
+        jobs.stream_retry(feed.stream(), *args).awaitTermination()
+    store.begin()
+    assert [(r.x, r.n) for r in store.read("t").collect()] == [("two", 5)]
+    assert [r.changed_fields for r in store.read("dead").collect()] == [{"n": "bad"}]
+
+
+def test_sessions_over_block_edges(spark, monkeypatch):
+    """One row edited every second for a while, with one gap, in blocks of three slots."""
+    monkeypatch.setattr(jobs, "SLOT_BLOCK", 3)
+    log = spark.createDataFrame([
+        event(e, "hot", "U", {"x": "1"}, minutes=e / 60 + (10 if e >= 70 else 0)) for e in range(120)
+    ] + [event(500 + e, "slow", "D", minutes=30 * e) for e in range(9)], schemas.CHANGE_LOG)
+    got = sorted((r.uid, r.n_events) for r in jobs.activity_sessions(log, 2).collect())
+    assert got == [("hot", 50), ("hot", 70)] + [("slow", 1)] * 9
+
+
 def test_sessions_against_a_loop(spark):
     import random
 

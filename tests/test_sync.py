@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starsync import schemas
 from starsync.operators.history import fold_history, last_sync
+from starsync.operators import replay
 from starsync.operators.replay import ReplayError
 from starsync.plans import package, sync
 from starsync.sources.store import Store
@@ -239,3 +240,96 @@ def test_package_guards(star, spark):
     tx.commit()
     with pytest.raises(package.PackageError, match="uid is not unique"):
         package.package(star.store, f"{path}-y", ["field.loose"], CENTRE, star.now())
+
+
+def test_failed_events_do_not_keep_a_star_going(star):
+    star.seed(A, B)
+    # A table that the centre does not have: its events fail in every round.
+    tx = star.store.begin()
+    own = star.spark.createDataFrame([(1, "x1", "old")], "id long, uid string, note string")
+    tx.overwrite(sync.table_name(A, "field.private"), own)
+    tx.append(f"{CENTRE}/relations", star.spark.createDataFrame(
+        [("field.private", "id")], schemas.RELATIONS))
+    tx.commit()
+    star.edit(A, "field.private", "x1", note="new")
+    star.edit(A, AREAS, "a1", label="by a")
+    star.edit(B, AREAS, "a1", label="by b, later")
+    rounds = sync.synchronize_star(star.store, (A, B), CENTRE, star.now)
+    assert [(c, r.failed) for c, r in rounds] == [(A, 1), (B, 0)] * (len(rounds) // 2)
+    assert len(rounds) <= 8 and all(r.quiet for _, r in rounds[-2:])
+    assert star.everywhere(AREAS, "a1", "label") == {"by b, later"}
+    assert [r.table_name for r in star.store.read(f"{A}/log").collect()] == ["private"]
+    star.edit(A, AREAS, "a2", label="again")
+    with pytest.raises(sync.NotConverged):
+        sync.synchronize_star(star.store, (A, B), CENTRE, star.now, max_cycles=1)
+
+
+def test_inserts_are_logged_as_stored(star):
+    star.seed(A, B)
+    star.insert(A, GAUGES, 5, "g5", "from a", None)
+    star.insert(B, GAUGES, 5, "g6", "from b", None)
+    star.sync(A)
+    star.sync(B)
+    log = star.store.read(f"{CENTRE}/log").filter("action = 'I'")
+    ids = {r.uid: int(r.id) for r in log.selectExpr("row_data['uid'] uid", "row_data['id'] id").collect()}
+    assert ids == {r.uid: r.id for r in star.read(CENTRE, GAUGES).filter("uid in ('g5', 'g6')").collect()}
+    assert len(set(ids.values())) == 2
+    # Rolling back the second insert by its primary key removes that row.
+    chosen = log.filter("row_data['uid'] = 'g6'").select("event_id")
+    left = replay.rollback_events(
+        star.read(CENTRE, GAUGES), star.store.read(f"{CENTRE}/log"), chosen, GAUGES, ["id"]).snapshot
+    assert {r.uid for r in left.collect()} == {"g1", "g2", "g3", "g4", "g5"}
+
+
+def test_event_ids_go_on_after_the_log_is_emptied(star):
+    star.seed(A)
+    star.edit(A, AREAS, "a1", label="one")
+    first = star.store.read(f"{A}/log").first().event_id
+    star.sync(A)
+    assert star.store.read(f"{A}/log").isEmpty()
+    star.edit(A, AREAS, "a1", label="two")
+    assert star.store.read(f"{A}/log").first().event_id == first + 1
+
+
+def test_missing_and_unregistered_tables_are_reported(star):
+    star.seed(A)
+    tx = star.store.begin()
+    del tx._entries[sync.table_name(A, AREAS)]
+    tx.overwrite(sync.table_name(A, "field.extra"), star.read(A, GAUGES))
+    tx.overwrite(sync.table_name(CENTRE, "field.extra"), star.read(A, GAUGES))
+    tx.commit()
+    assert {(r.label, r.status, r.n_rows) for r in star.differences(A)} == {
+        (f"{A}:{AREAS}", "table 1 is missing", 5), (f"{A}:field.extra", "not registered", 4)}
+
+
+def test_round_options(star):
+    star.seed(A)
+    star.edit(CENTRE, AREAS, "a1", label="new label", url="hidden")
+    star.edit(A, AREAS, "a2", url="hidden, too")
+    sync.synchronize(star.store, A, CENTRE, star.now(), excluded=("url",))
+    assert star.cell(A, AREAS, "a1", "label") == "new label"
+    assert star.cell(A, AREAS, "a1", "url") is None and star.cell(CENTRE, AREAS, "a2", "url") is None
+    # Only listed tables go to the centre; the other events wait in the clone's log.
+    tx = star.store.begin()
+    tx.overwrite(f"{CENTRE}/sync_tables", star.spark.createDataFrame(
+        [(A, ['"field"."gauges"'])], schemas.SYNC_TABLES))
+    tx.commit()
+    star.edit(A, GAUGES, "g1", name="listed")
+    star.edit(A, AREAS, "a3", label="not listed")
+    sync.synchronize(star.store, A, CENTRE, star.now(), only_listed=True)
+    assert star.cell(CENTRE, GAUGES, "g1", "name") == "listed"
+    assert star.cell(CENTRE, AREAS, "a3", "label") == "area 3"
+    assert [r.table_name for r in star.store.read(f"{A}/log").collect()] == ["areas"]
+    # Without marks, an event that committed below the mark still arrives.
+    log = star.store.read(f"{CENTRE}/log")
+    late = log.orderBy("event_id").limit(1).withColumn("event_id", F.lit(-1).cast("long")).withColumn(
+        "table_name", F.lit("gauges")).withColumn("action", F.lit("U")).withColumn(
+        "row_data", F.expr("map('uid', 'g2')")).withColumn(
+        "changed_fields", F.expr("map('name', 'late')"))
+    tx = star.store.begin()
+    tx.append(f"{CENTRE}/log", late)
+    tx.commit()
+    star.sync(A)
+    assert star.cell(A, GAUGES, "g2", "name") == "gauge 2"
+    sync.synchronize(star.store, A, CENTRE, star.now(), use_marks=False)
+    assert star.cell(A, GAUGES, "g2", "name") == "late"

@@ -629,3 +629,13 @@ oracle("synchronize_star", """
   CROSS JOIN (VALUES ('centre'), ('clone_a'), ('clone_b')) n(node)
   LEFT JOIN star_last l ON l.ident = r.ident AND l.uid = r.uid AND l.field = f.field
   LEFT JOIN base_cells b ON b.ident = r.ident AND b.uid = r.uid AND b.field = f.field""")
+oracle("compact_store", """
+  SELECT priority, count(*) AS n_rows, sum(cents)::BIGINT AS cents, 5 AS "before", 1 AS "after"
+  FROM orders_old WHERE priority IN (
+    '1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW') GROUP BY priority""")
+oracle("compare_added_column", """
+  SELECT uid, 'table 1 != table 2' AS status, 'urgent' AS field, 'yes' AS value
+  FROM orders_old WHERE priority = '1-URGENT'""")
+oracle("capture_added_column", """
+  SELECT 'U' AS action, uid, 'urgent' AS field, 'yes' AS value
+  FROM orders_old WHERE priority = '1-URGENT'""")

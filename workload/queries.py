@@ -786,6 +786,41 @@ def snapshot_roundtrip(spark, sf):
     return read_snapshot(store, "orders").withColumn("version", F.lit(store.version).cast("long"))
 
 
+@query
+def compact_store(spark, sf):
+    """Orders appended in one commit per priority, merged to one segment, old files removed."""
+    store = Store(spark, work_dir(spark, "compact"))
+    orders = d.orders_old(spark, sf)
+    for priority in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"):
+        tx = store.begin()
+        tx.append("orders", orders.filter(F.col("priority") == priority))
+        tx.commit()
+    before = store.segments("orders")
+    store.compact(most=1)
+    store.vacuum(keep=1)
+    return store.read("orders").groupBy("priority").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("cents").alias("cents"),
+    ).withColumn("before", F.lit(before)).withColumn("after", F.lit(store.segments("orders")))
+
+
+@query
+def compare_added_column(spark, sf):
+    """The orders against a copy with one more column, filled for some of them."""
+    old = d.orders_old(spark, sf)
+    more = old.withColumn("urgent", F.when(F.col("priority") == "1-URGENT", F.lit("yes")))
+    return _pairs(compare.compare_tables(old, more, ["id"]), "right_values", ["uid", "status"])
+
+
+@query
+def capture_added_column(spark, sf):
+    """The log of an edit that adds a column to the orders and fills it for some of them."""
+    old = d.orders_old(spark, sf)
+    more = old.withColumn("urgent", F.when(F.col("priority") == "1-URGENT", F.lit("yes")))
+    events = capture.capture_changes(old, more, "shop.orders", tstamp=F.lit(NOW))
+    return _pairs(events.select("action", F.element_at("row_data", "uid").alias("uid"),
+                                "changed_fields"), "changed_fields", ["action", "uid"])
+
+
 @query
 def export_csv_dump(spark, sf):
     path = work_dir(spark, "csv")
