@@ -6,7 +6,8 @@ what ASCII white space separates).  Each of ``LANES`` universal hash functions m
 are as alike as the share of equal lanes, which estimates the Jaccard similarity of the shingles.
 
 Fingerprints are computed in numpy over whole texts inside the tasks.  ``near_classes`` finds near
-duplicates: bands of lanes are joined in Spark and the Jaccard similarity is verified.
+duplicates: bands of lanes are joined in Spark and the Jaccard similarity of the shingle sets, with
+a stated threshold, is verified there.
 
 Defined cases: a null text is an empty one; an empty text has no shingles and a fingerprint of its
 own, equal to that of every other empty text; repeated rows are fingerprinted each; an empty table
@@ -17,6 +18,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ from pyspark.sql.types import StructType
 
 from starsync.llm.chunks import Memo, kept
 from starsync.llm.common import map_texts, ship, utf8
+from starsync.llm.components import components
 from starsync.session import stage
 
 LANES = 64
@@ -33,6 +36,7 @@ SEED = 20_24
 #: Shingles that are hashed at a time (a block of ROWS x LANES numbers of 64 bits).
 ROWS = 2048
 
+#: A band is four lanes (64 bits), so there are sixteen.
 BANDS = 16
 THRESHOLD = 0.8
 
@@ -41,8 +45,6 @@ class Signer:
     """Computes signatures; built once per worker."""
 
     def __init__(self, lanes=LANES, words=WORDS, seed=SEED):
-        import xxhash
-
         draw = np.random.default_rng(seed)
         odd = lambda n: draw.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.place, self.a, self.b = odd(words), odd(lanes), odd(lanes)
@@ -168,3 +170,67 @@ def with_edits(docs: DataFrame) -> DataFrame:
     return done.where("edge IS NULL").select("doc_id", *names).unionByName(rest).select(
         "doc_id", "n_chars", hexed("edited_sha256"), hexed("fingerprint"), hexed("edited_fingerprint"),
         "near_edited", "near_next")
+
+
+def near_classes(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
+    """doc_id, class_id: near duplicates get the least doc_id of their class.
+
+    Documents with the same set of shingles are one kind.  Kinds that agree in a band meet in a
+    bucket.  A bucket's least kind leads: the others are joined to it, never to each other, and the
+    Jaccard similarity of each such pair is verified on the whole shingle sets.  Kinds that were not
+    similar enough stay in the bucket without the leader and the next one leads, until no bucket
+    has two.  So no bucket gives all its pairs, a bucket of copies is done in one round, and links
+    between classes that share no leader in any of their sixteen buckets are the only ones missed
+    besides those that no band brings together.
+    """
+    def make():
+        signer = kept("signer", Signer)
+
+        def fn(rows):
+            sets = [np.unique(signer.shingles(t)) for t in rows["text"]]
+            return {
+                "doc_id": rows["doc_id"],
+                "kind": [xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets],
+                "bands": [np.frombuffer(signer.sign(t).tobytes(), dtype=np.int64) for t in rows["text"]],
+                "shingles": [s.view(np.int64) for s in sets],
+            }
+
+        return fn
+
+    slim = docs.select("doc_id", "text")
+    doc = slim.schema["doc_id"].dataType.simpleString()
+    marked = stage(map_texts(
+        slim, make, f"doc_id {doc}, kind long, bands array<long>, shingles array<long>"), "minhash")
+    sets = marked.select("kind", "bands", "shingles").dropDuplicates(["kind"])
+    sets = stage(sets.where(F.size("shingles") > 0), "minhash-kinds")
+    left = stage(sets.select("kind", F.posexplode("bands").alias("band", "key")), "minhash-buckets")
+    found = []
+    while True:
+        leaders = left.groupBy("band", "key").agg(
+            F.min("kind").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        waiting = stage(left.join(leaders, ["band", "key"]).where("kind <> lead"), "minhash-waiting")
+        if waiting.isEmpty():
+            break
+        pairs = waiting.select("kind", "lead").distinct()
+        mine = sets.select("kind", F.col("shingles").alias("a"))
+        theirs = sets.select(F.col("kind").alias("lead"), F.col("shingles").alias("b"))
+        both = F.size(F.array_intersect("a", "b"))
+        similar = both >= (F.size("a") + F.size("b") - both) * threshold
+        links = stage(
+            pairs.join(mine, "kind").join(theirs, "lead").where(similar).select("kind", "lead"), "minhash-links")
+        found.append(links)
+        left = stage(
+            waiting.join(links, ["kind", "lead"], "left_anti").select("kind", "band", "key"), "minhash-buckets")
+    own = marked.groupBy("kind").agg(F.min("doc_id").alias("least"))
+    if found:
+        edges = found[0]
+        for more in found[1:]:
+            edges = edges.union(more)
+        joined = components(edges.select(F.col("kind").alias("a"), F.col("lead").alias("b")))
+        own = own.join(joined.withColumnRenamed("node", "kind"), "kind", "left")
+    else:
+        own = own.withColumn("component", F.col("kind"))
+    own = own.withColumn("root", F.coalesce("component", "kind"))
+    classes = own.join(own.groupBy("root").agg(F.min("least").alias("class_id")), "root")
+    return marked.select("doc_id", "kind").join(classes.select("kind", "class_id"), "kind").select(
+        "doc_id", "class_id")

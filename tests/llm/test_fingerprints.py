@@ -62,3 +62,29 @@ def test_long_texts_are_taken_whole():
     words = [f"w{rng.random()}" for _ in range(9000)]
     a, b = " ".join(words), " ".join(words[:8000])
     assert abs(fingerprints.alike(signer.sign(a), signer.sign(b)) - jaccard(a, b)) < 0.2
+
+
+def test_near_classes_find_verified_near_duplicates(spark, tricky, no_docs):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    docs, want = [], {}
+    for group in range(12):
+        words = [word() for _ in range(200)]
+        for copy in range(rng.randrange(1, 6)):
+            own = list(words)
+            for _ in range(copy and 2):  # two changed words: at least 0.9 alike
+                own[rng.randrange(200)] = word()
+            docs.append((len(docs), " ".join(own)))
+            want[docs[-1][0]] = min(want.get(docs[-1][0], len(docs) - 1 - copy), len(docs) - 1 - copy)
+        half = words[:120] + [word() for _ in range(80)]  # not alike enough
+        docs.append((len(docs), " ".join(half)))
+        want[docs[-1][0]] = docs[-1][0]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.class_id for r in fingerprints.near_classes(df).collect()}
+    assert sum(got[i] == c for i, c in want.items()) >= 0.95 * len(want)
+    texts = dict(docs)
+    for i, c in got.items():  # nothing is in a class with what it is far from
+        assert i == c or jaccard(texts[i], texts[c]) > 0.6
+    rows = fingerprints.near_classes(tricky).collect()
+    assert len(rows) == tricky.count() and {r.class_id for r in rows if r.doc_id == 1} == {1}
+    assert fingerprints.near_classes(no_docs).count() == 0
