@@ -28,7 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starsync.llm.common import map_texts, ship, utf8
@@ -187,11 +187,17 @@ def crowded_windows(data: DataFrame, length) -> DataFrame:
 
     windows = data.select("h", "c", "data").mapInArrow(split, "h long, c long, first int, a long, b long")
     again = windows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("a", "b")
-    return windows.join(again, ["a", "b"]).select("h", "c", "first", F.col("first").alias("last"))
+    found = windows.join(again, ["a", "b"]).select("h", "c", "first")
+    # Neighbouring windows of a context (MOST_WINDOWS at most) become one stretch.
+    place = F.row_number().over(Window.partitionBy("h", "c").orderBy("first"))
+    return found.withColumn("run", F.col("first") - place).groupBy("h", "c", "run").agg(
+        F.min("first").alias("_first"), F.max("first").alias("last"),
+    ).select("h", "c", F.col("_first").alias("first"), "last")
 
 
 def repeated_windows(keyed: DataFrame, length=LENGTH) -> DataFrame:
-    """(doc_id, tie, first, last): stretches of windows of ``keyed`` (doc_id, tie, text) that are repeated."""
+    """(doc_id, tie, windows): stretches (first, last) of windows of ``keyed`` (doc_id, tie, text) that
+    are repeated, for each text that has any."""
     spark = keyed.sparkSession
     ship(spark)
     found = stage(find_contexts(keyed, length), "contexts")
@@ -201,7 +207,7 @@ def repeated_windows(keyed: DataFrame, length=LENGTH) -> DataFrame:
     ).where("n > 1 OR own").select("h", ((F.col("c0") == F.col("c1")) & ~F.col("own")).alias("alike"))
     repeats = stage(found.drop("own").join(hashes, "h"), "context-repeats")
     place = ["doc_id", "tie", "first", "last"]
-    alike = repeats.where("alike").select(*place)
+    alike = repeats.where("alike").select("doc_id", "tie", F.array(F.struct("first", "last")).alias("w"))
 
     mixed = repeats.where("NOT alike")
     distinct = stage(mixed.groupBy("h", "c").agg(
@@ -237,11 +243,12 @@ def repeated_windows(keyed: DataFrame, length=LENGTH) -> DataFrame:
         .unionByName(distinct.where("n > 1").select(  # equal contexts in several places
             "h", "c", F.lit(0).alias("first"), (F.col("last") - F.col("first")).alias("last")))
     )
-    inside = mixed.join(
-        marks.withColumnsRenamed({"first": "_from", "last": "_to"}), ["h", "c"],
-    ).select("doc_id", "tie", (F.col("first") + F.col("_from")).alias("first"),
-             (F.col("first") + F.col("_to")).alias("last"))
-    return alike.unionByName(inside)
+    # One row for each context, so that the join gives no more rows than there are places.
+    marks = marks.groupBy("h", "c").agg(F.collect_list(F.struct("first", "last")).alias("marks"))
+    inside = mixed.join(marks, ["h", "c"]).select("doc_id", "tie", F.transform("marks", lambda m: F.struct(
+        (F.col("first") + m["first"]).alias("first"), (F.col("first") + m["last"]).alias("last"))).alias("w"))
+    return alike.unionByName(inside).groupBy("doc_id", "tie").agg(
+        F.flatten(F.collect_list("w")).alias("windows"))
 
 
 def _with(keyed: DataFrame, other: DataFrame, how) -> DataFrame:
@@ -254,8 +261,7 @@ def _with(keyed: DataFrame, other: DataFrame, how) -> DataFrame:
 def _marked(docs: DataFrame, length) -> DataFrame:
     """The rows of ``docs`` and ``windows``, the repeated windows of each (null: none)."""
     keyed = docs.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
-    windows = repeated_windows(keyed.select("doc_id", "tie", "text"), length).groupBy("doc_id", "tie").agg(
-        F.collect_list(F.struct("first", "last")).alias("windows"))
+    windows = repeated_windows(keyed.select("doc_id", "tie", "text"), length)
     return _with(keyed, windows, "left").select(*docs.columns, "windows")
 
 
