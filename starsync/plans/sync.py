@@ -16,7 +16,7 @@ from starsync import schemas
 from starsync.functions.exprs import CENTRAL, CLONE
 from starsync.operators import capture, compare, pending, registry, replay, resolve
 from starsync.operators.history import DONE, PARTIAL, PENDING, fold_history
-from starsync.session import run_all, stage
+from starsync.session import run_all, scratch, stage
 from starsync.sources.store import Store
 
 
@@ -146,13 +146,19 @@ def synchronize(store: Store, clone: str, central: str, now: datetime, uid="uid"
 
     ``excluded`` columns do not travel.  ``use_marks=False`` looks for news by receipts alone, which
     also finds events that committed late.  ``only_listed`` sends the centre only the tables on the
-    clone's list; the other events stay in the clone's log.
+    clone's list; the other events stay in the clone's log.  What the round stages is deleted at
+    its end.
 
     Both logs are brought to field grain once, and one shuffle compacts them, pairs the edits of
     the same cell and decides the conflicts.  Everything becomes visible with a single commit at
     the end: a round that dies, or a batch the clone cannot apply as a whole, leaves the store as
     it was, and running it again gives the same result.
     """
+    with scratch(store.spark):
+        return _round(store, clone, central, now, uid, mode, excluded, use_marks, only_listed)
+
+
+def _round(store, clone, central, now, uid, mode, excluded, use_marks, only_listed):
     spark = store.spark
     tx = store.begin()
     sync_id = make_sync_id(clone, store.version)

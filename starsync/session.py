@@ -5,6 +5,8 @@ Scratch data (staged tables, stream checkpoints, lineage cuts) always goes under
 local session that leaves the setting empty gets a temporary folder of its own.
 """
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -14,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Folders that were staged inside the innermost ``scratch`` block of this thread, if any.
+_scratch = contextvars.ContextVar("scratch", default=None)
+
 
 def build_session(app_name="starsync", master=None, **conf):
     """A session with the settings the plans in this package are written for."""
@@ -52,10 +57,26 @@ def stage(df: DataFrame, name: str, partition_by=None) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
+    if _scratch.get() is not None:
+        _scratch.get().append(path)
     df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Delete what is staged inside this block when it ends: for jobs that return no DataFrame."""
+    paths = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for name in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run_all(tasks, at_once=8) -> list:
     """Submit independent Spark jobs together, so that small ones fill the gaps of large ones."""
     tasks = list(tasks)
@@ -63,5 +84,5 @@ def run_all(tasks, at_once=8) -> list:
         return [task() for task in tasks]
     with ThreadPoolExecutor(min(at_once, len(tasks))) as pool:
         inherit = inheritable_thread_target(SparkSession.active())
-        futures = [pool.submit(inherit(task)) for task in tasks]
+        futures = [pool.submit(contextvars.copy_context().run, inherit(task)) for task in tasks]
         return [f.result() for f in futures]

@@ -13,7 +13,7 @@ from starsync import schemas
 from starsync.functions import exprs
 from starsync.functions.exprs import UPDATE
 from starsync.operators import pending, replay
-from starsync.session import stage
+from starsync.session import scratch, stage
 from starsync.sources.store import Store
 
 CELL = ["ident", "uid", "field"]
@@ -52,16 +52,21 @@ def stream_pending(log: DataFrame, relations: DataFrame, sync_tables: DataFrame,
 
     def each_batch(batch, batch_id):
         spark = batch.sparkSession
-        seen = _earlier(spark, receipts, batch_id, receipt_schema)
-        news = (
-            batch.dropDuplicates(["event_id"])
-            .filter(pending.not_from(clone) & pending.allowed(sync_tables, clone))
-            .join(seen.filter(F.col("server_id") == clone), "event_id", "left_anti")
-        )
-        changes = stage(pending.to_field_grain(news, relations, uid), "stream_pending")
-        changes.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        replay.mark_replayed(changes, clone, f"batch-{batch_id}").write.mode(
-            "overwrite").parquet(f"{receipts}/batch={batch_id}")
+        with scratch(spark):
+            rows = stage(batch, "stream_batch")
+            # Older receipts cannot match: the scan skips them by the statistics of their files.
+            low = rows.agg(F.min("event_id")).first()[0]
+            seen = _earlier(spark, receipts, batch_id, receipt_schema).filter(
+                (F.col("server_id") == clone) & (F.col("event_id") >= F.lit(low).cast("long")))
+            news = (
+                rows.dropDuplicates(["event_id"])
+                .filter(pending.not_from(clone) & pending.allowed(sync_tables, clone))
+                .join(seen, "event_id", "left_anti")
+            )
+            changes = stage(pending.to_field_grain(news, relations, uid), "stream_pending")
+            changes.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            replay.mark_replayed(changes, clone, f"batch-{batch_id}").sortWithinPartitions(
+                "event_id").write.mode("overwrite").parquet(f"{receipts}/batch={batch_id}")
 
     return _run(log, checkpoint, each_batch, trigger=trigger)
 
@@ -127,16 +132,17 @@ def stream_retry(log: DataFrame, store: Store, table: str, dead_letters: str,
         last = max((r.batch_id for r in done if r.stream == checkpoint), default=-1)
         if batch_id <= last:
             return
-        waiting = store.read(dead_letters, schemas.CHANGE_LOG)
-        events = stage(waiting.unionByName(batch.select(*waiting.columns)), "stream_retry")
-        changes = pending.to_field_grain(events, relations, uid)
-        result = replay.replay(store.read(table), changes, keys, local_keys,
-                               slice_size=slice_size, keep=stage)
-        tx.overwrite(table, result.snapshot)
-        tx.overwrite(dead_letters, replay.failed_parts(events, result.statuses))
-        others = [tuple(r) for r in done if r.stream != checkpoint]
-        tx.overwrite(progress, batch.sparkSession.createDataFrame(
-            [*others, (checkpoint, batch_id)], schemas.PROGRESS))
+        with scratch(batch.sparkSession):
+            waiting = store.read(dead_letters, schemas.CHANGE_LOG)
+            events = stage(waiting.unionByName(batch.select(*waiting.columns)), "stream_retry")
+            changes = pending.to_field_grain(events, relations, uid)
+            result = replay.replay(store.read(table), changes, keys, local_keys,
+                                   slice_size=slice_size, keep=stage)
+            tx.overwrite(table, result.snapshot)
+            tx.overwrite(dead_letters, replay.failed_parts(events, result.statuses))
+            others = [tuple(r) for r in done if r.stream != checkpoint]
+            tx.overwrite(progress, batch.sparkSession.createDataFrame(
+                [*others, (checkpoint, batch_id)], schemas.PROGRESS))
         tx.commit(f"batch-{batch_id}")
 
     return _run(log, checkpoint, each_batch, trigger=trigger)
