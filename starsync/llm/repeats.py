@@ -16,7 +16,7 @@ A byte is removed if it is covered by a string of ``length`` bytes that also sta
 4. *Crowded hashes.*  A hash with more than ``CROWD`` distinct contexts (a passage in a great part of
    all documents, with other text around it) does not go to one shard.  Its windows are told
    apart by two rolling hashes of 64 bits and counted by Spark, which is exact but for collisions
-   of 128 bits and is dealt to all tasks.
+   of 128 bits and is dealt to all tasks: those counted once are not repeated.
 5. Marks go back to all documents that hold the context, and the bytes are cut out.
 
 Defined cases: a null text is an empty one (``remove`` leaves it null); texts shorter than
@@ -28,7 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starsync.llm.common import map_texts, ship, utf8
@@ -186,13 +186,25 @@ def crowded_windows(data: DataFrame, length) -> DataFrame:
                     ["h", "c", "first", "a", "b"])
 
     windows = data.select("h", "c", "data").mapInArrow(split, "h long, c long, first int, a long, b long")
-    again = windows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("a", "b")
-    found = windows.join(again, ["a", "b"]).select("h", "c", "first")
-    # Neighbouring windows of a context (MOST_WINDOWS at most) become one stretch.
-    place = F.row_number().over(Window.partitionBy("h", "c").orderBy("first"))
-    return found.withColumn("run", F.col("first") - place).groupBy("h", "c", "run").agg(
-        F.min("first").alias("_first"), F.max("first").alias("last"),
-    ).select("h", "c", F.col("_first").alias("first"), "last")
+    # A window that is counted once names its context; all others of a context are repeated.  So the
+    # aggregation (with partial counts per task) is all that is needed, however frequent a window is.
+    once = windows.groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("k"), *[F.min(p).alias(p) for p in ("h", "c", "first")],
+    ).where("k = 1").groupBy("h", "c").agg(F.collect_list("first").alias("once"))
+    found = data.select("h", "c", (F.length("data") - length + 1).alias("n")).join(once, ["h", "c"], "left")
+
+    def rest(batches):
+        for batch in batches:
+            h, c = batch.column("h").to_pylist(), batch.column("c").to_pylist()
+            out = []
+            for i, (n, alone) in enumerate(zip(batch.column("n").to_pylist(), batch.column("once").to_pylist())):
+                repeated = np.ones(n, dtype=bool)
+                repeated[np.array(alone or [], dtype=np.int64)] = False
+                out += [(h[i], c[i], first, last) for first, last in stretches(repeated)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, f.type) for x, f in zip(zip(*out) if out else [[]] * 4, _MARKS)], schema=_MARKS)
+
+    return found.mapInArrow(rest, "h long, c long, first int, last int")
 
 
 def repeated_windows(keyed: DataFrame, length=LENGTH) -> DataFrame:
