@@ -100,3 +100,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
         .orderBy("_h", "doc_id").limit(rows).drop("_h")
     )
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+
+
+def one_of_each(keyed: DataFrame, rooted: DataFrame, columns) -> DataFrame:
+    """The row of ``keyed`` (columns and ``_uid``) with the least doc_id (null ids last) of each root of
+    ``rooted`` (doc_id, _uid, root); of repeated rows one."""
+    best = (
+        rooted.groupBy("root")
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_uid")).alias("best"))
+        .select(F.col("best.doc_id").alias("_doc"), F.col("best._uid").alias("_best"))
+    )
+    kept = keyed.join(
+        best, (keyed["_uid"] == best["_best"]) & keyed["doc_id"].eqNullSafe(best["_doc"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_uid"]).select(*columns)

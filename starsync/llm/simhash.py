@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsync.llm.common import map_texts, ship, utf8
+from starsync.llm.common import map_texts, one_of_each, ship, utf8
 from starsync.llm.components import components
 from starsync.session import stage
 
@@ -276,11 +276,4 @@ def deduplicate(docs: DataFrame, words=WORDS) -> DataFrame:
     columns = docs.columns
     keyed = docs.withColumn("_uid", F.xxhash64(*columns))
     marked = stage(fingerprints(keyed, ("doc_id", "_uid"), words), "simhash")
-    best = (
-        marked.join(classes(marked), "fp").groupBy("root")
-        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_uid")).alias("best"))
-        .select(F.col("best.doc_id").alias("_doc"), F.col("best._uid").alias("_best"))
-    )
-    kept = keyed.join(
-        best, (keyed["_uid"] == best["_best"]) & keyed["doc_id"].eqNullSafe(best["_doc"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_uid"]).select(*columns)
+    return one_of_each(keyed, marked.join(classes(marked), "fp"), columns)
