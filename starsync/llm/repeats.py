@@ -19,15 +19,20 @@ A byte is removed if it is covered by a string of ``length`` bytes that also sta
    of 128 bits and is dealt to all tasks: those counted once are not repeated.
 5. Marks go back to all documents that hold the context, and the bytes are cut out.
 
+``remove`` can also cut passages of some number of words, however few bytes they have: the same steps
+run on texts of which each word is replaced by a code of ``CODE`` bytes.
+
 Defined cases: a null text is an empty one (``remove`` leaves it null); texts shorter than
 ``length`` lose nothing; copies of a text are repeats of each other, and so are repeated rows; an
 empty table gives no rows; other columns are ignored by ``spans`` and kept by ``remove``.
 """
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +41,8 @@ from starsync.session import stage
 
 LENGTH = 400
 GRAM = 32
+#: Bytes of the code of a word.
+CODE = 8
 #: Windows of a text that are worked on at a time, and most windows of one context.
 BLOCK = 1 << 19
 MOST_WINDOWS = 2048
@@ -113,7 +120,12 @@ def contexts(data: bytes, rolling: Rolling, length=LENGTH, gram=GRAM):
             yield at + a, at + b, h, digest, inner
 
 
-def find_contexts(docs: DataFrame, length=LENGTH) -> DataFrame:
+def codes(text) -> bytes:
+    """The words of a text (what ASCII white space separates) as codes of equal length."""
+    return b"".join(map(xxhash.xxh64_digest, utf8(text).split()))
+
+
+def find_contexts(docs: DataFrame, length=LENGTH, encode=utf8) -> DataFrame:
     """(doc_id, tie, first, last, h, c, own): the contexts of all texts; (doc_id, tie) names the text."""
     def make():
         rolling = Rolling(1, BLOCK + length)
@@ -122,7 +134,7 @@ def find_contexts(docs: DataFrame, length=LENGTH) -> DataFrame:
             out = {c: [] for c in ("doc_id", "tie", "first", "last", "own")}
             h, c = [], []
             for doc_id, tie, text in zip(batch["doc_id"], batch["tie"], batch["text"]):
-                for first, last, key, digest, inner in contexts(utf8(text), rolling, length):
+                for first, last, key, digest, inner in contexts(encode(text), rolling, length):
                     out["doc_id"].append(doc_id)
                     out["tie"].append(tie)
                     out["first"].append(first)
@@ -207,12 +219,12 @@ def crowded_windows(data: DataFrame, length) -> DataFrame:
     return found.mapInArrow(rest, "h long, c long, first int, last int")
 
 
-def repeated_windows(keyed: DataFrame, length=LENGTH) -> DataFrame:
+def repeated_windows(keyed: DataFrame, length=LENGTH, encode=utf8) -> DataFrame:
     """(doc_id, tie, windows): stretches (first, last) of windows of ``keyed`` (doc_id, tie, text) that
-    are repeated, for each text that has any."""
+    are repeated, for each text that has any; ``encode`` gives the bytes of a text."""
     spark = keyed.sparkSession
     ship(spark)
-    found = stage(find_contexts(keyed, length), "contexts")
+    found = stage(find_contexts(keyed, length, encode), "contexts")
     # One aggregation tells which hashes can hold repeats, and whether their contexts are all alike.
     hashes = found.groupBy("h").agg(
         F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.max("own").alias("own"),
@@ -234,7 +246,7 @@ def repeated_windows(keyed: DataFrame, length=LENGTH) -> DataFrame:
         for batch in batches:
             h, c, crowded, data = [], [], [], []
             for text, parts in zip(batch.column("text").to_pylist(), batch.column("parts").to_pylist()):
-                text = utf8(text)
+                text = encode(text)
                 for p in parts:
                     h.append(p["h"])
                     c.append(p["c"])
@@ -270,11 +282,17 @@ def _with(keyed: DataFrame, other: DataFrame, how) -> DataFrame:
         other, keyed["doc_id"].eqNullSafe(other["_doc"]) & (keyed["tie"] == other["_tie"]), how)
 
 
-def _marked(docs: DataFrame, length) -> DataFrame:
-    """The rows of ``docs`` and ``windows``, the repeated windows of each (null: none)."""
+def _marked(docs: DataFrame, length, words=None) -> DataFrame:
+    """The rows of ``docs`` and ``windows``, the repeated windows of each (null: none); with a number of
+    words also ``phrases``, the repeated windows of that many words in the coded text."""
     keyed = docs.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
     windows = repeated_windows(keyed.select("doc_id", "tie", "text"), length)
-    return _with(keyed, windows, "left").select(*docs.columns, "windows")
+    marked = _with(keyed, windows, "left").select(*keyed.columns, "windows")
+    if words is None:
+        return marked.drop("tie")
+    phrases = repeated_windows(keyed.select("doc_id", "tie", "text"), words * CODE, codes)
+    return _with(marked, phrases.withColumnRenamed("windows", "phrases"), "left").select(
+        *docs.columns, "windows", "phrases")
 
 
 def runs(windows, length) -> list:
@@ -289,6 +307,33 @@ def runs(windows, length) -> list:
     return out
 
 
+_WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
+
+
+def phrase_runs(data: bytes, phrases, words) -> list:
+    """(start, end) in the bytes of a text of the repeated windows of ``words`` words."""
+    if not phrases:
+        return []
+    at = [m.span() for m in _WORD.finditer(data)]
+    out = []
+    for w in phrases:  # only windows that begin with a word count
+        first, last = -(-w["first"] // CODE), w["last"] // CODE
+        if first <= last:
+            out.append((at[first][0], at[last + words - 1][1]))
+    return out
+
+
+def merged(spans) -> list:
+    """Spans that overlap or touch as one."""
+    out = []
+    for start, end in sorted(map(tuple, spans)):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
+
+
 def without(data: bytes, spans) -> bytes:
     at, parts = 0, []
     for start, end in spans:
@@ -333,15 +378,18 @@ def whole_characters(data: bytes, found) -> list:
     return out
 
 
-def remove(docs: DataFrame, length=LENGTH) -> DataFrame:
-    """The rows of ``docs`` with all their columns; repeated passages are cut out of the text."""
+def remove(docs: DataFrame, length=LENGTH, words=None) -> DataFrame:
+    """The rows of ``docs`` with all their columns; repeated passages are cut out of the text: those of
+    ``length`` bytes, and with ``words`` also those of that many words."""
     def make():
         def fn(batch):
             texts = []
-            for text, windows in zip(batch["text"], batch["windows"]):
-                if text is not None and windows:
+            for text, windows, phrases in zip(
+                    batch["text"], batch["windows"], batch.get("phrases") or [None] * len(batch["text"])):
+                if text is not None and (windows or phrases):
                     data = utf8(text)
-                    text = without(data, whole_characters(data, runs(windows, length))).decode()
+                    found = runs(windows, length) + phrase_runs(data, phrases, words)
+                    text = without(data, whole_characters(data, merged(found))).decode()
                 texts.append(text)
             return {c: texts if c == "text" else batch[c] for c in columns}
 
@@ -349,4 +397,4 @@ def remove(docs: DataFrame, length=LENGTH) -> DataFrame:
 
     columns = docs.columns
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_texts(_marked(docs, length), make, kinds)
+    return map_texts(_marked(docs, length, words), make, kinds)
