@@ -176,13 +176,12 @@ def near_classes(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
     """doc_id, class_id: near duplicates get the least doc_id of their class.
 
     Documents with the same set of shingles are one kind.  Kinds that agree in a band meet in a
-    bucket.  A bucket's least kind leads: the others are joined to it, never to each other, and the
-    Jaccard similarity of each such pair is verified on the whole shingle sets.  Kinds that were not
-    similar enough stay in the bucket without the leader and the next one leads, until no bucket
-    has two.  So no bucket gives all its pairs, a bucket of copies is done in one round, and links
-    between classes that share no leader in any of their sixteen buckets are the only ones missed
-    besides those that no band brings together.
+    bucket, and ``similar.links`` finds the components of all similar pairs that share one, verified on
+    the whole shingle sets: a bucket of copies is done with one hub, and a kind that is linked to the hub
+    still meets those that are not.  Only links that no band brings together are missed.
     """
+    from starsync.llm import similar  # it is built on the signatures of this module
+
     def make():
         signer = kept("signer", Signer)
 
@@ -203,33 +202,12 @@ def near_classes(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
         slim, make, f"doc_id {doc}, kind long, bands array<long>, shingles array<long>"), "minhash")
     sets = marked.select("kind", "bands", "shingles").dropDuplicates(["kind"])
     sets = stage(sets.where(F.size("shingles") > 0), "minhash-kinds")
-    left = stage(sets.select("kind", F.posexplode("bands").alias("band", "key")), "minhash-buckets")
-    found = []
-    while True:
-        leaders = left.groupBy("band", "key").agg(
-            F.min("kind").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        waiting = stage(left.join(leaders, ["band", "key"]).where("kind <> lead"), "minhash-waiting")
-        if waiting.isEmpty():
-            break
-        pairs = waiting.select("kind", "lead").distinct()
-        mine = sets.select("kind", F.col("shingles").alias("a"))
-        theirs = sets.select(F.col("kind").alias("lead"), F.col("shingles").alias("b"))
-        both = F.size(F.array_intersect("a", "b"))
-        similar = both >= (F.size("a") + F.size("b") - both) * threshold
-        links = stage(
-            pairs.join(mine, "kind").join(theirs, "lead").where(similar).select("kind", "lead"), "minhash-links")
-        found.append(links)
-        left = stage(
-            waiting.join(links, ["kind", "lead"], "left_anti").select("kind", "band", "key"), "minhash-buckets")
+    buckets = sets.select("kind", F.size("shingles").alias("n"), F.lit(0).alias("at"), F.posexplode("bands")).select(
+        "kind", "n", "at", F.xxhash64("pos", "col").alias("key"))
+    found = similar.links(
+        buckets, lambda kinds: sets.select("kind", "shingles").join(kinds, "kind", "left_semi"), threshold)
     own = marked.groupBy("kind").agg(F.min("doc_id").alias("least"))
-    if found:
-        edges = found[0]
-        for more in found[1:]:
-            edges = edges.union(more)
-        joined = components(edges.select(F.col("kind").alias("a"), F.col("lead").alias("b")))
-        own = own.join(joined.withColumnRenamed("node", "kind"), "kind", "left")
-    else:
-        own = own.withColumn("component", F.col("kind"))
+    own = own.join(components(found).withColumnRenamed("node", "kind"), "kind", "left")
     own = own.withColumn("root", F.coalesce("component", "kind"))
     classes = own.join(own.groupBy("root").agg(F.min("least").alias("class_id")), "root")
     return marked.select("doc_id", "kind").join(classes.select("kind", "class_id"), "kind").select(
