@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from starsync.llm import (
-    byte_bpe, fingerprints, packing, quality_model, quality_rules, repeats, secrets, simhash,
+    byte_bpe, decontamination, fingerprints, packing, quality_model, quality_rules, repeats, secrets, simhash,
     token_counts, toxicity,
 )
 from starsync.llm.common import table
@@ -59,6 +59,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in windows of benchmark items."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -70,8 +75,10 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_repeats": op9_repeats,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_decontamination": op12_decontamination,
 }
 
 SQL = {
     "op1_quality_rules": quality_rules.SQL,
+    "op12_decontamination": decontamination.SQL,
 }
