@@ -75,15 +75,15 @@ def _key() -> list:
 
 def _shingles(docs: DataFrame, widths) -> DataFrame:
     """(k1, k2, words, p, h): every shingle of every document, by its place and hash."""
-    spots = _split(docs.select(*_key(), "text")).select(
-        "k1", "k2", "words", F.explode(F.sequence(F.lit(0), F.size("words") - 1)).alias("p")).where(
-        F.col("p") >= 0)  # the sequence from 0 down to -1 of a text without words
-    inside = {k: F.get("words", F.col("p") + k - 1).isNotNull() for k in widths}
+    n = F.size("words")
+    # No filter behind the explosion: it would be pulled in front of it, and texts split again for it.
+    places = F.when(n >= min(widths), F.sequence(F.lit(0), n - min(widths)))
+    spots = _split(docs.select(*_key(), "text")).select("k1", "k2", "words", F.explode(places).alias("p"))
     if len(widths) == 1:
-        (k,) = widths
-        return spots.where(inside[k]).withColumn("h", _name(F.col("p"), k))
-    named = F.array(*[F.when(inside[k], _name(F.col("p"), k)) for k in widths])
-    return spots.withColumn("h", F.explode(named)).where("h IS NOT NULL")
+        return spots.withColumn("h", _name(F.col("p"), widths[0]))
+    named = F.array(*[F.when(F.col("p") + k <= n, _name(F.col("p"), k)) for k in widths])
+    # Built-in steps with generated code throughout: rows with whole word lists are never copied.
+    return spots.withColumn("h", F.explode(named))
 
 
 def _blocks(df: DataFrame, name) -> list:
@@ -163,14 +163,14 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 SQL = r"""
 WITH doc AS (
-    SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+    SELECT row_number() OVER () AS r, doc_id, [x FOR x IN string_split_regex(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w
     FROM documents
 ), item AS (
-    SELECT item_id, list_filter(string_split_regex(
+    SELECT item_id, [x FOR x IN string_split_regex(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w
     FROM benchmark
 ), win AS (
     SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i + 1:i + least(len(w), 10)], ' ') AS t
