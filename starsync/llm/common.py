@@ -1,5 +1,6 @@
 """Helpers shared by the operators of this subpackage."""
 
+import hashlib
 import os
 import tempfile
 import zipfile
@@ -75,6 +76,40 @@ def utf8(text) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+def joined_sha256(df: DataFrame, key: str, order: list, line: str, between="\n") -> DataFrame:
+    """(key, sha256): the hex digest of the ``line`` values of each key, in order, joined by ``between``.
+
+    Rows are sorted inside the tasks and streamed, so a key of any length takes the memory of one batch.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = list(dict.fromkeys([key, *order, line]))
+
+    def run(batches):
+        held, now, gap = None, None, between.encode()
+        for batch in batches:
+            done = []
+            for k, text in zip(batch.column(key).to_pylist(), batch.column(line).to_pylist()):
+                if now is not None and k == held:
+                    now.update(gap)
+                else:
+                    if now is not None:
+                        done.append((held, now.hexdigest()))
+                    held, now = k, hashlib.sha256()
+                now.update(utf8(text))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([d[0] for d in done], batch.schema.field(key).type),
+                 pa.array([d[1] for d in done], pa.string())], [key, "sha256"])
+        if now is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([held], batch.schema.field(key).type), pa.array([now.hexdigest()])], [key, "sha256"])
+
+    ship(spark)
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(*names).repartition(parts, key).sortWithinPartitions(key, *order).mapInArrow(
+        run, f"`{key}` {kind}, sha256 string")
+
+
 def in_training_fold(doc_id: str = "doc_id"):
     """Rows whose labels may be learned from: crc32 of the id as text, modulo 3, is not 1."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 != 1, F.lit(True))

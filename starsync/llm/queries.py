@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from starsync.llm import (
-    byte_bpe, decontamination, fingerprints, packing, quality_model, quality_rules, repeats, secrets, simhash,
+    byte_bpe, conversation_repair, decontamination, fingerprints, packing, quality_model, quality_rules, repeats, secrets, simhash,
     token_counts, toxicity,
 )
 from starsync.llm.common import table
@@ -59,6 +59,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of the repaired rows of every damaged conversation."""
+    return conversation_repair.digests(table(spark, sf_dir, "conversations"))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stand in windows of benchmark items."""
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -75,6 +80,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_repeats": op9_repeats,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_decontamination": op12_decontamination,
 }
 
