@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from starsync.llm import (
-    byte_bpe, conversation_repair, decontamination, fingerprints, packing, quality_model, quality_rules, repeats, secrets, simhash,
+    byte_bpe, conversation_repair, decontamination, fingerprints, packing, prefix_trie, quality_model, quality_rules, repeats, secrets, simhash,
     token_counts, toxicity,
 )
 from starsync.llm.common import table
@@ -69,6 +69,11 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -82,9 +87,11 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_decontamination": op12_decontamination,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL = {
     "op1_quality_rules": quality_rules.SQL,
     "op12_decontamination": decontamination.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }
