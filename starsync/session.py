@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# Folders that were staged inside the innermost ``scratch`` block of this thread, if any.
-_scratch = contextvars.ContextVar("scratch", default=None)
+# Folders that were staged inside the ``scratch`` blocks of this thread, outermost block first.
+_scratch = contextvars.ContextVar("scratch", default=())
 
 
 def build_session(app_name="starsync", master=None, **conf):
@@ -49,25 +49,27 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, partition_by=None) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by=None, keep=False) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Cuts the lineage with a table in shared storage, so that several consumers read the same
-    rows (also after an executor is lost) and still get column pruning and filter pushdown.
+    rows (also after an executor is lost) and still get column pruning and filter pushdown.  A table
+    to ``keep`` outlives the innermost ``scratch`` block.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    if _scratch.get() is not None:
-        _scratch.get().append(path)
+    blocks = _scratch.get()[:-1] if keep else _scratch.get()
+    if blocks:
+        blocks[-1].append(path)
     df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextlib.contextmanager
 def scratch(spark: SparkSession):
-    """Delete what is staged inside this block when it ends: for jobs that return no DataFrame."""
+    """Delete what is staged inside this block when it ends: for steps whose result does not read it."""
     paths = []
-    token = _scratch.set(paths)
+    token = _scratch.set((*_scratch.get(), paths))
     try:
         yield
     finally:
