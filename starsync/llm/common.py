@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from starsync.session import stage
+
 #: Characters of text that a task works on at a time (a single longer text is one slice).
 SLICE_CHARS = 2_000_000
 
@@ -127,24 +129,35 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
         labels.where(in_training_fold() & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
     )
-    # The ids are chosen before any text is moved; the chosen ones are at most ``rows``.
+    # The ids are chosen before any text is moved; the chosen ones are at most ``rows``.  Of the rows
+    # of an id, that with the least hash of its text is taken, so rows are no more than ids.
+    named = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"))
     ids = (
-        docs.select("doc_id").join(known, "doc_id")
-        .groupBy("doc_id").agg(F.first("label").alias("label"))
-        .withColumn("_h", F.xxhash64("doc_id"))
-        .orderBy("_h", "doc_id").limit(rows).drop("_h")
+        named.join(known, "doc_id").groupBy("doc_id").agg(F.first("label").alias("label"), F.min("_t").alias("_t"))
+        .withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id").limit(rows).drop("_h")
     )
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    texts = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"))
+    return texts.join(F.broadcast(ids), ["doc_id", "_t"]).groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.first("label").alias("label"))
+
+
+def aside(docs: DataFrame):
+    """``docs`` with other names for all columns but doc_id and text, and a function that gives a frame
+    with these columns those of ``docs`` again: no column of the caller meets one of an operator."""
+    inner = [c if c in ("doc_id", "text") else f"extra_{i}" for i, c in enumerate(docs.columns)]
+    pairs = list(zip(inner, docs.columns))
+    return docs.toDF(*inner), lambda df: df.select(*[F.col(a).alias(b) for a, b in pairs])
 
 
-def one_of_each(keyed: DataFrame, rooted: DataFrame, columns) -> DataFrame:
-    """The row of ``keyed`` (columns and ``_uid``) with the least doc_id (null ids last) of each root of
+def one_of_each(keyed: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The row of ``keyed`` (with ``_uid``) with the least doc_id (null ids last) of each root of
     ``rooted`` (doc_id, _uid, root); of repeated rows one."""
     best = (
         rooted.groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_uid")).alias("best"))
         .select(F.col("best.doc_id").alias("_doc"), F.col("best._uid").alias("_best"))
     )
+    best = stage(best, "least-of-class", keep=True)
     kept = keyed.join(
         best, (keyed["_uid"] == best["_best"]) & keyed["doc_id"].eqNullSafe(best["_doc"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_uid"]).select(*columns)
+    return kept.dropDuplicates(["doc_id", "_uid"]).drop("_uid")

@@ -27,7 +27,6 @@ from pyspark.sql.types import StructType
 
 from starsync.llm.chunks import Memo, kept
 from starsync.llm.common import map_texts, ship, utf8
-from starsync.llm.components import components
 from starsync.session import stage
 
 LANES = 64
@@ -36,8 +35,6 @@ SEED = 20_24
 #: Shingles that are hashed at a time (a block of ROWS x LANES numbers of 64 bits).
 ROWS = 2048
 
-#: A band is four lanes (64 bits), so there are sixteen.
-BANDS = 16
 THRESHOLD = 0.8
 
 
@@ -175,40 +172,9 @@ def with_edits(docs: DataFrame) -> DataFrame:
 def near_classes(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
     """doc_id, class_id: near duplicates get the least doc_id of their class.
 
-    Documents with the same set of shingles are one kind.  Kinds that agree in a band meet in a
-    bucket, and ``similar.links`` finds the components of all similar pairs that share one, verified on
-    the whole shingle sets: a bucket of copies is done with one hub, and a kind that is linked to the hub
-    still meets those that are not.  Only links that no band brings together are missed.
+    Signature bands are joined in Spark and the Jaccard similarity of whole shingle sets is verified
+    (``similar.classes``); the pipeline's near-duplicate stage runs the same steps.
     """
     from starsync.llm import similar  # it is built on the signatures of this module
 
-    def make():
-        signer = kept("signer", Signer)
-
-        def fn(rows):
-            sets = [np.unique(signer.shingles(t)) for t in rows["text"]]
-            return {
-                "doc_id": rows["doc_id"],
-                "kind": [xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets],
-                "bands": [np.frombuffer(signer.sign(t).tobytes(), dtype=np.int64) for t in rows["text"]],
-                "shingles": [s.view(np.int64) for s in sets],
-            }
-
-        return fn
-
-    slim = docs.select("doc_id", "text")
-    doc = slim.schema["doc_id"].dataType.simpleString()
-    marked = stage(map_texts(
-        slim, make, f"doc_id {doc}, kind long, bands array<long>, shingles array<long>"), "minhash")
-    sets = marked.select("kind", "bands", "shingles").dropDuplicates(["kind"])
-    sets = stage(sets.where(F.size("shingles") > 0), "minhash-kinds")
-    buckets = sets.select("kind", F.size("shingles").alias("n"), F.lit(0).alias("at"), F.posexplode("bands")).select(
-        "kind", "n", "at", F.xxhash64("pos", "col").alias("key"))
-    found = similar.links(
-        buckets, lambda kinds: sets.select("kind", "shingles").join(kinds, "kind", "left_semi"), threshold)
-    own = marked.groupBy("kind").agg(F.min("doc_id").alias("least"))
-    own = own.join(components(found).withColumnRenamed("node", "kind"), "kind", "left")
-    own = own.withColumn("root", F.coalesce("component", "kind"))
-    classes = own.join(own.groupBy("root").agg(F.min("least").alias("class_id")), "root")
-    return marked.select("doc_id", "kind").join(classes.select("kind", "class_id"), "kind").select(
-        "doc_id", "class_id")
+    return similar.classes(docs, threshold)

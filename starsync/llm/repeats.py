@@ -36,8 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsync.llm.common import map_texts, ship, utf8
-from starsync.session import stage
+from starsync.llm.common import aside, map_texts, ship, utf8
+from starsync.session import scratch, stage
 
 LENGTH = 400
 GRAM = 32
@@ -222,13 +222,19 @@ def crowded_windows(data: DataFrame, length) -> DataFrame:
 def repeated_windows(keyed: DataFrame, length=LENGTH, encode=utf8) -> DataFrame:
     """(doc_id, tie, windows): stretches (first, last) of windows of ``keyed`` (doc_id, tie, text) that
     are repeated, for each text that has any; ``encode`` gives the bytes of a text."""
-    spark = keyed.sparkSession
-    ship(spark)
+    ship(keyed.sparkSession)
+    with scratch(keyed.sparkSession):
+        return stage(_windows(keyed, length, encode), "repeated-windows", keep=True)
+
+
+def _windows(keyed: DataFrame, length, encode) -> DataFrame:
     found = stage(find_contexts(keyed, length, encode), "contexts")
     # One aggregation tells which hashes can hold repeats, and whether their contexts are all alike.
     hashes = found.groupBy("h").agg(
         F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.max("own").alias("own"),
     ).where("n > 1 OR own").select("h", ((F.col("c0") == F.col("c1")) & ~F.col("own")).alias("alike"))
+    # Staged, so that the skew join can split a hash with many contexts.
+    hashes = stage(hashes, "context-hashes")
     repeats = stage(found.drop("own").join(hashes, "h"), "context-repeats")
     place = ["doc_id", "tie", "first", "last"]
     alike = repeats.where("alike").select("doc_id", "tie", F.array(F.struct("first", "last")).alias("w"))
@@ -395,6 +401,7 @@ def remove(docs: DataFrame, length=LENGTH, words=None) -> DataFrame:
 
         return fn
 
-    columns = docs.columns
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_texts(_marked(docs, length, words), make, kinds)
+    inner, outer = aside(docs)
+    columns = inner.columns
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema)
+    return outer(map_texts(_marked(inner, length, words), make, kinds))

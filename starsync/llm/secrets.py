@@ -1,11 +1,13 @@
 """Secret scans: fixed patterns, and literals that are assigned to sensitive names.
 
 The base patterns find assignments to a few names, access keys and hexadecimal strings.  Beyond
-them a small lexer reads the text as source or configuration: it takes (name, value) pairs from
-assignments, object keys and exported variables, joins concatenated literals, follows names that
-stand for an earlier constant, and scores each literal by how sensitive the name is that receives
-it and by how random the literal looks.  Scans run in the tasks that read the documents, without a
-shuffle.
+them the whole text is read as source or configuration: a name before ``=``, ``:``, ``=>`` or ``:=`` opens a
+pair, and its value is read token by token, over line ends where the syntax goes on there.  Values are
+strings (also of triple quotes), bare words, concatenations, formatted strings, literals in brackets,
+arguments of calls, block scalars below their key; elements ``<name>value</name>`` are pairs as well.  A
+name that stands for an earlier constant passes its literals on (the last value before counts, the text's
+blocks are not told apart).  A literal is scored by how sensitive the name is that receives it and by
+how random the whole value looks.  Scans run in the tasks that read the documents, without a shuffle.
 
 Spans are in code points, their end exclusive.  Defined cases: a null text is an empty one; repeated
 rows are scanned each; an empty table gives no rows; other columns are ignored by ``scan`` and kept
@@ -15,12 +17,14 @@ by ``redact``.
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsync.llm.common import map_texts
+from starsync.llm.common import aside, map_texts
 
 KINDS = ("assign", "access", "hex", "literal")
 
@@ -46,10 +50,16 @@ THRESHOLD = 4.5
 MIN_LITERAL = 8
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*"
-_STRING = r'"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\''
-_PAIR = re.compile(
-    rf"""(?P<name>{_NAME})["']?[ \t]*(?:=>|:=|[:=](?![:=]))[ \t]*(?P<value>{_STRING}|[A-Za-z0-9_][^\s,;"'`<>(){{}}\[\]]*)""")
-_MORE = re.compile(rf"[ \t]*\+[ \t]*(?P<value>{_STRING}|{_NAME})")
+_STRING = r'"""(?:[^"\\]|\\.|"(?!""))*"""|\'\'\'(?:[^\'\\]|\\.|\'(?!\'\'))*\'\'\'|"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\''
+#: What opens a pair: a name (perhaps quoted) and an assignment, or an element.  A name is only looked for
+#: where its run of characters begins, so that long runs take linear time.
+_HEAD = re.compile(
+    rf"""(?<![A-Za-z0-9_.\-])[0-9.\-]*+(?P<name>{_NAME}+)["']?[ \t]*(?:=>|:=|[:=](?![:=]))|<(?P<element>{_NAME})(?:\s[^<>]*)?>(?P<content>[^<>]+)</(?P=element)>""")
+#: A token of a value; ``bare`` may be a number or a path as well as a name.
+_TOKEN = re.compile(
+    rf"""(?P<string>{_STRING})|(?P<bare>[A-Za-z0-9_][^\s,;"'`<>(){{}}\[\]]*)|(?P<open>[(\[])|(?P<close>[)\]])|(?P<join>[+%,])""", re.S)
+_BLANK, _BLANKS, _BEHIND = re.compile(r"[ \t]*"), re.compile(r"(?:\s|\\\n)*"), re.compile(r"(?:[ \t]|\\\n)*")
+_BLOCK = re.compile(r"[ \t]*[|>][+-]?[0-9]?[ \t]*\n")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
@@ -79,59 +89,150 @@ def sensitivity(name: str) -> float:
     return score - 2.0 * (parts[-1] in HARMLESS)
 
 
-def randomness(literal: str) -> float:
-    """Bits per character of a literal, with a bonus for mixed character classes."""
-    n = len(literal)
-    if n < MIN_LITERAL or " " in literal or PLACEHOLDER.match(literal) or literal.startswith(("${", "{{")):
+class Value:
+    """Literals that a name stands for: their spans, the values they come from, and how they look."""
+
+    __slots__ = ("spans", "parts", "counts", "size", "head", "told")
+
+    def __init__(self, spans, parts, text):
+        self.spans, self.parts, self.told = spans, parts, False
+        chars = Counter(text)
+        size, head = float(len(text)), text[:64]
+        for part in parts:
+            for c, k in part.counts.items():
+                chars[c] += k
+            size += part.size
+            head = (head + part.head)[:64]
+        if size > 1e9:  # shares are all that counts; they stay finite however often values are doubled
+            chars, size = {c: k * 1e6 / size for c, k in chars.items()}, 1e6
+        self.counts, self.size, self.head = chars, size, head
+
+    def all_spans(self, found: set):
+        """Add the spans of all literals; values that were told before are not walked again."""
+        todo = [self]
+        while todo:
+            value = todo.pop()
+            if not value.told:
+                value.told = True
+                found.update(("literal", start, end) for start, end in value.spans if end > start)
+                todo += value.parts
+
+
+def randomness(value) -> float:
+    """Bits per character of a value, with a bonus for mixed character classes."""
+    if isinstance(value, str):
+        value = Value([], [], value)
+    counts, head = value.counts, value.head
+    if value.size < MIN_LITERAL or " " in counts or PLACEHOLDER.match(head) or head.startswith(("${", "{{")):
         return -10.0
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
-    classes = sum(bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return entropy / 2 + 0.5 * (classes - 2) - (0.0 if re.search("[0-9]", literal) else 1.0)
+    entropy = -sum(k / value.size * math.log2(k / value.size) for k in counts.values() if k)
+    kinds = [any(a <= c <= z for c in counts) for a, z in (("a", "z"), ("A", "Z"), ("0", "9"))]
+    other = any(not (c.isascii() and c.isalnum()) for c in counts)
+    return entropy / 2 + 0.5 * (sum(kinds) + other - 2) - (0.0 if kinds[2] else 1.0)
+
+
+def _block(text: str, head) -> tuple:
+    """The lines of a block scalar (spans of what they say) and its end."""
+    line = text.rfind("\n", 0, head.start()) + 1
+    depth = len(_BLANK.match(text, line)[0])
+    at, spans = _BLOCK.match(text, head.end()).end(), []
+    while at < len(text):
+        end = text.find("\n", at)
+        end = len(text) if end < 0 else end
+        start = _BLANK.match(text, at).end()
+        if start < end and start - at <= depth:
+            break
+        stop = start + len(text[start:end].rstrip())
+        if stop > start:
+            spans.append((start, stop))
+        at = end + 1
+    return spans, min(at, len(text))
+
+
+def _value(text: str, at: int, constants: dict) -> tuple:
+    """The value that begins at a place, or None, and its end.
+
+    Inside brackets, and in front of a string, white space may hold line ends.  Terms follow each
+    other if ``+``, ``%`` or, in brackets, a comma joins them, or if they are strings side by side.
+    """
+    spans, parts, words = [], [], []
+    depth, joined, end, last = 0, True, at, None
+    following = _BLANKS.match(text, at).end()
+    if text[following:following + 1] in ("\"", "'"):
+        at = following
+    while True:
+        at = (_BLANKS if depth else _BEHIND).match(text, at).end()
+        m = _TOKEN.match(text, at)
+        if not m or (m.lastgroup in ("string", "bare") and not joined and not (
+                m.lastgroup == "string" and last == "string")):
+            break
+        kind, token = m.lastgroup, m[0]
+        if kind == "open":
+            if last == "string":
+                break
+            if last == "bare" and text[at - 1:at].isspace():
+                break
+            depth, joined = depth + 1, True
+        elif kind == "close":
+            if not depth:
+                break
+            depth -= 1
+        elif kind == "join":
+            if last is None or (token == "," and not depth):
+                break
+            joined = True
+        elif kind == "string":
+            quotes = 3 if token[:3] in ('"""', "\'\'\'") and len(token) >= 6 else 1
+            spans.append((at + quotes, m.end() - quotes))
+            words.append(token[quotes:-quotes])
+            joined = False
+        else:
+            bare = token.rstrip(".:!?")
+            call = text[m.end():m.end() + 1] == "("
+            if token in constants:
+                parts.append(constants[token])
+            elif not call and not (words or parts or depth):
+                spans.append((at, at + len(bare)))
+                words.append(bare)
+            joined = False
+        at, last = m.end(), kind
+        if kind != "join":
+            end = at
+    if not spans and not parts:
+        return None, end
+    return Value(spans, parts, "".join(words)), end
 
 
 def assignments(text: str):
-    """(name, [(literal, start, end), ...]) of the pairs in a text, constants followed.
-
-    A value is a string, a bare word, a concatenation of them, or the name of an earlier constant;
-    the spans are those of the literals, wherever they stand.
-    """
-    constants = {}
-    at = 0
-    for line in text.split("\n"):
-        if "=" in line or ":" in line:
-            for m in _PAIR.finditer(line):
-                parts, end = [], m.end("value")
-                values = [(m["value"], m.start("value"))]
-                while more := _MORE.match(line, end):
-                    values.append((more["value"], more.start("value")))
-                    end = more.end("value")
-                for value, start in values:
-                    if value[0] in "\"'":
-                        parts.append((value[1:-1], at + start + 1, at + start + len(value) - 1))
-                    elif value in constants:
-                        parts += constants[value]
-                    else:
-                        bare = value.rstrip(".:!?")
-                        parts.append((bare, at + start, at + start + len(bare)))
-                if parts:
-                    constants[m["name"]] = parts[:MOST_PARTS]
-                    yield m["name"], parts
-        at += len(line) + 1
-
-
-#: Literals that one constant may be joined from.
-MOST_PARTS = 64
+    """(name, Value) of the pairs in a text, constants followed; spans are those of the literals,
+    wherever they stand."""
+    constants, at = {}, 0
+    while m := _HEAD.search(text, at):
+        at = m.end()
+        name = m["name"] or m["element"]
+        if m["element"]:
+            said = m["content"].strip()
+            start = m.start("content") + m["content"].find(said) if said else m.end("content")
+            value = Value([(start, start + len(said))], [], said) if said else None
+        elif _BLOCK.match(text, at):
+            spans, at = _block(text, m)
+            value = Value(spans, [], "".join(text[a:b] for a, b in spans)) if spans else None
+        else:
+            value, at = _value(text, at, constants)
+        if value:
+            constants[name] = value
+            yield name, value
 
 
 def literal_spans(text: str) -> list:
     """Spans of the literals whose name and looks together reach the threshold."""
-    if "=" not in text and ":" not in text:
+    if not any(c in text for c in "=:<"):
         return []
     found = set()
-    for name, parts in assignments(text):
+    for name, value in assignments(text):
         weight = sensitivity(name)
-        if weight > 0 and weight + randomness("".join(p for p, _, _ in parts)) >= THRESHOLD:
-            found.update(("literal", start, end) for _, start, end in parts if end > start)
+        if weight > 0 and weight + randomness(value) >= THRESHOLD:
+            value.all_spans(found)
     return list(found)
 
 
@@ -143,8 +244,10 @@ def all_spans(text) -> tuple:
     text = text or ""
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     base = sorted(base_spans(text), key=order)
-    more = [s for s in literal_spans(text) if not any(b[1] <= s[1] and s[2] <= b[2] for b in base)]
-    return base, sorted(base + more, key=order)
+    starts = [b[1] for b in base]
+    ends = list(accumulate((b[2] for b in base), max))  # the farthest end of all up to each
+    outside = lambda s: not (i := bisect_right(starts, s[1])) or ends[i - 1] < s[2]
+    return base, sorted(base + [s for s in literal_spans(text) if outside(s)], key=order)
 
 
 def joined(spans) -> str:
@@ -187,7 +290,7 @@ def redacted(text, mark):
 
 def redact(docs: DataFrame, mark="[SECRET]") -> DataFrame:
     """The rows of ``docs`` with all their columns; secrets in the text are replaced by ``mark``."""
-    columns = docs.columns
+    inner, outer = aside(docs)
 
     def make():
         def fn(batch):
@@ -195,5 +298,5 @@ def redact(docs: DataFrame, mark="[SECRET]") -> DataFrame:
 
         return fn
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_texts(docs, make, kinds).select(*columns)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema)
+    return outer(map_texts(inner, make, kinds))

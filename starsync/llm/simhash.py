@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsync.llm.common import map_texts, one_of_each, ship, utf8
+from starsync.llm.common import aside, map_texts, one_of_each, ship, utf8
 from starsync.llm.components import components
-from starsync.session import stage
+from starsync.session import scratch, stage
 
 #: Most bits in which linked fingerprints differ (the midpoint argument is made for 2).
 THRESHOLD = 2
@@ -273,7 +273,8 @@ def components_of(docs: DataFrame, words=WORDS) -> DataFrame:
 def deduplicate(docs: DataFrame, words=WORDS) -> DataFrame:
     """One row of ``docs``, with all its columns, for each component: that with the least doc_id
     (null ids last), of repeated rows one."""
-    columns = docs.columns
-    keyed = docs.withColumn("_uid", F.xxhash64(*columns))
-    marked = stage(fingerprints(keyed, ("doc_id", "_uid"), words), "simhash")
-    return one_of_each(keyed, marked.join(classes(marked), "fp"), columns)
+    inner, outer = aside(docs)
+    with scratch(docs.sparkSession):
+        keyed = inner.withColumn("_uid", F.xxhash64(*inner.columns))
+        marked = stage(fingerprints(keyed, ("doc_id", "_uid"), words), "simhash")
+        return outer(one_of_each(keyed, marked.join(classes(marked), "fp")))

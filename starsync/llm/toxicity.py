@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsync.llm.common import in_training_fold, labelled_sample, map_texts
+from starsync.llm.common import aside, in_training_fold, labelled_sample, map_texts
 
 #: Most labelled rows that stems, label model and classifier are fitted on.
 SAMPLE_ROWS = 20_000
@@ -311,6 +311,12 @@ def with_scores(docs: DataFrame, model: dict, columns) -> DataFrame:
     return map_texts(slim, make, f"{kinds}, _score double")
 
 
+def accepted(docs: DataFrame, model: dict, cut=0.7) -> DataFrame:
+    """The rows of ``docs`` below the cutoff, with all their columns."""
+    inner, outer = aside(docs)
+    return outer(with_scores(inner, model, inner.columns).where(F.col("_score") < cut))
+
+
 def score(docs: DataFrame, labels: DataFrame, rows=SAMPLE_ROWS, cut=0.7) -> DataFrame:
     """doc_id, held_out, score, predicted: one row for each row of ``docs``."""
     scored = with_scores(docs, train(docs, labels, rows=rows), ["doc_id"])

@@ -19,7 +19,8 @@ TRICKY = [
 ]
 #: Columns of other tables whose names the operators use inside.
 EXTRA = ("score", "label", "kept", "n_words", "position", "length", "ids", "_salt", "fingerprint",
-         "digest", "spans", "stem")
+         "digest", "spans", "stem", "tie", "windows", "phrases", "_uid", "_doc", "_tie", "_score", "_best",
+         "kind", "root", "h", "extra_0", "key", "best", "component", "t1")
 
 
 @pytest.fixture(scope="session")

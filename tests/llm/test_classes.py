@@ -21,7 +21,7 @@ def chains(rng):
 
 def brute_classes(docs):
     """The least id that links of 0.8 between texts that share a band lead to."""
-    signer = fingerprints.Signer()
+    signer = similar.Signer(similar.LANES)
     bands = [np.frombuffer(signer.sign(t).tobytes(), dtype=np.int64) for _, t in docs]
     least = {i: i for i, _ in docs}
 
@@ -39,7 +39,7 @@ def brute_classes(docs):
 
 
 def test_links_that_share_a_band_are_never_lost(spark, monkeypatch):
-    monkeypatch.setattr(similar, "SMALL", 2)
+    monkeypatch.setattr(similar, "ROUNDS", 1)
     docs = chains(random.Random(2))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     assert {r.doc_id: r.class_id for r in fingerprints.near_classes(df).collect()} == brute_classes(docs)

@@ -8,7 +8,7 @@ from starsync.llm import repeats
 
 
 def plain(docs, length=400, words=51):
-    """Texts (ASCII) without repeated passages of so many bytes or words."""
+    """Texts without repeated passages of so many bytes or words, in whole characters."""
     data = [(t or "").encode() for _, t in docs]
     at = [[m.span() for m in repeats._WORD.finditer(d)] for d in data]
     said = [d.split() for d in data]
@@ -23,6 +23,12 @@ def plain(docs, length=400, words=51):
         for i in range(len(w) - words + 1):
             if heard[tuple(w[i:i + words])] > 1:
                 gone[a[i][0]:a[i + words - 1][1]] = True
+        for i in range(len(d)):  # a character goes only as a whole
+            if d[i] & 0xC0 != 0x80:
+                end = i + 1
+                while end < len(d) and d[end] & 0xC0 == 0x80:
+                    end += 1
+                gone[i:end] = gone[i:end].all()
         out[doc_id] = text if text is None else bytes(np.frombuffer(d, np.uint8)[~gone]).decode()
     return out
 

@@ -8,32 +8,13 @@ from pyspark.sql import functions as F
 import __spark_entry__
 import corpus_pipeline
 from starsync.llm import packing, repeats, secrets, toxicity
+from tests.llm.test_passages import plain as plain_passages
 from tests.llm.test_repeats import plain as plain_repeats
 from tests.llm.test_secrets import plain_base
-from tests.llm.test_simhash import plain_components, plain_fingerprint
+from tests.llm.test_similar import brute_kept
 from tests.llm.test_tokens import gapless
 
 
-def plain_cut(docs, length=400):
-    """Texts without repeated passages, in whole characters."""
-    data = [t.encode() for _, t in docs]
-    seen = Counter(d[i:i + length] for d in data for i in range(len(d) - length + 1))
-    out = []
-    for (doc_id, _), d in zip(docs, data):
-        gone = np.zeros(len(d), dtype=bool)
-        for i in range(len(d) - length + 1):
-            if seen[d[i:i + length]] > 1:
-                gone[i:i + length] = True
-        for i in range(len(d)):  # a character goes only as a whole
-            if d[i] & 0xC0 != 0x80:
-                end = i + 1
-                while end < len(d) and d[end] & 0xC0 == 0x80:
-                    end += 1
-                gone[i:end] = gone[i:end].all()
-        out.append((doc_id, bytes(np.frombuffer(d, np.uint8)[~gone]).decode()))
-    return out
-
-
 def test_pipeline_equals_plain_versions(spark, sf_dir):
     from tokenizers import Tokenizer
 
@@ -42,10 +23,10 @@ def test_pipeline_equals_plain_versions(spark, sf_dir):
     scores = {r.doc_id: r._score for r in toxicity.with_scores(
         documents, toxicity.train(documents, labels), ["doc_id"]).collect()}
     docs = sorted((r.doc_id, r.text) for r in documents.collect() if scores[r.doc_id] < 0.7)
-    roots = plain_components([plain_fingerprint(t) for _, t in docs])
-    docs = [d for i, d in enumerate(docs) if roots[i] == i]
+    left = set(brute_kept(docs))
+    docs = [d for d in docs if d[0] in left]
     assert 0 < len(docs) < documents.count()
-    docs = [(i, secrets.redacted(t, "[SECRET]")) for i, t in plain_cut(docs)]
+    docs = [(i, secrets.redacted(t, "[SECRET]")) for i, t in plain_passages(docs).items()]
     assert not any(plain_base(t) for _, t in docs)
     tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
     want = Counter()
@@ -62,9 +43,11 @@ def test_stages_take_any_row(spark, tricky, no_docs, sf_dir):
     for start in (tricky, no_docs):
         docs = start
         for name, function in corpus_pipeline.STAGES[:-1]:
+            before = {r[5:] for r in docs.collect()}
             docs = spark.createDataFrame(
                 function(spark, docs, sf_dir).collect(), docs.schema)
             assert docs.columns == start.columns
+            assert {r[5:] for r in docs.collect()} <= before  # the caller's own columns, as they were
             bad = docs.where(~F.col("n_chars").eqNullSafe(F.length("text").cast("long")) & F.col("text").isNotNull())
             assert bad.count() == 0
         last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
@@ -74,5 +57,5 @@ def test_stages_take_any_row(spark, tricky, no_docs, sf_dir):
 def test_plain_versions_agree():
     docs = [(1, "é" * 500), (2, "x" + "é" * 500)]
     assert [n for _, _, n, _, _ in plain_repeats(docs)] == [1000, 1000]
-    assert plain_cut(docs) == [(1, ""), (2, "x")]
+    assert plain_passages(docs) == {1: "", 2: "x"}
     assert repeats.LENGTH == 400

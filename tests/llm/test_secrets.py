@@ -52,6 +52,40 @@ def test_literals_of_sensitive_names():
     assert found("The key: everyone agrees. Access: by request.") == []
 
 
+LITERAL = "q7Wz9xP4sT1v"
+FORMS = [
+    'db_pwd = """q7Wz9xP4sT1v"""', "db_pwd = '''\nq7Wz9xP4sT1v'''", '{"db_pwd":\n   "q7Wz9xP4sT1v"}',
+    "db_pwd: |\n  q7Wz9xP4sT1v\nother: 1", "  db_pwd: >-\n    q7Wz9xP4sT1v", "<db_pwd>q7Wz9xP4sT1v</db_pwd>",
+    '<db_pwd kind="x"> q7Wz9xP4sT1v </db_pwd>', 'db_pwd = str("q7Wz9xP4sT1v")', 'db_pwd = f(1, str("q7Wz9xP4sT1v"))',
+    'A = "q7Wz9xP4sT1v"\ndb_pwd = "%s" % A', 'A = "q7Wz9xP4sT1v"\ndb_pwd = "%s%s" % (A, 1)', "db_pwd = q7Wz9xP4sT1v",
+    'export DB_PWD="q7Wz9xP4sT1v"; run', 'db_pwd = \\\n  "q7Wz9xP4sT1v"', "db_pwd => 'q7Wz9xP4sT1v',",
+]
+
+
+def test_literals_of_many_forms():
+    for text in FORMS:
+        assert [x.strip() for x in found(text) if x.strip() not in ("%s", "%s%s")] == [LITERAL], text
+    assert found('db_pwd = ("q7Wz9"\n   "xP4sT1v")\nx = "other"') == ["q7Wz9", "xP4sT1v"]
+    assert found('db_pwd = ("q7Wz9" +\n   "xP4sT1v")') == ["q7Wz9", "xP4sT1v"]
+    assert found('db_pwd = load("x") or "a"\nnote: "q7Wz9xP4sT1v"') == []
+
+
+def test_long_runs_take_linear_time():
+    for text in ("a" * 300_000, "a=" * 100_000, "<a>" * 50_000, '"""' * 50_000, "a: |\\n" * 50_000, "-" * 300_000):
+        secrets.all_spans(text)
+
+
+def test_constants_of_many_parts():
+    """No literal of a constant is left out, and chains of constants take linear time."""
+    parts = [f"{i:02d}xQ{i * 7919 % 9973}" for i in range(70)]
+    text = "A = " + " + ".join(f'"{p}"' for p in parts) + "\ndb_password = A\n"
+    assert found(text) == parts
+    text = 'A = "q7Wz9xP4"\n' + "A = A + A\n" * 3000 + "db_password = A\n" * 300
+    assert found(text) == ["q7Wz9xP4"]
+    text = 'pwd = "q7Wz9xP4"\n' + "".join(f'pwd = pwd + "p{i}Zk"\n' for i in range(3000))
+    assert len(found(text)) == 3001
+
+
 def test_clean_documents_are_left_alone(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     extra = [s for r in rows if not plain_base(r.text) for s in secrets.all_spans(r.text)[1]]

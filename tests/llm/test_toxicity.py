@@ -43,3 +43,14 @@ def test_held_out_accuracy(spark, sf_dir):
     assert sum(r.toxic for r in marked) >= 0.95 * len(marked)
     # About a fifteenth of the toxic documents here were overwritten by junk after labelling.
     assert sum(r.predicted for r in toxic) >= 0.88 * len(toxic)
+
+
+def test_sample_has_one_row_of_an_id(spark):
+    from starsync.llm.common import labelled_sample
+
+    docs = spark.createDataFrame([(2, f"text {i}") for i in range(500)] + [(i, "other") for i in range(3, 60)],
+                                 "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    rows = labelled_sample(docs, labels, "toxic", 20).collect()
+    assert len(rows) == 20 == len({r.doc_id for r in rows})
+    assert len(labelled_sample(docs, labels, "toxic", 1000).where("doc_id = 2").collect()) <= 1
