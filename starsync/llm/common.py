@@ -7,6 +7,7 @@ import zipfile
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -14,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from starsync.session import stage
 
-#: Characters of text that a task works on at a time (a single longer text is one slice).
+#: Bytes of text that a task works on at a time (a single longer text is one slice).
 SLICE_CHARS = 2_000_000
 
 _shipped = set()
@@ -38,9 +39,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _slices(batch: pa.RecordBatch, text_column):
-    """Row ranges of a batch with about SLICE_CHARS of text each."""
-    lengths = [len(t or "") for t in batch.column(text_column).to_pylist()]
+def slices(batch: pa.RecordBatch, text_column):
+    """Row ranges of a batch with about SLICE_CHARS bytes of text each."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(text_column)), 0).to_pylist()
     start = held = 0
     for i, n in enumerate(lengths):
         if held and held + n > SLICE_CHARS:
@@ -65,7 +66,7 @@ def map_texts(df: DataFrame, make, schema: str, text_column="text") -> DataFrame
     def run(batches):
         fn = make()
         for batch in batches:
-            for part in _slices(batch, text_column):
+            for part in slices(batch, text_column):
                 out = fn(part.to_pydict())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
