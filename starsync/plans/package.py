@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from starsync import schemas
 from starsync.operators import history as H
 from starsync.operators import registry
-from starsync.plans.sync import history_rows, make_sync_id, table_name
+from starsync.plans.sync import count_events, history_rows, make_sync_id, table_name
 from starsync.sources.store import Store
 
 STRUCTURE_VERSION = "1"
@@ -104,6 +104,8 @@ def _inventory(store, idents, central):
 def package(store: Store, path: str, idents, central: str, now: datetime, uid="uid") -> Package:
     """Write a full snapshot of the chosen tables and open a history round for it."""
     spark = store.spark
+    # What is checked and what is packed, the marks and the tables, are of one committed version.
+    tx = store.begin()
     idents = list(idents)
     absent = [i for i in idents if table_name(central, i) not in store]
     if absent:
@@ -119,8 +121,6 @@ def package(store: Store, path: str, idents, central: str, now: datetime, uid="u
     if problems:
         raise PackageError("; ".join(problems))
 
-    tx = store.begin()
-    # The marks and the tables come from one committed version, so they belong together.
     bounds = marks(store.read(f"{central}/log", schemas.CHANGE_LOG), now).first().asDict()
     for ident in idents:
         store.read(table_name(central, ident)).write.parquet(f"{path}/table/{ident}")
@@ -149,7 +149,7 @@ def open_package(spark: SparkSession, path: str) -> Package:
     return Package(path, row.asDict())
 
 
-def deploy(store: Store, path: str, clone: str, now: datetime, post_deploy=None) -> None:
+def deploy(store: Store, path: str, clone: str, now: datetime, post_deploy=None, uid="uid") -> None:
     """Seed a clone from a package: replace its tables, allow them, close the history round.
 
     ``post_deploy`` maps table names to functions that may edit a table before it is stored.
@@ -168,7 +168,8 @@ def deploy(store: Store, path: str, clone: str, now: datetime, post_deploy=None)
     for ident in m["tables"]:
         table = pack.table(spark, ident)
         edit = (post_deploy or {}).get(ident)
-        tx.overwrite(table_name(clone, ident), edit(table) if edit else table)
+        after = edit(table) if edit else table
+        tx.overwrite(table_name(clone, ident), after, key=uid if uid in after.columns else None, rows=table.count())
     quoted = ['"{}"."{}"'.format(*i.split(".", 1)) for i in m["tables"]]
     tx.overwrite(f"{central}/sync_tables", registry.merge_whitelist(
         store.read(f"{central}/sync_tables", schemas.SYNC_TABLES),
@@ -179,5 +180,7 @@ def deploy(store: Store, path: str, clone: str, now: datetime, post_deploy=None)
     tx.append(f"{central}/history", history_rows(spark, {
         "sync_id": m["sync_id"], "seq": last + 1, "server_to": clone, "sync_status": H.DONE,
     }))
+    # The log is emptied, its ids go on.
+    count_events(tx, clone, store.read(f"{clone}/log", schemas.CHANGE_LOG))
     tx.overwrite(f"{clone}/log", spark.createDataFrame([], schemas.CHANGE_LOG))
     tx.commit()

@@ -17,7 +17,7 @@ from starsync.functions.exprs import CENTRAL, CLONE
 from starsync.operators import capture, compare, pending, registry, replay, resolve
 from starsync.operators.history import DONE, PARTIAL, PENDING, fold_history
 from starsync.session import run_all, scratch, stage
-from starsync.sources.store import Store
+from starsync.sources.store import Store, bucket, rewrite_touched, touched_buckets
 
 
 @dataclass
@@ -71,8 +71,16 @@ def log_edit(store: Store, node: str, ident: str, after: DataFrame, now: datetim
     events = capture.order_events(
         events, ["_uid"], retained=log, start=last_event_id(store, node)).drop("_uid")
     tx = store.begin()
-    tx.overwrite(table_name(node, ident), after)
-    count_events(tx, node, tx.append(f"{node}/log", events))
+    name = table_name(node, ident)
+    layout = store.layout(name)
+    events = tx.append(f"{node}/log", events)
+    if layout and layout[0] == uid and before.schema == after.schema:
+        edited = events.select(F.element_at("row_data", uid).cast(after.schema[uid].dataType).alias(uid))
+        hit = touched_buckets(store, name, edited, uid)
+        rewrite_touched(tx, name, after.filter(bucket(*layout).isin(hit)), uid, hit)
+    else:
+        tx.overwrite(name, after, key=uid, rows=before.count())
+    count_events(tx, node, events)
     tx.commit()
 
 
@@ -93,8 +101,9 @@ def _replay_tables(store, tx, node, changes, idents, local_keys, uid, strict):
     """Replay one side's survivors onto the tables of a node.
 
     The changes of all tables are folded together, keyed by table and uid; only the rewrite is
-    one job per changed table.  Returns the statuses, per table the snapshot before and its net
-    effects, and the rewrites still to be run.
+    one job per changed table, over the uid buckets that the effects hit.  Returns the statuses, per
+    table the rows of these buckets before, its net effects and inserts and the buckets, and the
+    rewrites still to be run.
     """
     keys = ["ident", uid]
     present = [i for i in idents if table_name(node, i) in store]
@@ -117,16 +126,18 @@ def _replay_tables(store, tx, node, changes, idents, local_keys, uid, strict):
     def with_inserts(ident):
         # Numbered once: the table and the log get the same rows.
         mine = effects.filter(F.col("ident") == ident).drop("ident")
-        return before[ident], mine, stage(replay.inserted_rows(
+        hit = touched_buckets(store, table_name(node, ident), mine, uid)
+        old = before[ident] if hit is None else store.read_buckets(table_name(node, ident), hit)
+        return old, mine, stage(replay.inserted_rows(
             before[ident], mine, (uid,), tuple(local_keys.get(ident, ())), number_local=True),
-            "inserted")
+            "inserted"), hit
 
     by_table = dict(zip(present, run_all([partial(with_inserts, i) for i in present])))
 
     def rewrite(ident):
-        old, mine, inserted = by_table[ident]
-        tx.overwrite(table_name(node, ident), replay.apply_effects(
-            old, mine, (uid,), tuple(local_keys.get(ident, ())), inserted=inserted))
+        old, mine, inserted, hit = by_table[ident]
+        rewrite_touched(tx, table_name(node, ident), replay.apply_effects(
+            old, mine, (uid,), tuple(local_keys.get(ident, ())), inserted=inserted), uid, hit)
 
     return statuses, by_table, [partial(rewrite, i) for i in present]
 
@@ -232,7 +243,7 @@ def _round(store, clone, central, now, uid, mode, excluded, use_marks, only_list
         def log_effects():
             events = _union([
                 replay.effect_events(before, effects, ident, clone, (uid,), now, inserted)
-                for ident, (before, effects, inserted) in by_table.items()
+                for ident, (before, effects, inserted, _) in by_table.items()
             ]).withColumn("order_field", F.coalesce(F.map_keys("changed_fields")[0], F.lit("")))
             events = tx.append(f"{central}/log", capture.order_events(
                 events, ["order_key", "order_field"], retained=central_log, start=last_id

@@ -14,7 +14,7 @@ from starsync.functions import exprs
 from starsync.functions.exprs import UPDATE
 from starsync.operators import pending, replay
 from starsync.session import scratch, stage
-from starsync.sources.store import Store
+from starsync.sources.store import Store, rewrite_touched, touched_buckets
 
 CELL = ["ident", "uid", "field"]
 
@@ -138,7 +138,9 @@ def stream_retry(log: DataFrame, store: Store, table: str, dead_letters: str,
             changes = pending.to_field_grain(events, relations, uid)
             result = replay.replay(store.read(table), changes, keys, local_keys,
                                    slice_size=slice_size, keep=stage)
-            tx.overwrite(table, result.snapshot)
+            hit = touched_buckets(store, table, result.effects, uid)
+            rewrite_touched(tx, table, result.snapshot if hit is None else replay.apply_effects(
+                store.read_buckets(table, hit), result.effects, keys, local_keys), uid, hit)
             tx.overwrite(dead_letters, replay.failed_parts(events, result.statuses))
             others = [tuple(r) for r in done if r.stream != checkpoint]
             tx.overwrite(progress, batch.sparkSession.createDataFrame(
