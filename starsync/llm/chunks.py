@@ -1,5 +1,6 @@
 """Encoding of texts chunk by chunk, where chunks repeat and their results are remembered."""
 
+import pyarrow as pa
 import regex
 
 #: A space after other white space: there a chunk could begin inside a run that a pre-token takes.
@@ -18,6 +19,12 @@ def kept(key, build):
     return _kept[key]
 
 
+def forget():
+    """Drop what this worker keeps: for steps that need the memory and keep nothing themselves."""
+    _kept.clear()
+    pa.default_memory_pool().release_unused()
+
+
 class Memo:
     """Values of strings, remembered in two generations of ``most`` entries.
 

@@ -70,6 +70,8 @@ def map_texts(df: DataFrame, make, schema: str, text_column="text") -> DataFrame
                 out = fn(part.to_pydict())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+                out = part = None  # not held while the next rows are read
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, kind)
 
@@ -138,7 +140,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
         .withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id").limit(rows).drop("_h")
     )
     texts = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"))
-    return texts.join(F.broadcast(ids), ["doc_id", "_t"]).groupBy("doc_id").agg(
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return texts.join(F.broadcast(ids), ["doc_id", "_t"]).repartition(parts, "doc_id").groupBy("doc_id").agg(
         F.min("text").alias("text"), F.first("label").alias("label"))
 
 

@@ -41,13 +41,13 @@ THRESHOLD = 0.8
 class Signer:
     """Computes signatures; built once per worker."""
 
-    def __init__(self, lanes=LANES, words=WORDS, seed=SEED):
+    def __init__(self, lanes=LANES, words=WORDS, seed=SEED, memory=250_000):
         draw = np.random.default_rng(seed)
         odd = lambda n: draw.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.place, self.a, self.b = odd(words), odd(lanes), odd(lanes)
         self.fold = odd(1)[0]
         self.words = words
-        self.hashes = Memo(lambda found: map(xxhash.xxh64_intdigest, found))
+        self.hashes = Memo(lambda found: map(xxhash.xxh64_intdigest, found), memory)
 
     def shingles(self, text) -> np.ndarray:
         """Hashes of the shingles of a text, repeats included."""

@@ -36,7 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsync.llm.common import aside, map_texts, ship, utf8
+from starsync.llm.chunks import forget
+from starsync.llm.common import aside, map_texts, ship, slices, utf8
 from starsync.session import scratch, stage
 
 LENGTH = 400
@@ -128,6 +129,7 @@ def codes(text) -> bytes:
 def find_contexts(docs: DataFrame, length=LENGTH, encode=utf8) -> DataFrame:
     """(doc_id, tie, first, last, h, c, own): the contexts of all texts; (doc_id, tie) names the text."""
     def make():
+        forget()
         rolling = Rolling(1, BLOCK + length)
 
         def fn(batch):
@@ -159,6 +161,7 @@ def index_shard(length):
     from starsync.llm.run_index import RunIndex
 
     def run(_, rows):
+        forget()
         data = rows.column("data").to_pylist()
         h, c = rows.column("h").to_pylist(), rows.column("c").to_pylist()
         out = {"h": [], "c": [], "first": [], "last": []}
@@ -248,8 +251,9 @@ def _windows(keyed: DataFrame, length, encode) -> DataFrame:
     wanted = distinct.join(crowds, "h").groupBy("doc_id", "tie").agg(F.collect_list(F.struct(
         "h", "c", "first", "last", (F.col("kinds") > CROWD).alias("crowded"))).alias("parts"))
 
-    def slices(batches):
-        for batch in batches:
+    def parts_of(batches):
+        forget()
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             h, c, crowded, data = [], [], [], []
             for text, parts in zip(batch.column("text").to_pylist(), batch.column("parts").to_pylist()):
                 text = encode(text)
@@ -264,7 +268,7 @@ def _windows(keyed: DataFrame, length, encode) -> DataFrame:
 
     texts = stage(
         _with(keyed, wanted, "inner").select("text", "parts").mapInArrow(
-            slices, "h long, c long, crowded boolean, data binary")
+            parts_of, "h long, c long, crowded boolean, data binary")
         .dropDuplicates(["h", "c"]), "context-texts")
     marks = (
         texts.where("NOT crowded").select("h", "c", "data", F.pmod("h", F.lit(shards)).alias("shard"))
@@ -351,6 +355,8 @@ def without(data: bytes, spans) -> bytes:
 def spans(docs: DataFrame, length=LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans: one row for each row of ``docs``."""
     def make():
+        forget()
+
         def fn(batch):
             out = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")}
             for text, windows in zip(batch["text"], batch["windows"]):
@@ -388,6 +394,8 @@ def remove(docs: DataFrame, length=LENGTH, words=None) -> DataFrame:
     """The rows of ``docs`` with all their columns; repeated passages are cut out of the text: those of
     ``length`` bytes, and with ``words`` also those of that many words."""
     def make():
+        forget()
+
         def fn(batch):
             texts = []
             for text, windows, phrases in zip(
