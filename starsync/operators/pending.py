@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from starsync.functions import exprs, maps
 from starsync.functions.exprs import DELETE, INSERT, TRUNCATE, UPDATE
 from starsync.operators.history import last_sync
+from starsync.operators.receipts import unreceived
 from starsync.operators.registry import keys_of
 
 
@@ -44,10 +45,13 @@ def pending_central(log: DataFrame, receipts: DataFrame, history: DataFrame,
     pending.  The mark is a scalar sub-query, so both bounds reach the Parquet scans of the log
     and (for the id) of the receipts, and old row groups are skipped.
 
+    Receipts are one row per event, or ranges of ids as ``receipts.to_ranges`` makes them.
+
     ``use_marks=False`` relies on receipts alone, which also finds events that committed late.
     """
     events = log.filter(not_from(clone) & allowed(sync_tables, clone))
     seen = receipts.filter(F.col("server_id") == clone)
+    last_id = None
     if use_marks:
         mark = last_sync(history, central).filter(F.col("clone_id") == clone)
         last_id = mark.select("max_event_id").scalar()
@@ -55,8 +59,15 @@ def pending_central(log: DataFrame, receipts: DataFrame, history: DataFrame,
         events = events.filter(
             (F.col("tstamp_tx") > last_time) & (F.col("event_id") > last_id)
         )
+    return _unseen(events, seen, last_id).select(*log.columns)
+
+
+def _unseen(events, seen, last_id=None):
+    if "event_id" not in seen.columns:
+        return unreceived(events, seen, last_id)
+    if last_id is not None:
         seen = seen.filter(F.col("event_id") > last_id)
-    return events.join(seen.select("event_id"), "event_id", "left_anti").select(*log.columns)
+    return events.join(seen.select("event_id"), "event_id", "left_anti")
 
 
 def pending_clone(log: DataFrame) -> DataFrame:
@@ -76,12 +87,8 @@ def late_events(log: DataFrame, receipts: DataFrame, history: DataFrame,
     last_id = mark.select("max_event_id").scalar()
     last_time = mark.select("max_tstamp_tx").scalar()
     passed = (F.col("event_id") <= last_id) | (F.col("tstamp_tx") <= last_time)
-    seen = receipts.filter(F.col("server_id") == clone).select("event_id")
-    return (
-        log.filter(not_from(clone) & allowed(sync_tables, clone) & passed)
-        .join(seen, "event_id", "left_anti")
-        .select(*log.columns)
-    )
+    events = log.filter(not_from(clone) & allowed(sync_tables, clone) & passed)
+    return _unseen(events, receipts.filter(F.col("server_id") == clone)).select(*log.columns)
 
 
 def to_field_grain(log: DataFrame, relations: DataFrame, uid="uid", excluded=()) -> DataFrame:

@@ -32,6 +32,13 @@ RECEIPTS = T.StructType([
     T.StructField("sync_id", T.StringType()),
 ])
 
+# Receipts of consecutive events as one row, both bounds included.
+RECEIPT_RANGES = T.StructType([
+    T.StructField("server_id", T.StringType()),
+    T.StructField("lo", T.LongType()),
+    T.StructField("hi", T.LongType()),
+])
+
 CONFLICTS = T.StructType([
     T.StructField("conflict_time", T.TimestampType()),
     T.StructField("ident", T.StringType()),

@@ -370,6 +370,14 @@ oracle("pending_by_receipts", """
   SELECT event_id, action FROM central_ev
   WHERE (origin <> 'clone_a' OR origin IS NULL) AND ident = 'app.users'
     AND event_id NOT IN (SELECT event_id FROM seen)""")
+block("given_receipts", """
+  SELECT 'clone_a' AS server_id, event_id FROM seen
+  UNION SELECT 'clone_' || (o_custkey % 3), o_orderkey FROM orders""")
+oracle("receipt_ranges", """
+  SELECT server_id, min(event_id) AS lo, max(event_id) AS hi FROM (
+    SELECT *, event_id - row_number() OVER (PARTITION BY server_id ORDER BY event_id) AS island
+    FROM given_receipts) GROUP BY server_id, island""")
+SQL["pending_by_ranges"] = SQL["pending_by_receipts"]
 oracle("late_events", """
   SELECT event_id, action, epoch_us(tstamp) AS tx_micros FROM central_ev
   WHERE (origin <> 'clone_a' OR origin IS NULL) AND ident = 'app.users'

@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 from starsync import schemas
 from starsync.functions import exprs
 from starsync.functions.exprs import CENTRAL, CLONE
-from starsync.operators import capture, compare, history, pending, registry, replay, resolve
+from starsync.operators import (
+    capture, compare, history, pending, receipts, registry, replay, resolve,
+)
 from starsync.operators.render import render_sql
 from starsync.session import run_all, stage, work_dir
 from starsync.sources.files import export_csv, export_sql, read_feature_collection
@@ -153,8 +155,8 @@ def capture_statements(spark, sf):
 def stamp_provenance(spark, sf):
     log = clone_log(spark, sf)
     stamped = capture.stamp_provenance(log, d.CLONE_A, F.col("tstamp_tx"))
-    receipts = capture.provenance_receipts(log, d.CENTRAL_ID, "round-1")
-    return stamped.join(receipts, "event_id").select(
+    given = capture.provenance_receipts(log, d.CENTRAL_ID, "round-1")
+    return stamped.join(given, "event_id").select(
         "event_id", F.col("sync.origin").alias("origin"),
         F.unix_micros("sync.orig_tstamp").alias("orig_micros"), "server_id", "sync_id",
     )
@@ -282,6 +284,26 @@ def pending_by_receipts(spark, sf):
     ).select("event_id", "action")
 
 
+@query
+def receipt_ranges(spark, sf):
+    """The receipts of clone A, and the orders as receipts of their customers: runs of ids."""
+    shipped = d.read(spark, sf, "orders").select(
+        F.concat(F.lit("clone_"), (F.col("o_custkey") % 3).cast("string")).alias("server_id"),
+        F.col("o_orderkey").alias("event_id"))
+    return receipts.to_ranges(
+        d.receipts(spark, sf).select("server_id", "event_id").unionByName(shipped))
+
+
+@query
+def pending_by_ranges(spark, sf):
+    """What is pending for clone A when its receipts are stored as ranges."""
+    return pending.pending_central(
+        central_log(spark, sf), receipts.to_ranges(d.receipts(spark, sf)),
+        history.fold_history(d.history_records(spark)), d.sync_tables(spark),
+        d.CLONE_A, d.CENTRAL_ID, use_marks=False,
+    ).select("event_id", "action")
+
+
 @query
 def pending_clone(spark, sf):
     return pending.pending_clone(clone_log(spark, sf)).select(
@@ -860,10 +882,10 @@ def _log_stream(spark, sf, derive):
 
 @query
 def stream_pending(spark, sf):
-    out, receipts = work_dir(spark, "pending"), work_dir(spark, "receipts")
+    out, seen = work_dir(spark, "pending"), work_dir(spark, "receipts")
     jobs.stream_pending(
         _log_stream(spark, sf, d.central_log), d.relations(spark), d.sync_tables(spark),
-        d.CLONE_A, out, receipts, work_dir(spark, "checkpoint"),
+        d.CLONE_A, out, seen, work_dir(spark, "checkpoint"),
     ).awaitTermination()
     return spark.read.parquet(out).select("event_id", "action", "field", "value", "uid", "noop")
 
