@@ -1,7 +1,8 @@
 """Two-way sync rounds between one centre and its clones, on a versioned store.
 
 Names in the store: ``<node>/log`` and ``<node>/table/<schema.table>`` for every node, and at the
-centre also ``receipts``, ``history``, ``sync_tables``, ``relations`` and ``conflicts``.
+centre also ``receipts``, ``receipt_ranges``, ``history``, ``sync_tables``, ``relations`` and
+``conflicts``.
 """
 
 import hashlib
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from starsync import schemas
 from starsync.functions.exprs import CENTRAL, CLONE
-from starsync.operators import capture, compare, pending, registry, replay, resolve
+from starsync.operators import capture, compare, pending, receipts, registry, replay, resolve
 from starsync.operators.history import DONE, PARTIAL, PENDING, fold_history
 from starsync.session import run_all, scratch, stage
 from starsync.sources.store import Store, bucket, rewrite_touched, touched_buckets
@@ -189,6 +190,9 @@ def _round(store, clone, central, now, uid, mode, excluded, use_marks, only_list
         history,
         sync_tables, clone, central, use_marks,
     )
+    # Rounds keep ranges of ids; receipts of single events are those that were there before.
+    held = store.read(f"{central}/receipt_ranges", schemas.RECEIPT_RANGES)
+    news = receipts.unreceived(news, held.filter(F.col("server_id") == clone))
     from_central = stage(
         pending.to_field_grain(news, relations, uid, excluded), "from_central")
     edits = pending.pending_clone(clone_log)
@@ -231,8 +235,8 @@ def _round(store, clone, central, now, uid, mode, excluded, use_marks, only_list
         _, _, rewrites = _replay_tables(
             store, tx, clone, resolve.survivors(merged, CENTRAL), idents[CENTRAL], local_keys,
             uid, strict=True)
-        receipts = replay.mark_replayed(from_central, clone, down_id)
-        run_all([*rewrites, lambda: tx.append(f"{central}/receipts", receipts)])
+        seen = receipts.to_ranges(replay.mark_replayed(from_central, clone, down_id))
+        run_all([*rewrites, lambda: tx.append(f"{central}/receipt_ranges", seen)])
 
     def up():
         """Clone to centre: change by change; failed events stay in the clone's log."""
@@ -249,8 +253,8 @@ def _round(store, clone, central, now, uid, mode, excluded, use_marks, only_list
                 events, ["order_key", "order_field"], retained=central_log, start=last_id
             ).drop("order_key", "order_field"))
             count_events(tx, central, events)
-            tx.append(
-                f"{central}/receipts", capture.provenance_receipts(events, central, up_id))
+            tx.append(f"{central}/receipt_ranges", receipts.to_ranges(
+                capture.provenance_receipts(events, central, up_id)))
             return events.count()
 
         def failed():
@@ -321,6 +325,19 @@ def synchronize_star(store: Store, clones, central: str, clock, uid="uid", sched
     raise NotConverged(f"tables still change or other events fail after {max_cycles} cycles")
 
 
+def merge_receipts(store: Store, central: str) -> int:
+    """All receipts of the centre as the fewest ranges, those of single events included; how many."""
+    tx = store.begin()
+    singles = store.read(f"{central}/receipts", schemas.RECEIPTS)
+    ranges = store.read(f"{central}/receipt_ranges", schemas.RECEIPT_RANGES).unionByName(
+        receipts.to_ranges(singles))
+    merged = tx.overwrite(f"{central}/receipt_ranges", receipts.to_ranges(ranges))
+    tx.overwrite(f"{central}/receipts", singles.limit(0))
+    n = merged.count()
+    tx.commit("receipts")
+    return n
+
+
 def compare_star(store: Store, clones, central: str, uid="uid") -> DataFrame:
     """Differences between every table of each clone and the centre.
 

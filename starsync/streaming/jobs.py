@@ -5,6 +5,8 @@ carry the batch id, and a batch that is run again after a failure overwrites its
 every result is written exactly once.
 """
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,7 @@ from starsync import schemas
 from starsync.functions import exprs
 from starsync.functions.exprs import UPDATE
 from starsync.operators import pending, replay
+from starsync.operators.receipts import to_ranges, unreceived
 from starsync.session import scratch, stage
 from starsync.sources.store import Store, rewrite_touched, touched_buckets
 
@@ -44,10 +47,10 @@ def stream_pending(log: DataFrame, relations: DataFrame, sync_tables: DataFrame,
     """What a clone has to receive, as the log grows: one sync round per micro-batch.
 
     The stream's own progress replaces the high-water mark, so events that commit late are not
-    lost; receipts of earlier batches drop repeated deliveries.
+    lost; receipts of earlier batches, kept as ranges of ids, drop repeated deliveries.
     """
     receipt_schema = T.StructType(
-        [*schemas.RECEIPTS.fields, T.StructField("batch", T.LongType())]
+        [*schemas.RECEIPT_RANGES.fields, T.StructField("batch", T.LongType())]
     )
 
     def each_batch(batch, batch_id):
@@ -57,16 +60,14 @@ def stream_pending(log: DataFrame, relations: DataFrame, sync_tables: DataFrame,
             # Older receipts cannot match: the scan skips them by the statistics of their files.
             low = rows.agg(F.min("event_id")).first()[0]
             seen = _earlier(spark, receipts, batch_id, receipt_schema).filter(
-                (F.col("server_id") == clone) & (F.col("event_id") >= F.lit(low).cast("long")))
-            news = (
-                rows.dropDuplicates(["event_id"])
-                .filter(pending.not_from(clone) & pending.allowed(sync_tables, clone))
-                .join(seen, "event_id", "left_anti")
-            )
+                (F.col("server_id") == clone) & (F.col("hi") >= F.lit(low).cast("long")))
+            mine = rows.dropDuplicates(["event_id"]).filter(
+                pending.not_from(clone) & pending.allowed(sync_tables, clone))
+            news = unreceived(mine, seen, F.lit(low).cast("long") - 1)
             changes = stage(pending.to_field_grain(news, relations, uid), "stream_pending")
             changes.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-            replay.mark_replayed(changes, clone, f"batch-{batch_id}").sortWithinPartitions(
-                "event_id").write.mode("overwrite").parquet(f"{receipts}/batch={batch_id}")
+            to_ranges(replay.mark_replayed(changes, clone, f"batch-{batch_id}")).write.mode(
+                "overwrite").parquet(f"{receipts}/batch={batch_id}")
 
     return _run(log, checkpoint, each_batch, trigger=trigger)
 
@@ -75,7 +76,7 @@ def stream_dedup(log: DataFrame, out: str, checkpoint: str, lateness: str, trigg
     """Each event once, however often it is delivered within the allowed lateness.
 
     State holds the ids of that time span only.  Repeats that come later still are caught by the
-    receipts of ``stream_pending``.
+    receipts of ``stream_pending``; first deliveries that come later are in ``stream_late``.
     """
     return (
         log.withWatermark("tstamp_tx", lateness)
@@ -87,6 +88,57 @@ def stream_dedup(log: DataFrame, out: str, checkpoint: str, lateness: str, trigg
     )
 
 
+def stream_late(log: DataFrame, late: str, marks: str, checkpoint: str, lateness: str,
+                trigger=None):
+    """The side output of ``stream_dedup``: deliveries at or below the watermark.
+
+    The watermark of a batch is the newest time of the batches before it, in whole milliseconds,
+    less ``lateness``; each batch leaves its newest time in ``marks``.  On the same source with the
+    same trigger this holds all that ``stream_dedup`` drops as late.  Spark applies a new watermark
+    one batch later, so it may store some of these all the same: ``late_first`` tells them apart.
+    Deliveries without a time are never late.
+    """
+    mark_schema = "newest timestamp, batch long"
+
+    def each_batch(batch, batch_id):
+        spark = batch.sparkSession
+        with scratch(spark):
+            rows = stage(batch, "stream_late")
+            newest = _earlier(spark, marks, batch_id, mark_schema).agg(
+                F.max("newest").alias("t")).scalar()
+            watermark = F.timestamp_millis(F.unix_millis(newest)) - F.expr(f"interval {lateness}")
+            rows.filter(F.col("tstamp_tx") <= watermark).write.mode("overwrite").parquet(
+                f"{late}/batch={batch_id}")
+            rows.agg(F.max("tstamp_tx").alias("newest")).write.mode("overwrite").parquet(
+                f"{marks}/batch={batch_id}")
+
+    return _run(log, checkpoint, each_batch, trigger=trigger)
+
+
+def late_first(late: DataFrame, stored: DataFrame) -> DataFrame:
+    """Events that came late and never in time: one row of ``late`` for each id not in ``stored``."""
+    return late.dropDuplicates(["event_id"]).join(
+        stored.select("event_id"), "event_id", "left_anti").select(*late.columns)
+
+
+def watermark_metrics(query) -> list:
+    """How far a query's watermark trails the newest event, and the rows dropped behind it, by batch.
+
+    Read from the progress that Spark keeps of the latest batches; the lag is NULL for batches
+    without rows.
+    """
+    def seconds(text):
+        return datetime.fromisoformat(text).timestamp()
+
+    out = []
+    for progress in query.recentProgress:
+        times = progress["eventTime"]
+        lag = seconds(times["max"]) - seconds(times["watermark"]) if "max" in times else None
+        dropped = sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
+        out.append({"batch": progress["batchId"], "lag_seconds": lag, "dropped": dropped})
+    return out
+
+
 def stream_latest(changes: DataFrame, out: str, checkpoint: str, trigger=None):
     """Running last value of every cell; read the result with ``latest_cells``.
 
@@ -150,6 +202,41 @@ def stream_retry(log: DataFrame, store: Store, table: str, dead_letters: str,
     return _run(log, checkpoint, each_batch, trigger=trigger)
 
 
+def stream_sessions(log: DataFrame, gap_seconds: int, out: str, checkpoint: str, lateness: str,
+                    uid="uid", trigger=None):
+    """``activity_sessions`` as the log grows: a session is written once, when it is over.
+
+    It is over when the watermark (the newest time less ``lateness``) has passed its last event by
+    the gap.  Sessions that later events join are merged in the state, which holds the open ones only:
+    one entry each, whatever the number of their events.  Events are merged in the tasks that read
+    them before they move, so a row with a third of all events sends few rows.
+    """
+    # The end of a window is not part of it, and two events exactly a gap apart belong together.
+    gap = f"{gap_seconds} seconds 1 microsecond"
+    micros = F.unix_micros("tstamp_tx")
+    sessions = (
+        log.select(exprs.ident().alias("ident"), F.element_at("row_data", uid).alias("uid"),
+                   "tstamp_tx")
+        .withWatermark("tstamp_tx", lateness)
+        .groupBy("ident", "uid", F.session_window("tstamp_tx", gap))
+        .agg(F.min(micros).alias("first_micros"), F.max(micros).alias("last_micros"),
+             F.count(F.lit(1)).alias("n_events"))
+        .drop("session_window")
+    )
+    spark = log.sparkSession
+    setting = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")  # a query takes its settings over when it starts
+    try:
+        return (
+            sessions.writeStream.format("parquet").outputMode("append")
+            .option("path", out).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start()
+        )
+    finally:
+        spark.conf.set(setting, before)
+
+
 def activity_windows(log: DataFrame, width: str, slide: str = None) -> DataFrame:
     """Events per table and tumbling (or, with ``slide``, sliding) window; batch or streaming."""
     span = F.window("tstamp_tx", width, slide) if slide else F.window("tstamp_tx", width)

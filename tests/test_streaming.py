@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starsync import schemas
-from starsync.operators import pending, replay
+from starsync.operators import pending, receipts, replay
 from starsync.sources.store import Store, write_snapshot
 from starsync.streaming import jobs
 
@@ -60,7 +60,8 @@ def test_pending_drops_repeats_of_earlier_batches(spark, feed):
     assert run() == [(1, "x", "1"), (3, "x", "3"), (3, "y", None)]
     feed.add(event(3, "u2", "U", {"x": "3", "y": None}), event(5, "u2", "D"))
     assert run() == [(1, "x", "1"), (3, "x", "3"), (3, "y", None), (5, None, None)]
-    assert sorted(r.event_id for r in spark.read.parquet(seen).collect()) == [1, 3, 5]
+    held = receipts.to_events(spark.read.parquet(seen)).collect()
+    assert sorted(r.event_id for r in held) == [1, 3, 5]
 
 
 def test_dedup_across_batches(spark, feed):
@@ -71,6 +72,66 @@ def test_dedup_across_batches(spark, feed):
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
 
 
+def test_late_first_deliveries_are_in_the_side_output(spark, feed):
+    """Hours 0 to 8, then older and newer ones: those an hour or more behind the newest are late."""
+    out, late, marks = (f"{feed.root}/{n}" for n in ("out", "late", "marks"))
+
+    def run(*hours):
+        feed.add(*[event(h, "u1", "D", minutes=60 * h) for h in hours])
+        query = jobs.stream_dedup(feed.stream(), out, f"{feed.root}/cp", "1 hour")
+        query.awaitTermination()
+        jobs.stream_late(
+            feed.stream(), late, marks, f"{feed.root}/cp2", "1 hour").awaitTermination()
+        return jobs.watermark_metrics(query)
+
+    runs = [run(0, 2, 3, 5, 6, 8), run(1, 2, 4, 4, 10), run(7, 11)]
+    stored, behind = spark.read.parquet(out), spark.read.parquet(late)
+    assert sorted(r.event_id for r in stored.collect()) == [0, 2, 3, 5, 6, 8, 10, 11]
+    assert sorted(r.event_id for r in behind.collect()) == [1, 2, 4, 4, 7]
+    assert sorted(r.event_id for r in jobs.late_first(behind, stored).collect()) == [1, 4, 7]
+    assert [sum(m["dropped"] for m in metrics) for metrics in runs] == [0, 4, 1]
+    assert runs[1][0]["lag_seconds"] == 3 * 3600  # hour 10 over hour 8 less one
+
+
+def test_late_rows_that_were_stored_are_told_apart(spark, feed):
+    """Files in one run: Spark's watermark is a batch behind, so hour 1 is stored though it is late."""
+    for hours in ((0, 5), (1, 6), (2, 3)):
+        feed.add(*[event(h, "u1", "D", minutes=60 * h) for h in hours])
+    out, late = f"{feed.root}/out", f"{feed.root}/late"
+    jobs.stream_dedup(feed.stream(), out, f"{feed.root}/cp", "1 hour").awaitTermination()
+    jobs.stream_late(feed.stream(), late, f"{feed.root}/marks", f"{feed.root}/cp2",
+                     "1 hour").awaitTermination()
+    stored, behind = spark.read.parquet(out), spark.read.parquet(late)
+    assert sorted(r.event_id for r in behind.collect()) == [1, 2, 3]
+    found = [*stored.collect(), *jobs.late_first(behind, stored).collect()]
+    assert sorted(r.event_id for r in found) == [0, 1, 2, 3, 5, 6]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_sessions_on_a_stream_equal_those_over(spark, feed, seed):
+    """Gaps of exactly the limit and of one second more, sessions over several files, a row without uid."""
+    import random
+
+    rng, minute, events = random.Random(seed), 0.0, []
+    for e in range(160):
+        minute += rng.choice([0, 1, 5, 20, 20 + 1 / 60, 50])
+        events.append(event(e, rng.choice(["hot", "hot", "b", None]), "D", minutes=minute))
+    for start in range(0, 160, 40):
+        feed.add(*events[start:start + 40])
+    out = f"{feed.root}/out"
+    jobs.stream_sessions(feed.stream(), 1200, out, f"{feed.root}/cp", "10 minutes").awaitTermination()
+    end = T0 + timedelta(minutes=minute - 10)
+    done = (F.timestamp_micros("last_micros") + F.expr("interval 20 minutes")) < F.lit(end)
+    want = jobs.activity_sessions(feed.batch(), 1200).filter(done)
+    assert want.count() > 10
+
+    def plain(df):
+        return sorted(map(str, df.select("ident", "uid", "first_micros", "last_micros",
+                                         "n_events").collect()))
+
+    assert plain(spark.read.parquet(out)) == plain(want)
+
+
 def test_latest_value_across_batches(spark, feed):
     feed.add(event(1, "u1", "U", {"x": "1"}), event(5, "u1", "U", {"x": "5"}))
     feed.add(event(3, "u1", "U", {"x": "3", "y": "3"}), event(6, "u2", "U", {"x": None}))

@@ -616,6 +616,20 @@ oracle("activity_sessions", """
   SELECT ident, uid, min(t) AS first_micros, max(t) AS last_micros, count(*) AS n_events
   FROM bursts GROUP BY ident, uid, burst""")
 
+block("ended", """
+  SELECT max(epoch_us(tstamp)) // 1000 * 1000 - 3600000000 AS watermark FROM central_ev""")
+oracle("stream_sessions", """
+  SELECT ident, uid, min(t) AS first_micros, max(t) AS last_micros, count(*) AS n_events
+  FROM bursts GROUP BY ident, uid, burst
+  HAVING max(t) + 14400000001 <= (SELECT watermark FROM ended)""")
+block("first_delivery", """
+  SELECT max(epoch_us(tstamp)) // 1000 * 1000 - 86400000000 AS watermark FROM central_ev
+  WHERE event_id % 10 <> 3""")
+oracle("stream_late", """
+  SELECT event_id, CASE WHEN event_id % 10 = 3 AND epoch_us(tstamp) <= watermark THEN 'late'
+                        ELSE 'in time' END AS came
+  FROM central_ev, first_delivery""")
+
 # The star: the node that edits a cell last wins it, wherever the row is not removed.
 block("star_edits", """
   SELECT ident, uid, user_id, event_type AS field, event_id % 3 AS node, max(event_id) AS event_id

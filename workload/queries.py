@@ -920,6 +920,42 @@ def late_events(spark, sf):
     ).select("event_id", "action", F.unix_micros("tstamp_tx").alias("tx_micros"))
 
 
+def _deliveries(spark, log, *conditions):
+    """A log that arrives in several files, one run of a stream after each: yields the stream."""
+    path = work_dir(spark, "deliveries")
+    for condition in conditions:
+        log.filter(condition).write.mode("append").parquet(path)
+        yield spark.readStream.schema(log.schema).parquet(path)
+
+
+@query
+def stream_late(spark, sf):
+    """A tenth of the log comes in a second delivery, together with a repeat of the first one.
+
+    Every event is stored by the dedup or, if it came too late, in its side output.
+    """
+    out, late, marks = (work_dir(spark, name) for name in ("dedup", "late", "marks"))
+    checkpoints = work_dir(spark, "checkpoint"), work_dir(spark, "checkpoint")
+    for stream in _deliveries(spark, central_log(spark, sf), F.col("event_id") % 10 != 3, F.lit(True)):
+        jobs.stream_dedup(stream, out, checkpoints[0], "1 day").awaitTermination()
+        jobs.stream_late(stream, late, marks, checkpoints[1], "1 day").awaitTermination()
+    stored = spark.read.parquet(out)
+    first = jobs.late_first(spark.read.parquet(late).drop("batch"), stored)
+    return stored.select("event_id", F.lit("in time").alias("came")).unionByName(
+        first.select("event_id", F.lit("late").alias("came")))
+
+
+@query
+def stream_sessions(spark, sf):
+    """Sessions that are over, from a log that arrives in three files."""
+    out, checkpoint = work_dir(spark, "sessions"), work_dir(spark, "checkpoint")
+    day = F.dayofmonth("tstamp_tx")
+    for stream in _deliveries(
+            spark, central_log(spark, sf), day < 10, day.between(10, 19), day > 19):
+        jobs.stream_sessions(stream, 4 * 3600, out, checkpoint, "1 hour").awaitTermination()
+    return spark.read.parquet(out)
+
+
 @query
 def stream_retry(spark, sf):
     """The log replayed as a stream; what cannot be applied waits in the dead letters."""
