@@ -93,13 +93,8 @@ def _log(edits, action, changed, sync, tstamp):
     return edits.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in CHANGE_LOG])
 
 
-def central_log(spark, sf_dir, inserts=True):
-    """The log of the centre: inserts, deletes, truncates, updates of one or two columns."""
+def _central_events(edits, action):
     k = F.col("k")
-    action = (
-        F.when((k < 5) & F.lit(inserts), "I").when((k >= 5) & (k < 8), "D").when(k == 99, "T")
-        .otherwise("U")
-    )
     note = F.when(k % 20 != 0, F.concat(F.lit("n"), k.cast("string")))
     changed = F.map_from_entries(F.array_compact(F.array(
         F.when(k != 98, _pair(F.col("event_type"), _tagged("v"))),
@@ -111,22 +106,83 @@ def central_log(spark, sf_dir, inserts=True):
         origin.isNotNull() & (k % 2 == 0), F.col("ts") - F.expr("interval 1 hour")
     )
     sync = F.struct(origin.alias("origin"), original.alias("orig_tstamp"))
-    return _log(_edits(spark, sf_dir), action, changed, sync, F.col("ts"))
+    return _log(edits, action, changed, sync, F.col("ts"))
 
 
-def clone_log(spark, sf_dir, inserts=True):
-    """The log of a clone, whose clock is up to two hours ahead or behind."""
+def _clone_events(edits, action):
     k = F.col("k")
-    action = (
-        F.when(k.between(50, 53) & F.lit(inserts), "I").when(k.between(54, 55), "D")
-        .otherwise("U")
-    )
     changed = F.map_from_entries(F.array_compact(F.array(
         _pair(F.col("event_type"), _tagged("c")),
         F.when(k % 15 == 0, _pair("note", F.concat(F.lit("m"), k.cast("string")))),
     )))
     tstamp = F.col("ts") + F.make_dt_interval(hours=k % 5 - 2)
-    return _log(_edits(spark, sf_dir), action, changed, F.lit(None), tstamp)
+    return _log(edits, action, changed, F.lit(None), tstamp)
+
+
+def central_log(spark, sf_dir):
+    """The log of the centre: inserts, deletes, truncates, updates of one or two columns."""
+    k = F.col("k")
+    action = (
+        F.when(k < 5, "I").when((k >= 5) & (k < 8), "D").when(k == 99, "T").otherwise("U")
+    )
+    return _central_events(_edits(spark, sf_dir), action)
+
+
+def clone_log(spark, sf_dir):
+    """The log of a clone, whose clock is up to two hours ahead or behind."""
+    k = F.col("k")
+    action = F.when(k.between(50, 53), "I").when(k.between(54, 55), "D").otherwise("U")
+    return _clone_events(_edits(spark, sf_dir), action)
+
+
+def _first(edits, name):
+    return edits.groupBy("uid").agg(F.min("event_id").alias(name))
+
+
+def _added_at_centre(spark, sf_dir):
+    """Every third user whose row the centre inserts after the mark, and the event that does it."""
+    return _first(_edits(spark, sf_dir).filter(
+        (F.col("user_id") % 3 == 0) & F.col("k").between(1, 4) & (F.col("event_id") > MARK_ID)
+        & (F.col("ts") > F.lit(MARK_TIME).cast("timestamp"))), "added")
+
+
+def star_base(spark, sf_dir):
+    """The rows that centre and clone start from: those that the centre inserts are not among them."""
+    return base_rows(spark, sf_dir).join(_added_at_centre(spark, sf_dir), "uid", "left_anti")
+
+
+def star_central_log(spark, sf_dir):
+    """A log that leads from ``star_base`` on: a row is inserted once, and before that its events
+    are statements without rows."""
+    k, event_id = F.col("k"), F.col("event_id")
+    edits = _edits(spark, sf_dir).join(_added_at_centre(spark, sf_dir), "uid", "left")
+    action = (
+        F.when(event_id == F.col("added"), "I").when((event_id < F.col("added")) | (k == 99), "T")
+        .when(k.between(5, 7), "D").otherwise("U")
+    )
+    return _central_events(edits, action)
+
+
+def star_clone_log(spark, sf_dir):
+    """The clone's log from ``star_base`` on.
+
+    It inserts rows that it lacks, also those that the centre inserts into a table that the clone does
+    not receive: they clash at the centre.
+    """
+    edits, k, event_id = _edits(spark, sf_dir), F.col("k"), F.col("event_id")
+    held = star_base(spark, sf_dir).select("uid", F.lit(True).alias("held"))
+    to_come = _added_at_centre(spark, sf_dir).join(
+        edits.filter("table_name = 'users'").select("uid"), "uid", "left_semi")
+    own = _first(
+        edits.filter(k.between(50, 53)).join(held, "uid", "left_anti")
+        .join(to_come, "uid", "left_anti"), "own")
+    own_or_held = edits.join(held, "uid", "left").join(own, "uid", "left")
+    missing = F.col("held").isNull() & (F.col("own").isNull() | (event_id < F.col("own")))
+    action = (
+        F.when(missing, "T").when(event_id == F.col("own"), "I").when(k.between(54, 55), "D")
+        .otherwise("U")
+    )
+    return _clone_events(own_or_held, action)
 
 
 def receipts(spark, sf_dir):

@@ -41,9 +41,34 @@ block("edits", """
          'app.' || CASE WHEN user_id % 4 = 0 THEN 'alerts' ELSE 'users' END AS ident
   FROM events""")
 
+block("base", """
+  SELECT ident, uid, user_id AS id, {}, CAST(NULL AS VARCHAR) AS note
+  FROM edits GROUP BY ident, uid, user_id
+  HAVING arg_min(event_type, event_id) <> 'signup'""".format(", ".join(
+    f"'b' || max(event_id) FILTER (WHERE event_type = '{f}') AS {f}" for f in FIELDS)))
+block("base_cells", " UNION ALL ".join(
+    f"SELECT ident, uid, '{c}' AS field, {c} AS value FROM base" for c in CELLS))
+block("cell_names", "SELECT unnest(['{}']) AS field".format("', '".join(CELLS)))
+
+# The star: rows that the centre inserts are not in the base, a log inserts a row once, and events
+# before that are statements.
+block("added_rows", """
+  SELECT uid, min(event_id) AS event_id FROM edits
+  WHERE user_id % 3 = 0 AND k BETWEEN 1 AND 4 AND event_id > 200 AND ts > TIMESTAMP '2024-01-05'
+  GROUP BY uid""")
+block("start_rows", "SELECT * FROM base WHERE uid NOT IN (SELECT uid FROM added_rows)")
+block("start_cells", """
+  SELECT * FROM base_cells WHERE uid NOT IN (SELECT uid FROM added_rows)""")
+block("own_rows", """
+  SELECT uid, min(event_id) AS event_id FROM edits
+  WHERE k BETWEEN 50 AND 53 AND uid NOT IN (SELECT uid FROM start_rows)
+    AND (user_id % 4 = 0 OR uid NOT IN (SELECT uid FROM added_rows)) GROUP BY uid""")
+
 for name, action in (
     ("central_ev", "WHEN k < 5 THEN 'I' WHEN k >= 5 AND k < 8 THEN 'D' WHEN k = 99 THEN 'T'"),
-    ("central_quiet", "WHEN k >= 5 AND k < 8 THEN 'D' WHEN k = 99 THEN 'T'"),
+    ("star_ev", """WHEN event_id IN (SELECT event_id FROM added_rows) THEN 'I'
+      WHEN k = 99 OR event_id < (SELECT a.event_id FROM added_rows a WHERE a.uid = edits.uid)
+      THEN 'T' WHEN k >= 5 AND k < 8 THEN 'D'"""),
 ):
     block(name, f"""
   SELECT event_id, ts AS tstamp, user_id, event_type, k, ident, event_id AS tag, action,
@@ -53,13 +78,18 @@ for name, action in (
            AS orig_micros
   FROM (SELECT *, CASE {action} ELSE 'U' END AS action FROM edits)""")
 
-block("clone_ev", """
+for name, action in (
+    ("clone_ev", "WHEN k BETWEEN 50 AND 53 THEN 'I' WHEN k BETWEEN 54 AND 55 THEN 'D'"),
+    ("star_clone_ev", """WHEN event_id IN (SELECT event_id FROM own_rows) THEN 'I'
+      WHEN uid NOT IN (SELECT uid FROM start_rows) AND event_id < coalesce(
+        (SELECT o.event_id FROM own_rows o WHERE o.uid = edits.uid), CAST(1152921504606846976 AS BIGINT)) THEN 'T'
+      WHEN k BETWEEN 54 AND 55 THEN 'D'"""),
+):
+    block(name, f"""
   SELECT event_id, ts + (k % 5 - 2) * INTERVAL 1 HOUR AS tstamp, user_id, event_type, k, ident,
-         event_id AS tag, uid, NULL AS origin,
-         CASE WHEN k BETWEEN 50 AND 53 THEN 'I' WHEN k BETWEEN 54 AND 55 THEN 'D' ELSE 'U' END
-           AS action,
+         event_id AS tag, CASE WHEN action <> 'T' THEN uid END AS uid, NULL AS origin, action,
          epoch_us(ts + (k % 5 - 2) * INTERVAL 1 HOUR) AS orig_micros
-  FROM edits""")
+  FROM (SELECT *, CASE {action} ELSE 'U' END AS action FROM edits)""")
 
 # Logged row values, one per column (the note is NULL for even k).
 block("row_values", " UNION ALL ".join(
@@ -69,7 +99,7 @@ block("row_values", " UNION ALL ".join(
     + [f"SELECT event_id, '{f}', 'o' || event_id FROM edits" for f in FIELDS]))
 
 # New values of updates.
-for ev, out in (("central_ev", "central_new"), ("central_quiet", "quiet_new")):
+for ev, out in (("central_ev", "central_new"), ("star_ev", "star_new")):
     block(out, f"""
   SELECT event_id, event_type AS field, 'v' || event_id AS value FROM {ev}
   WHERE action = 'U' AND k <> 98
@@ -77,13 +107,14 @@ for ev, out in (("central_ev", "central_new"), ("central_quiet", "quiet_new")):
   WHERE action = 'U' AND k = 98
   UNION ALL SELECT event_id, 'note', CASE WHEN k % 20 <> 0 THEN 'n' || k END FROM {ev}
   WHERE action = 'U' AND k % 10 = 0""")
-block("clone_new", """
-  SELECT event_id, event_type AS field, 'c' || event_id AS value FROM clone_ev WHERE action = 'U'
-  UNION ALL SELECT event_id, 'note', 'm' || k FROM clone_ev
+for ev, out in (("clone_ev", "clone_new"), ("star_clone_ev", "star_clone_new")):
+    block(out, f"""
+  SELECT event_id, event_type AS field, 'c' || event_id AS value FROM {ev} WHERE action = 'U'
+  UNION ALL SELECT event_id, 'note', 'm' || k FROM {ev}
   WHERE action = 'U' AND k % 15 = 0""")
 
 block("seen", "SELECT event_id FROM edits WHERE k % 11 = 0")
-for ev, out in (("central_ev", "pending_ev"), ("central_quiet", "pending_quiet")):
+for ev, out in (("central_ev", "pending_ev"), ("star_ev", "pending_star")):
     block(out, f"""
   SELECT * FROM {ev}
   WHERE (origin <> 'clone_a' OR origin IS NULL) AND ident = 'app.users'
@@ -102,8 +133,10 @@ def grain(out, ev, new):
 
 grain("all_fc", "central_ev", "central_new")
 grain("central_fc", "pending_ev", "central_new")
-grain("quiet_fc", "pending_quiet", "quiet_new")
 grain("clone_fc", "clone_ev", "clone_new")
+grain("star_all_fc", "star_ev", "star_new")
+grain("star_fc", "pending_star", "star_new")
+grain("star_clone_fc", "star_clone_ev", "star_clone_new")
 
 
 def compacted(out, changes, updates_only):
@@ -119,22 +152,23 @@ def compacted(out, changes, updates_only):
 
 compacted("central_ref", "central_fc", False)
 compacted("central_last", "central_fc", True)
-compacted("quiet_last", "quiet_fc", True)
 compacted("clone_last", "clone_fc", True)
+compacted("star_news", "star_fc", True)
+compacted("star_clone_news", "star_clone_fc", True)
 
 
-def fought(out, central):
+def fought(out, central, clone):
     block(out, f"""
   SELECT c.ident, c.uid, c.field, c.event_id AS central_event_id, k.event_id AS clone_event_id,
          c.value AS central_value, k.value AS clone_value, c.tstamp AS central_tstamp,
          c.orig_micros AS central_orig_micros, k.orig_micros AS clone_orig_micros,
          CASE WHEN k.orig_micros <= c.orig_micros THEN 'clone' ELSE 'central' END AS rejected
-  FROM {central} c JOIN clone_last k ON c.ident = k.ident AND c.uid = k.uid
+  FROM {central} c JOIN {clone} k ON c.ident = k.ident AND c.uid = k.uid
     AND c.field = k.field AND c.action = 'U' AND k.action = 'U'""")
 
 
-fought("conflicts", "central_last")
-fought("quiet_conflicts", "quiet_last")
+fought("conflicts", "central_last", "clone_last")
+fought("star_conflicts", "star_news", "star_clone_news")
 
 
 def kept(out, changes, lost, side):
@@ -146,21 +180,11 @@ def kept(out, changes, lost, side):
 
 kept("central_kept", "central_last", "conflicts", "central")
 kept("clone_kept", "clone_last", "conflicts", "clone")
-kept("quiet_kept", "quiet_last", "quiet_conflicts", "central")
-kept("clone_quiet_kept", "clone_last", "quiet_conflicts", "clone")
-
-block("base", """
-  SELECT ident, uid, user_id AS id, {}, CAST(NULL AS VARCHAR) AS note
-  FROM edits GROUP BY ident, uid, user_id
-  HAVING arg_min(event_type, event_id) <> 'signup'""".format(", ".join(
-    f"'b' || max(event_id) FILTER (WHERE event_type = '{f}') AS {f}" for f in FIELDS)))
-block("base_cells", " UNION ALL ".join(
-    f"SELECT ident, uid, '{c}' AS field, {c} AS value FROM base" for c in CELLS))
-block("cell_names", "SELECT unnest(['{}']) AS field".format("', '".join(CELLS)))
-
+kept("star_kept", "star_news", "star_conflicts", "central")
+kept("star_clone_kept", "star_clone_news", "star_conflicts", "clone")
 
-def folded(prefix, changes):
-    """Blocks <prefix>_st (statuses), <prefix>_rows (surviving rows) and <prefix>_cells."""
+def folded(prefix, changes, rows="base", cells="base_cells"):
+    """The changes applied to ``rows`` with their ``cells``: blocks <prefix>_st (statuses), <prefix>_rows (surviving rows) and <prefix>_cells."""
     block(f"{prefix}_prev", f"""
   SELECT *, last_value(CASE WHEN NOT noop AND action IN ('I', 'D') THEN action END IGNORE NULLS)
     OVER (PARTITION BY ident, uid ORDER BY event_id
@@ -170,7 +194,7 @@ def folded(prefix, changes):
     WHEN action = 'I' AND coalesce(prev = 'I', b.uid IS NOT NULL) THEN 'unique_violation'
     WHEN action <> 'I' AND NOT coalesce(prev = 'I', b.uid IS NOT NULL) THEN 'no_match'
     ELSE 'applied' END AS status
-  FROM {prefix}_prev p LEFT JOIN base b ON p.ident = b.ident AND p.uid = b.uid""")
+  FROM {prefix}_prev p LEFT JOIN {rows} b ON p.ident = b.ident AND p.uid = b.uid""")
     block(f"{prefix}_life", f"""
   SELECT ident, uid, max(event_id) FILTER (WHERE action = 'I') AS birth,
          max(event_id) FILTER (WHERE action = 'D') AS death
@@ -180,7 +204,7 @@ def folded(prefix, changes):
          b.uid IS NOT NULL AS in_base,
          CASE WHEN l.death IS NULL THEN b.uid IS NOT NULL OR l.birth IS NOT NULL
               ELSE coalesce(l.birth > l.death, false) END AS alive
-  FROM base b FULL JOIN {prefix}_life l ON b.ident = l.ident AND b.uid = l.uid""")
+  FROM {rows} b FULL JOIN {prefix}_life l ON b.ident = l.ident AND b.uid = l.uid""")
     block(f"{prefix}_last", f"""
   SELECT ident, uid, field, event_id, value, orig_micros FROM {changes}
   WHERE action = 'U' AND NOT noop QUALIFY row_number() OVER (
@@ -192,15 +216,19 @@ def folded(prefix, changes):
   FROM {prefix}_rows r CROSS JOIN cell_names f
   LEFT JOIN {prefix}_last u ON u.ident = r.ident AND u.uid = r.uid AND u.field = f.field
   LEFT JOIN row_values v ON v.event_id = r.birth AND v.field = f.field
-  LEFT JOIN base_cells b ON b.ident = r.ident AND b.uid = r.uid AND b.field = f.field
+  LEFT JOIN {cells} b ON b.ident = r.ident AND b.uid = r.uid AND b.field = f.field
   WHERE r.alive""")
 
 
 folded("fold", "all_fc")
-folded("down", "quiet_last")
 folded("up", "clone_last")
-folded("sync_down", "quiet_kept")
-folded("sync_up", "clone_quiet_kept")
+folded("down", "star_news", "start_rows", "start_cells")
+folded("centre", "star_all_fc", "start_rows", "start_cells")
+folded("leaf", "star_clone_fc", "start_rows", "start_cells")
+for side in ("centre", "leaf"):
+    block(f"{side}_alive", f"SELECT ident, uid FROM {side}_rows WHERE alive")
+folded("sync_down", "star_kept", "leaf_alive", "leaf_cells")
+folded("sync_up", "star_clone_kept", "centre_alive", "centre_cells")
 
 # --- orders as two snapshots -------------------------------------------------------------------
 
@@ -556,21 +584,21 @@ oracle("synchronize", """
 oracle("synchronize_counts", """
   SELECT 'to_central' AS what, count(*) FILTER (WHERE status <> 'unique_violation') AS n
   FROM sync_up_st
-  UNION ALL SELECT 'to_clone', count(*) FROM quiet_kept
-  UNION ALL SELECT 'conflicts', count(*) FROM quiet_conflicts
+  UNION ALL SELECT 'to_clone', count(*) FROM star_kept
+  UNION ALL SELECT 'conflicts', count(*) FROM star_conflicts
   UNION ALL SELECT 'failed_changes', count(*) FROM sync_up_st WHERE status = 'unique_violation'
-  UNION ALL SELECT 'ledger_rows', count(*) FROM quiet_conflicts
+  UNION ALL SELECT 'ledger_rows', count(*) FROM star_conflicts
   UNION ALL SELECT 'kept_in_clone_log', count(DISTINCT event_id) FROM sync_up_st
     WHERE status = 'unique_violation'""")
 oracle("package", """
-  SELECT ident, count(*) AS n_rows, (SELECT min(event_id) FROM central_ev) AS min_event_id,
-         (SELECT max(event_id) FROM central_ev) AS max_event_id,
-         (SELECT epoch_us(max(tstamp)) FROM central_ev) AS max_micros
-  FROM base GROUP BY ident""")
+  SELECT ident, count(*) AS n_rows, (SELECT min(event_id) FROM star_ev) AS min_event_id,
+         (SELECT max(event_id) FROM star_ev) AS max_event_id,
+         (SELECT epoch_us(max(tstamp)) FROM star_ev) AS max_micros
+  FROM centre_alive GROUP BY ident""")
 oracle("deploy", """
   SELECT ident, uid, field,
          CASE WHEN ident = 'app.alerts' AND field = 'note' THEN 'deployed' ELSE value END AS value,
-         (SELECT max(event_id) FROM central_ev) AS mark FROM base_cells""")
+         (SELECT max(event_id) FROM star_ev) AS mark FROM centre_cells""")
 oracle("preflight", """
   SELECT 'not captured' AS problem, schema_name, table_name FROM inventory
   WHERE schema_name || '.' || table_name NOT IN (SELECT relation_name FROM registered)

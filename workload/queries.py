@@ -45,8 +45,8 @@ def query(fn):
 
 # --- helpers -----------------------------------------------------------------------------------
 
-def central_log(spark, sf, inserts=True):
-    return d.prepared(spark, sf, d.central_log, inserts)
+def central_log(spark, sf):
+    return d.prepared(spark, sf, d.central_log)
 
 
 def clone_log(spark, sf):
@@ -69,9 +69,9 @@ def _long(snapshot, fields=FIELDS, keys=ROW):
     return snapshot.unpivot(list(keys), list(fields), "field", "value")
 
 
-def _pending(spark, sf, inserts=True):
+def _pending(spark, sf, log=None):
     return pending.pending_central(
-        central_log(spark, sf, inserts), d.receipts(spark, sf),
+        log or central_log(spark, sf), d.receipts(spark, sf),
         history.fold_history(d.history_records(spark)), d.sync_tables(spark),
         d.CLONE_A, d.CENTRAL_ID,
     )
@@ -451,9 +451,11 @@ def replay_status(spark, sf):
 
 @query
 def replay_to_clone(spark, sf):
-    """The centre's survivors at the clone; inserts would hit live rows, so the log has none."""
-    changes = stage(resolve.compact(_fields(spark, _pending(spark, sf, inserts=False))), "news")
-    result = replay.replay_to_clone(base_rows(spark, sf), changes, ROW, LOCAL, keep=stage)
+    """The centre's survivors, inserts included, at the clone."""
+    log = d.prepared(spark, sf, d.star_central_log)
+    changes = stage(resolve.compact(_fields(spark, _pending(spark, sf, log))), "news")
+    base = d.prepared(spark, sf, d.star_base)
+    result = replay.replay_to_clone(base, changes, ROW, LOCAL, keep=stage)
     return _long(result.snapshot)
 
 
@@ -636,22 +638,37 @@ def compare_all(spark, sf):
     })
 
 
-def _star(spark, sf, clones=(d.CLONE_A,), inserts=False):
-    """A store with a centre and clones that start from the same rows, and their logs."""
+def star_centre(spark, sf):
+    """The rows of the centre: where its log has led from the base."""
+    log = d.prepared(spark, sf, d.star_central_log)
+    return replay.replay(d.prepared(spark, sf, d.star_base), stage(_fields(spark, log), "edits"),
+                         ROW, LOCAL, keep=stage).snapshot
+
+
+def star_clone(spark, sf):
+    """The rows of a clone: where its log has led from the base."""
+    log = d.prepared(spark, sf, d.star_clone_log)
+    return replay.replay(d.prepared(spark, sf, d.star_base), stage(_fields(spark, log), "edits"),
+                         ROW, LOCAL, keep=stage).snapshot
+
+
+def _star(spark, sf):
+    """A store with a centre and a clone that started from the same rows and logged their edits since,
+    inserts and deletes included; some rows were inserted at both."""
     store = Store(spark, work_dir(spark, "star"))
-    base = base_rows(spark, sf)
+    nodes = {d.CENTRAL_ID: (star_centre, d.star_central_log),
+             d.CLONE_A: (star_clone, d.star_clone_log)}
     tables = {
-        f"{d.CENTRAL_ID}/log": central_log(spark, sf, inserts),
         f"{d.CENTRAL_ID}/receipts": d.receipts(spark, sf),
-        f"{d.CENTRAL_ID}/history": d.history_records(spark, clones),
+        f"{d.CENTRAL_ID}/history": d.history_records(spark, (d.CLONE_A,)),
         f"{d.CENTRAL_ID}/sync_tables": d.sync_tables(spark),
         f"{d.CENTRAL_ID}/relations": d.relations(spark),
-        **{f"{clone}/log": clone_log(spark, sf) for clone in clones},
-        **{
-            sync.table_name(node, ident): base.filter(F.col("ident") == ident).drop("ident")
-            for node in (d.CENTRAL_ID, *clones) for ident in d.IDENTS
-        },
     }
+    for node, (rows, log) in nodes.items():
+        now = d.prepared(spark, sf, rows)
+        tables[f"{node}/log"] = d.prepared(spark, sf, log)
+        for ident in d.IDENTS:
+            tables[sync.table_name(node, ident)] = now.filter(F.col("ident") == ident).drop("ident")
     tx = store.begin()
     run_all([partial(tx.overwrite, name, df) for name, df in tables.items()])
     tx.commit()
