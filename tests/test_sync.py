@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starsync import schemas
 from starsync.operators.history import fold_history, last_sync
-from starsync.operators import replay
+from starsync.operators import receipts, replay
 from starsync.operators.replay import ReplayError
 from starsync.plans import package, sync
 from starsync.sources.store import Store
@@ -333,3 +333,27 @@ def test_round_options(star):
     assert star.cell(A, GAUGES, "g2", "name") == "gauge 2"
     sync.synchronize(star.store, A, CENTRE, star.now(), use_marks=False)
     assert star.cell(A, GAUGES, "g2", "name") == "late"
+
+
+def test_rounds_keep_receipts_as_ranges(spark, tmp_path):
+    star = Star(spark, str(tmp_path))
+    star.seed(A, B)
+    for n in range(3):
+        star.edit(CENTRE, GAUGES, f"g{n + 1}", name=f"new {n}")
+        star.sync(A)
+    star.edit(B, AREAS, "a1", label="other")
+    star.sync(B)
+    held = star.store.read(f"{CENTRE}/receipt_ranges", schemas.RECEIPT_RANGES)
+    before = {(r.server_id, r.event_id) for r in receipts.to_events(held).collect()}
+    assert f"{CENTRE}/receipts" not in star.store
+    mine = {e for who, e in before if who == A}
+    assert len(mine) == 3 and held.filter(F.col("server_id") == A).count() == 3
+    # Three rounds' runs are adjacent: one row after merging, the same events.
+    assert mine == set(range(min(mine), max(mine) + 1))
+    n = sync.merge_receipts(star.store, CENTRE)
+    merged = star.store.read(f"{CENTRE}/receipt_ranges", schemas.RECEIPT_RANGES)
+    assert merged.count() == n and merged.filter(F.col("server_id") == A).count() == 1
+    assert {(r.server_id, r.event_id) for r in receipts.to_events(merged).collect()} == before
+    # Ranges alone tell what a clone has seen.
+    done = sync.synchronize(star.store, A, CENTRE, star.now(), use_marks=False)
+    assert done.to_clone == 1 and star.cell(A, AREAS, "a1", "label") == "other"
