@@ -50,8 +50,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document without the passages that stand elsewhere, too."""
-    return repeats.spans(table(spark, sf_dir, "documents")).drop("spans")
+    """What is left of every document without the passages that stand elsewhere, too, and how many
+    of its words are in passages of over 50 words that do."""
+    return repeats.spans(table(spark, sf_dir, "documents"), words=51).drop("spans")
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -325,11 +325,16 @@ def phrase_runs(data: bytes, phrases, words) -> list:
     if not phrases:
         return []
     at = [m.span() for m in _WORD.finditer(data)]
+    return [(at[a][0], at[b - 1][1]) for a, b in word_runs(phrases, words)]
+
+
+def word_runs(phrases, words) -> list:
+    """(start, end) in words of the repeated windows of ``words`` words."""
     out = []
-    for w in phrases:  # only windows that begin with a word count
+    for w in phrases or ():  # only windows that begin with a word count
         first, last = -(-w["first"] // CODE), w["last"] // CODE
         if first <= last:
-            out.append((at[first][0], at[last + words - 1][1]))
+            out.append((first, last + words))
     return out
 
 
@@ -352,13 +357,25 @@ def without(data: bytes, spans) -> bytes:
     return b"".join([*parts, data[at:]])
 
 
-def spans(docs: DataFrame, length=LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans: one row for each row of ``docs``."""
+def spans(docs: DataFrame, length=LENGTH, words=None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans: one row for each row of ``docs``.
+
+    With a number of ``words`` also n_phrase_words and n_phrases: the words in passages of at least
+    that many that stand elsewhere, too, whatever their bytes, and the maximal runs of such words.  These
+    passages are reported, not removed.
+    """
+    counted = ("n_phrase_words", "n_phrases") if words else ()
+
     def make():
         forget()
 
         def fn(batch):
-            out = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")}
+            out = {c: [] for c in (
+                "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", *counted)}
+            for passages in (batch["phrases"] if counted else ()):
+                covered = merged(word_runs(passages, words))
+                out["n_phrase_words"].append(sum(b - a for a, b in covered))
+                out["n_phrases"].append(len(covered))
             for text, windows in zip(batch["text"], batch["windows"]):
                 data, found = utf8(text), runs(windows, length)
                 out["n_bytes"].append(len(data))
@@ -372,9 +389,9 @@ def spans(docs: DataFrame, length=LENGTH) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return map_texts(
-        _marked(docs.select("doc_id", "text"), length), make,
+        _marked(docs.select("doc_id", "text"), length, words), make,
         f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-        "spans array<struct<start: long, end: long>>")
+        "spans array<struct<start: long, end: long>>" + "".join(f", {c} long" for c in counted))
 
 
 def whole_characters(data: bytes, found) -> list:

@@ -48,3 +48,27 @@ def test_passages_of_51_words_are_cut(spark):
     assert passage not in want[0] and fifty in want[2]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     assert {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, df, None).collect()} == want
+
+
+def test_words_in_passages_that_stand_elsewhere_are_counted(spark):
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    one, two, fifty = text(51), text(80), text(50)
+    docs = [f"{text(9)} {one} {text(4)} {two}", f"{one}\t{text(5)}", f"{two[:-8]} {text(70)}",
+            f"{fifty} {text(3)}", f"{text(4)} {fifty}", "la " * 60, None, "", text(60), one]
+    words = [(t or "").split() for t in docs]
+    heard = Counter(tuple(w[i:i + 51]) for w in words for i in range(len(w) - 50))
+    want = {}
+    for n, w in enumerate(words):
+        hit = np.zeros(len(w) + 1, dtype=int)
+        for i in range(len(w) - 50):
+            if heard[tuple(w[i:i + 51])] > 1:
+                hit[i:i + 51] = 1
+        want[n] = (int(hit.sum()), int((np.diff(hit, prepend=0) == 1).sum()))
+    assert want[0] == (130, 2) and want[3] == (0, 0) and want[5] == (60, 1)
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    with_words = repeats.spans(df, words=51)
+    assert {r.doc_id: (r.n_phrase_words, r.n_phrases) for r in with_words.collect()} == want
+    bytes_only = {tuple(r) for r in repeats.spans(df).drop("spans").collect()}
+    assert {tuple(r) for r in with_words.drop(
+        "spans", "n_phrase_words", "n_phrases").collect()} == bytes_only
