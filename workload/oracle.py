@@ -591,10 +591,11 @@ oracle("synchronize_counts", """
   UNION ALL SELECT 'kept_in_clone_log', count(DISTINCT event_id) FROM sync_up_st
     WHERE status = 'unique_violation'""")
 oracle("package", """
-  SELECT ident, count(*) AS n_rows, (SELECT min(event_id) FROM star_ev) AS min_event_id,
+  SELECT ident, count(uid) AS n_rows, (SELECT min(event_id) FROM star_ev) AS min_event_id,
          (SELECT max(event_id) FROM star_ev) AS max_event_id,
          (SELECT epoch_us(max(tstamp)) FROM star_ev) AS max_micros
-  FROM centre_alive GROUP BY ident""")
+  FROM (VALUES ('app.alerts'), ('app.users')) t(ident)
+  LEFT JOIN centre_alive USING (ident) GROUP BY ident""")
 oracle("deploy", """
   SELECT ident, uid, field,
          CASE WHEN ident = 'app.alerts' AND field = 'note' THEN 'deployed' ELSE value END AS value,
