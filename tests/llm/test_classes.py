@@ -39,7 +39,7 @@ def brute_classes(docs):
 
 
 def test_links_that_share_a_band_are_never_lost(spark, monkeypatch):
-    monkeypatch.setattr(similar, "ROUNDS", 1)
+    monkeypatch.setattr(similar, "FIRST_WIDTH", 1)
     docs = chains(random.Random(2))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     assert {r.doc_id: r.class_id for r in fingerprints.near_classes(df).collect()} == brute_classes(docs)
