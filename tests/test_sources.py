@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import types as T
 
-from starsync.sources.files import export_csv, read_feature_collection
+from starsync.sources.files import export_csv, read_feature_collection, read_features
 from starsync.sources.jdbc import jdbc_options
 from starsync.sources.store import CommitConflict, Store, read_snapshot, write_snapshot
 
@@ -99,3 +99,53 @@ def test_compaction_and_vacuum(spark, tmp_path):
     assert store.segments("node/table/a.b") == 1
     assert store.vacuum(keep=1) == 10  # five segments, five manifests
     assert sorted(r.id for r in Store(spark, store.root).read("node/table/a.b").collect()) == [0, 1, 2, 3, 4]
+
+
+FEATURE = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+
+
+def written(path, collections, **options):
+    path.write_text("".join(json.dumps(c, **options) + "\n" for c in collections))
+    return str(path)
+
+
+def collection(ids, **more):
+    return {"type": "FeatureCollection", **more, "crs": {"type": "name", "properties": {"at": [{"a": 1}, {"b": 2}]}},
+            "features": [{"type": "Feature", "properties": {"id": i, "name": f'"{{[{i}\\'},
+                          "geometry": {"type": "Point", "coordinates": [i, 2]}} for i in ids]}
+
+
+def test_features_of_one_large_file_are_read_by_many_tasks(spark, tmp_path):
+    path = written(tmp_path / "large.geojson", [collection(range(2000)), collection([]), collection([5000, 5001])], indent=1)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7001b")  # blocks end inside features
+        spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+        assert spark.read.text(path).rdd.getNumPartitions() > 20
+        rows = read_features(spark, path, FEATURE).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted((r.id, r.name, r.geometry) for r in rows) == [
+        (i, f'"{{[{i}\\', f'{{"type":"Point","coordinates":[{i},2]}}') for i in [*range(2000), 5000, 5001]]
+
+
+def test_features_one_a_line_and_their_closing_line(spark, tmp_path):
+    lines = ['{ "type": "FeatureCollection",', '"features": [', '{"type": "Feature", "properties": {"id": 1}},',
+             '', '{"type": "Feature", "properties": {"id": 2}, "geometry": null}, {"type": "Feature", "properties": {"id": 3}}]}']
+    (tmp_path / "lines").write_text("\n".join(lines))
+    rows = read_features(spark, str(tmp_path / "lines"), FEATURE).collect()
+    assert sorted((r.id, r.name, r.geometry) for r in rows) == [(1, None, None), (2, None, None), (3, None, None)]
+    (tmp_path / "empty").write_text("")
+    assert read_features(spark, str(tmp_path / "empty"), FEATURE).collect() == []
+
+
+@pytest.mark.parametrize("options", [{}, {"bad": True}])
+def test_features_that_cannot_be_told_are_an_error(spark, tmp_path, options):
+    path = tmp_path / "x"
+    if options:
+        path.write_text('{"features": [\n{"type": "Feature", "properties": {"id": }}\n]}')
+    else:
+        written(path, [collection([1, 2])])  # all in one line
+    with pytest.raises(Exception, match="line of its own|MALFORMED"):
+        read_features(spark, str(path), FEATURE).collect()

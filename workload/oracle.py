@@ -611,6 +611,10 @@ oracle("feature_collection", """
   SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment,
          '{"type":"Point","coordinates":[' || c_custkey || ',' || c_nationkey || ']}' AS geometry
   FROM customer""")
+oracle("feature_files", """
+  SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment,
+         '{"type":"Point","coordinates":[' || c_custkey || ',' || c_nationkey || ']}' AS geometry
+  FROM customer""")
 oracle("snapshot_roundtrip", "SELECT *, CAST(2 AS BIGINT) AS version FROM orders_new")
 oracle("export_csv_dump", "SELECT * FROM orders_old")
 oracle("stream_pending", """

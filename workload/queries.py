@@ -18,7 +18,7 @@ from starsync.operators import (
 )
 from starsync.operators.render import render_sql
 from starsync.session import run_all, stage, work_dir
-from starsync.sources.files import export_csv, export_sql, read_feature_collection
+from starsync.sources.files import export_csv, export_sql, read_feature_collection, read_features
 from starsync.sources.store import Store, read_snapshot, write_snapshot
 from starsync.plans import package as packages
 from starsync.plans import sync
@@ -791,6 +791,12 @@ def preflight(spark, sf):
 
 # --- sources and sinks -------------------------------------------------------------------------
 
+_CUSTOMER_FEATURE = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
+    T.StructField("segment", T.StringType()),
+])
+
+
 @query
 def feature_collection(spark, sf):
     """Customers written as feature collections, one per line, and read back."""
@@ -809,11 +815,29 @@ def feature_collection(spark, sf):
     customer.groupBy("c_nationkey", run).agg(F.collect_list(feature).alias("features")).select(
         F.lit("FeatureCollection").alias("type"), "features"
     ).write.json(path)
-    properties = T.StructType([
-        T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
-        T.StructField("segment", T.StringType()),
-    ])
-    return read_feature_collection(spark, path, properties, multi_line=False)
+    return read_feature_collection(spark, path, _CUSTOMER_FEATURE, multi_line=False)
+
+
+@query
+def feature_files(spark, sf):
+    """Customers written as indented collections, many lines a feature, and read back by blocks."""
+    path = work_dir(spark, "feature-files")
+    feature = F.concat(
+        F.lit('  {"type": "Feature",\n   "properties": {"id": '), F.col("c_custkey").cast("string"),
+        F.lit(',\n     "name": "'), "c_name", F.lit('", "segment": "'), "c_mktsegment",
+        F.lit('"},\n   "geometry": {"type": "Point", "coordinates": ['), F.concat_ws(
+            ", ", F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")), F.lit("]}\n  }"))
+    customer = d.read(spark, sf, "customer").select(
+        (F.floor(F.col("c_custkey") / 500)).alias("run"), "c_custkey", feature.alias("value"))
+    runs = customer.groupBy("run").agg(F.max("c_custkey").alias("last"))
+    edges = runs.select("run", F.explode(F.array(
+        F.struct(F.lit(-1).cast("long").alias("c_custkey"), F.lit(
+            '{"type": "FeatureCollection", "name": "a } in [ text",\n "features": [').alias("value")),
+        F.struct((F.col("last") + 1).alias("c_custkey"), F.lit(" ]\n}").alias("value")))).alias("e")).select("run", "e.*")
+    ended = customer.join(runs, "run").select("run", "c_custkey", F.when(
+        F.col("c_custkey") < F.col("last"), F.concat("value", F.lit(","))).otherwise(F.col("value")).alias("value"))
+    ended.unionByName(edges).repartition("run").sortWithinPartitions("run", "c_custkey").select("value").write.text(path)
+    return read_features(spark, path, _CUSTOMER_FEATURE)
 
 
 @query
