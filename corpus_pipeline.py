@@ -34,7 +34,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of links of a five-word Jaccard similarity of 0.8 or more: the
-    one with the least id."""
+    one with the least id.
+
+    SimHash fingerprints within two bits are linked first, as ``op6`` does, and verified; MinHash bands
+    find the similar documents whose fingerprints differ in more bits.
+    """
     return similar.deduplicate(docs)
 
 

@@ -1,9 +1,12 @@
-"""Near duplicates by the Jaccard similarity of shingle sets, found by MinHash bands and verified.
+"""Near duplicates by the Jaccard similarity of shingle sets, found by SimHash and MinHash and verified.
 
-Documents with the same set of five-word shingles (A-Z in lower case) are one kind.  A kind is signed
-with ``LANES`` universal hashes; ``BAND`` lanes are a band, and kinds that agree in a band meet in a bucket.
-With 24 bands of 4 lanes a pair of similarity 0.8 meets with probability 1 - (1 - 0.8^4)^24, so 3 in a
-million of such pairs are missed, and fewer of those that are more alike; what meets is never lost:
+Documents with the same set of five-word shingles (A-Z in lower case) are one kind.  ``deduplicate`` begins
+with SimHash: fingerprints of these shingles that differ in two bits at most are linked through their covering
+anchors (``simhash.links``), and the links are verified.  Pairs of similarity 0.8 differ in more bits than that,
+so for what SimHash leaves apart a kind is also signed with ``LANES`` universal hashes; ``BAND`` lanes are a
+band, and kinds that agree in a band meet in a bucket.  With 24 bands of 4 lanes a pair of similarity 0.8 meets
+with probability 1 - (1 - 0.8^4)^24, so 3 in a million of such pairs are missed, and fewer of those that are
+more alike; what meets is never lost:
 
 1. *Stars.*  The members of a bucket are compared with one of them, the hub.  A bucket whose members
    are in one component then is done (that is what copies and edited copies do, however many).
@@ -29,10 +32,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starsync.llm import simhash
 from starsync.llm.chunks import kept
 from starsync.llm.common import aside, map_texts, one_of_each, ship, slices, utf8
 from starsync.llm.components import components
-from starsync.llm.fingerprints import THRESHOLD, Signer
+from starsync.llm.fingerprints import THRESHOLD, WORDS, Signer
 from starsync.session import scratch, stage
 
 LANES, BAND = 96, 4
@@ -73,7 +77,7 @@ def _text_id() -> list:
 
 
 def signed(docs: DataFrame, columns) -> DataFrame:
-    """The given columns of every row and its kind, number of shingles and bands."""
+    """The given columns of every row and its kind, number of shingles, SimHash fingerprint and bands."""
     def make():
         signer = _signer()
 
@@ -82,13 +86,14 @@ def signed(docs: DataFrame, columns) -> DataFrame:
             sets = [np.unique(signer.shingles(t)) for t in found]
             return {c: batch[c] for c in columns} | {
                 "kind": [kind_of(s) for s in sets], "n": [len(s) for s in sets],
+                "fp": np.array([simhash.fingerprint(t, WORDS) for t in found], dtype=np.uint64).view(np.int64),
                 "bands": [np.frombuffer(signer.sign(t).tobytes(), dtype=np.int64) for t in found]}
 
         return fn
 
     slim = docs.select(*columns, "text")
     kinds = ", ".join(f"`{c}` {slim.schema[c].dataType.simpleString()}" for c in columns)
-    return map_texts(slim, make, f"{kinds}, kind long, n int, bands array<long>")
+    return map_texts(slim, make, f"{kinds}, kind long, n int, fp long, bands array<long>")
 
 
 def _compare(threshold):
@@ -165,12 +170,13 @@ def _star(live: DataFrame, texts_of, threshold, width=1):
     repeat each other's pairs; a single hub is the same in as many buckets as can be.
     """
     tie = F.col("kind") if width == 1 else F.xxhash64("key", "kind")
+    smallest = F.col("tie") if width == 1 else F.struct("k", "tie")
     parts = live.groupBy("key", "c").agg(
         F.count(F.lit(1)).alias("k"), F.min_by(F.struct("kind", "n", "at", "c"), tie).alias("hub"),
         F.min(tie).alias("tie"))
     with scratch(live.sparkSession):
         chosen = stage(parts.groupBy("key", F.pmod(F.xxhash64("c", "key"), F.lit(width)).alias("slot")).agg(
-            F.min_by("hub", F.struct("k", "tie")).alias("hub")).select("key", "hub"), "similar-hubs")
+            F.min_by("hub", smallest).alias("hub")).select("key", "hub"), "similar-hubs")
         hubs = chosen.groupBy("key").agg(F.collect_list("hub").alias("hubs"))  # at most ``width`` of a bucket
 
         def able(h):
@@ -204,14 +210,33 @@ def prefix_buckets(kinds: DataFrame, texts_of, threshold) -> DataFrame:
     return ranked.where((F.col("at") < first) & F.col("often").isNotNull()).select("key", "kind", "n", "at")
 
 
-def links(kinds: DataFrame, texts_of, threshold=THRESHOLD) -> DataFrame:
-    """(a, b) links of ``kinds`` (kind, n, bands); their components are those of all similar pairs that
-    share a band.  ``texts_of(kinds)`` gives a text (kind, text) of each of the kinds asked for."""
+def simhash_links(marked: DataFrame, texts_of, threshold=THRESHOLD) -> DataFrame:
+    """(a, b) similar kinds of ``marked`` (kind, fp), by the links of SimHash: fingerprints that differ in two
+    bits at most meet at a covering anchor, and a fingerprint's kinds are compared with the least of them."""
+    with scratch(marked.sparkSession):
+        held = stage(marked.select("fp", "kind").distinct(), "similar-fingerprints")
+        hubs = stage(held.groupBy("fp").agg(F.min("kind").alias("hub")), "similar-owners")
+        same = held.join(hubs, "fp").select(F.col("hub").alias("a"), F.col("kind").alias("b"))
+        near = (
+            simhash.links(hubs.select("fp"))
+            .join(hubs.select(F.col("fp").alias("a"), F.col("hub").alias("member")), "a")
+            .join(hubs.select(F.col("fp").alias("b"), "hub"), "b")
+            .select(F.col("hub").alias("a"), F.col("member").alias("b")))
+        return stage(_verified(same.union(near).where("a <> b"), texts_of, threshold), "similar-simhash", keep=True)
+
+
+def links(kinds: DataFrame, texts_of, threshold=THRESHOLD, known: DataFrame = None) -> DataFrame:
+    """(a, b) links of ``kinds`` (kind, n, bands); their components are those of the ``known`` links and
+    all similar pairs that share a band.  ``texts_of(kinds)`` gives a text (kind, text) of each of the kinds
+    asked for."""
     rows = kinds.select("kind", "n", F.posexplode("bands").alias("p", "b")).select(
         "kind", "n", F.xxhash64("p", "b").alias("key"), F.lit(0).alias("at"))
     met = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), "similar-keys")
     live = stage(rows.join(met, "key").withColumn("c", F.col("kind")), "similar-buckets")
+    if known is not None:
+        live = _live(live, _nodes(known))
     found, rest = _star(live, texts_of, threshold)
+    found = found if known is None else found.union(known)
     nodes = _nodes(found)
     left = _live(rest, nodes).select("kind").distinct()
     if left.isEmpty():
@@ -227,7 +252,7 @@ def links(kinds: DataFrame, texts_of, threshold=THRESHOLD) -> DataFrame:
     return found
 
 
-def rooted(docs: DataFrame, columns, threshold=THRESHOLD) -> DataFrame:
+def rooted(docs: DataFrame, columns, threshold=THRESHOLD, by_simhash=False) -> DataFrame:
     """The given columns of every row of ``docs`` and ``root``, the least kind of its component."""
     named = docs.select(*columns, *_text_id(), "text")
     marked = stage(signed(named, [*columns, "t1", "t2"]), "kinds")
@@ -239,7 +264,8 @@ def rooted(docs: DataFrame, columns, threshold=THRESHOLD) -> DataFrame:
         return named.select("t1", "t2", "text").join(ids, ["t1", "t2"]).groupBy("kind").agg(
             F.first("text").alias("text"))
 
-    found = links(kinds.where("n > 0").select("kind", "n", "bands"), texts_of, threshold)
+    known = simhash_links(marked.where("n > 0"), texts_of, threshold) if by_simhash else None
+    found = links(kinds.where("n > 0").select("kind", "n", "bands"), texts_of, threshold, known)
     joined = components(found).withColumnRenamed("node", "kind")
     roots = stage(kinds.select("kind").join(joined, "kind", "left").select(
         "kind", F.coalesce("component", "kind").alias("root")), "kinds-rooted")
@@ -247,12 +273,12 @@ def rooted(docs: DataFrame, columns, threshold=THRESHOLD) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:
-    """One row of ``docs``, with all its columns, for each component of similar documents: that with
-    the least doc_id (null ids last), of repeated rows one."""
+    """One row of ``docs``, with all its columns, for each component of similar documents, by SimHash and
+    then by MinHash bands: that with the least doc_id (null ids last), of repeated rows one."""
     inner, outer = aside(docs)
     with scratch(docs.sparkSession):
         keyed = inner.withColumn("_uid", F.xxhash64(*inner.columns))
-        return outer(one_of_each(keyed, rooted(keyed, ["doc_id", "_uid"], threshold)))
+        return outer(one_of_each(keyed, rooted(keyed, ["doc_id", "_uid"], threshold, by_simhash=True)))
 
 
 def classes(docs: DataFrame, threshold=THRESHOLD) -> DataFrame:

@@ -2,9 +2,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starsync.llm import similar
+from starsync.llm import similar, simhash
 
 
 def shingle_set(text):
@@ -96,3 +97,27 @@ def test_stage_equals_brute_force_on_given_documents(spark, sf_dir):
     got = corpus_pipeline.drop_near_duplicates(spark, df, sf_dir)
     assert got.columns == df.columns
     assert sorted(r.doc_id for r in got.collect()) == brute_kept([(r.doc_id, r.text) for r in df.collect()])
+
+
+def test_simhash_links_near_duplicates_without_bands(spark, monkeypatch):
+    """Fingerprints within two bits are linked and verified, whatever the bands say."""
+    real = similar.signed
+    monkeypatch.setattr(similar, "signed", lambda docs, columns: real(docs, columns).withColumn(
+        "bands", F.array().cast("array<long>")))
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    docs = []
+    for _ in range(12):
+        words = [word() for _ in range(900)]
+        docs += [words, words[:-1] + [word()], [w.upper() for w in words] + words[:3]]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)] + [(100, "a b c"), (101, "A b  c"), (102, None), (103, "")]
+    fps = {i: simhash.fingerprint(t, 5) for i, t in docs}
+    want, seen = [], {}
+    for i, _ in docs:
+        near = [root for j, root in seen.items() if (fps[i] ^ fps[j]).bit_count() <= 2]
+        seen[i] = min(near, default=i)
+        want += [i] if seen[i] == i else []
+    assert len(want) < len(docs) - 12
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, df, None)
+    assert sorted(r.doc_id for r in got.collect()) == want
