@@ -20,7 +20,7 @@ A byte is removed if it is covered by a string of ``length`` bytes that also sta
 5. Marks go back to all documents that hold the context, and the bytes are cut out.
 
 ``remove`` can also cut passages of some number of words, however few bytes they have: the same steps
-run on texts of which each word is replaced by a code of ``CODE`` bytes.
+run on texts whose symbols are words (codes of ``CODE`` bytes) in place of bytes.
 
 Defined cases: a null text is an empty one (``remove`` leaves it null); texts shorter than
 ``length`` lose nothing; copies of a text are repeats of each other, and so are repeated rows; an
@@ -42,13 +42,14 @@ from starsync.session import scratch, stage
 
 LENGTH = 400
 GRAM = 32
-#: Bytes of the code of a word.
+#: Bytes of the code of a word, and words of the strings whose hashes file a window of words.
 CODE = 8
+WORD_GRAM = 4
 #: Windows of a text that are worked on at a time, and most windows of one context.
 BLOCK = 1 << 19
 MOST_WINDOWS = 2048
-#: Bytes of contexts that a shard is meant to hold.
-SHARD_BYTES = 2_000_000
+#: Symbols of contexts that a shard is meant to hold: few enough for a core's cache.
+SHARD_BYTES = 250_000
 #: Most distinct contexts of a hash that go to an index.
 CROWD = 1024
 
@@ -74,9 +75,11 @@ class Rolling:
         return out
 
     def hashes(self, data: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the strings in ``data``, bytes or codes of words."""
         n = len(data)
         sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(self.byte[data] * self.power[:n], out=sums[1:])
+        values = self.byte[data] if data.dtype == np.uint8 else data
+        np.cumsum(values * self.power[:n], out=sums[1:])
         h = (sums[length:] - sums[:n - length + 1]) * self.inverse[:n - length + 1]
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
@@ -96,14 +99,21 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n - width + 1], ahead[width - 1:n])
 
 
-def contexts(data: bytes, rolling: Rolling, length=LENGTH, gram=GRAM):
-    """(first window, last window, hash, digest, inner) of each context of a text.
+def symbols(data: bytes, size) -> np.ndarray:
+    """A text as symbols of ``size`` bytes: 1 for bytes, ``CODE`` for words."""
+    return np.frombuffer(data, dtype=np.uint8 if size == 1 else np.uint64)
+
+
+def contexts(data: bytes, rolling: Rolling, length=LENGTH, gram=GRAM, size=1):
+    """(first window, last window, hash, digest, inner) of each context of a text, counted in symbols
+    of ``size`` bytes.
 
     ``inner`` tells that the least hash occurs twice in the context, so that it may repeat itself.
     """
+    gram = min(gram, length)
     width = length - gram + 1
-    view = np.frombuffer(data, dtype=np.uint8)
-    for at in range(0, max(len(data) - length + 1, 0), BLOCK):
+    view = symbols(data, size)
+    for at in range(0, max(len(view) - length + 1, 0), BLOCK):
         part = view[at:at + BLOCK + length - 1]
         grams = rolling.hashes(part, gram)
         least = sliding_least(grams, width)
@@ -116,7 +126,7 @@ def contexts(data: bytes, rolling: Rolling, length=LENGTH, gram=GRAM):
             last = np.append(first[1:], n) - 1
         keys = least[first]
         for a, b, h in zip(first.tolist(), last.tolist(), keys):
-            digest = hashlib.blake2b(data[at + a:at + b + length], digest_size=8).digest()
+            digest = hashlib.blake2b(data[(at + a) * size:(at + b + length) * size], digest_size=8).digest()
             inner = np.count_nonzero(grams[a:b + width] == h) > 1
             yield at + a, at + b, h, digest, inner
 
@@ -126,17 +136,18 @@ def codes(text) -> bytes:
     return b"".join(map(xxhash.xxh64_digest, utf8(text).split()))
 
 
-def find_contexts(docs: DataFrame, length=LENGTH, encode=utf8) -> DataFrame:
+def find_contexts(docs: DataFrame, length=LENGTH, encode=utf8, size=1) -> DataFrame:
     """(doc_id, tie, first, last, h, c, own): the contexts of all texts; (doc_id, tie) names the text."""
     def make():
         forget()
         rolling = Rolling(1, BLOCK + length)
+        gram = GRAM if size == 1 else WORD_GRAM
 
         def fn(batch):
             out = {c: [] for c in ("doc_id", "tie", "first", "last", "own")}
             h, c = [], []
             for doc_id, tie, text in zip(batch["doc_id"], batch["tie"], batch["text"]):
-                for first, last, key, digest, inner in contexts(encode(text), rolling, length):
+                for first, last, key, digest, inner in contexts(encode(text), rolling, length, gram, size):
                     out["doc_id"].append(doc_id)
                     out["tie"].append(tie)
                     out["first"].append(first)
@@ -156,13 +167,13 @@ def find_contexts(docs: DataFrame, length=LENGTH, encode=utf8) -> DataFrame:
         f"doc_id {kind}, tie long, first int, last int, h long, c long, own boolean")
 
 
-def index_shard(length):
+def index_shard(length, size=1):
     """Group function: the contexts (h, c, data) of a shard to the windows (first, last) repeated."""
     from starsync.llm.run_index import RunIndex
 
     def run(_, rows):
         forget()
-        data = rows.column("data").to_pylist()
+        data = [symbols(d, size) for d in rows.column("data").to_pylist()]
         h, c = rows.column("h").to_pylist(), rows.column("c").to_pylist()
         out = {"h": [], "c": [], "first": [], "last": []}
         for i, marked in enumerate(RunIndex(data).repeated(length)):
@@ -185,14 +196,14 @@ def stretches(marked: np.ndarray) -> list:
     return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist()))
 
 
-def crowded_windows(data: DataFrame, length) -> DataFrame:
+def crowded_windows(data: DataFrame, length, size=1) -> DataFrame:
     """(h, c, first, last) of repeated windows in the contexts ``data`` (h, c, data), by counting."""
     def split(batches):
         one, two = (Rolling(seed, MOST_WINDOWS + length) for seed in (2, 3))
         for batch in batches:
             h, c = batch.column("h").to_numpy(), batch.column("c").to_numpy()
             for i, text in enumerate(batch.column("data").to_pylist()):
-                view = np.frombuffer(text, dtype=np.uint8)
+                view = symbols(text, size)
                 a, b = one.hashes(view, length), two.hashes(view, length)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(a), h[i])), pa.array(np.full(len(a), c[i])),
@@ -206,7 +217,7 @@ def crowded_windows(data: DataFrame, length) -> DataFrame:
     once = windows.groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("k"), *[F.min(p).alias(p) for p in ("h", "c", "first")],
     ).where("k = 1").groupBy("h", "c").agg(F.collect_list("first").alias("once"))
-    found = data.select("h", "c", (F.length("data") - length + 1).alias("n")).join(once, ["h", "c"], "left")
+    found = data.select("h", "c", ((F.length("data") / size).cast("int") - length + 1).alias("n")).join(once, ["h", "c"], "left")
 
     def rest(batches):
         for batch in batches:
@@ -222,16 +233,17 @@ def crowded_windows(data: DataFrame, length) -> DataFrame:
     return found.mapInArrow(rest, "h long, c long, first int, last int")
 
 
-def repeated_windows(keyed: DataFrame, length=LENGTH, encode=utf8) -> DataFrame:
+def repeated_windows(keyed: DataFrame, length=LENGTH, encode=utf8, size=1) -> DataFrame:
     """(doc_id, tie, windows): stretches (first, last) of windows of ``keyed`` (doc_id, tie, text) that
-    are repeated, for each text that has any; ``encode`` gives the bytes of a text."""
+    are repeated, for each text that has any; ``encode`` gives the bytes of a text, ``size`` of them a
+    symbol, and windows are counted in symbols."""
     ship(keyed.sparkSession)
     with scratch(keyed.sparkSession):
-        return stage(_windows(keyed, length, encode), "repeated-windows", keep=True)
+        return stage(_windows(keyed, length, encode, size), "repeated-windows", keep=True)
 
 
-def _windows(keyed: DataFrame, length, encode) -> DataFrame:
-    found = stage(find_contexts(keyed, length, encode), "contexts")
+def _windows(keyed: DataFrame, length, encode, symbol) -> DataFrame:
+    found = stage(find_contexts(keyed, length, encode, symbol), "contexts")
     # One aggregation tells which hashes can hold repeats, and whether their contexts are all alike.
     hashes = found.groupBy("h").agg(
         F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.max("own").alias("own"),
@@ -261,7 +273,7 @@ def _windows(keyed: DataFrame, length, encode) -> DataFrame:
                     h.append(p["h"])
                     c.append(p["c"])
                     crowded.append(p["crowded"])
-                    data.append(text[p["first"]:p["last"] + length])
+                    data.append(text[p["first"] * symbol:(p["last"] + length) * symbol])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h, pa.int64()), pa.array(c, pa.int64()), pa.array(crowded, pa.bool_()),
                  pa.array(data, pa.binary())], ["h", "c", "crowded", "data"])
@@ -272,8 +284,8 @@ def _windows(keyed: DataFrame, length, encode) -> DataFrame:
         .dropDuplicates(["h", "c"]), "context-texts")
     marks = (
         texts.where("NOT crowded").select("h", "c", "data", F.pmod("h", F.lit(shards)).alias("shard"))
-        .groupBy("shard").applyInArrow(index_shard(length), "h long, c long, first int, last int")
-        .unionByName(crowded_windows(texts.where("crowded"), length))
+        .groupBy("shard").applyInArrow(index_shard(length, symbol), "h long, c long, first int, last int")
+        .unionByName(crowded_windows(texts.where("crowded"), length, symbol))
         .unionByName(distinct.where("n > 1").select(  # equal contexts in several places
             "h", "c", F.lit(0).alias("first"), (F.col("last") - F.col("first")).alias("last")))
     )
@@ -294,13 +306,13 @@ def _with(keyed: DataFrame, other: DataFrame, how) -> DataFrame:
 
 def _marked(docs: DataFrame, length, words=None) -> DataFrame:
     """The rows of ``docs`` and ``windows``, the repeated windows of each (null: none); with a number of
-    words also ``phrases``, the repeated windows of that many words in the coded text."""
+    words also ``phrases``, the repeated windows of that many words, counted in words."""
     keyed = docs.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
     windows = repeated_windows(keyed.select("doc_id", "tie", "text"), length)
     marked = _with(keyed, windows, "left").select(*keyed.columns, "windows")
     if words is None:
         return marked.drop("tie")
-    phrases = repeated_windows(keyed.select("doc_id", "tie", "text"), words * CODE, codes)
+    phrases = repeated_windows(keyed.select("doc_id", "tie", "text"), words, codes, CODE)
     return _with(marked, phrases.withColumnRenamed("windows", "phrases"), "left").select(
         *docs.columns, "windows", "phrases")
 
@@ -330,12 +342,7 @@ def phrase_runs(data: bytes, phrases, words) -> list:
 
 def word_runs(phrases, words) -> list:
     """(start, end) in words of the repeated windows of ``words`` words."""
-    out = []
-    for w in phrases or ():  # only windows that begin with a word count
-        first, last = -(-w["first"] // CODE), w["last"] // CODE
-        if first <= last:
-            out.append((first, last + words))
-    return out
+    return [(w["first"], w["last"] + words) for w in phrases or ()]
 
 
 def merged(spans) -> list:

@@ -1,4 +1,4 @@
-"""A run-length compressed index of a small collection of byte strings.
+"""A run-length compressed index of a small collection of strings of bytes or other numbers.
 
 The Burrows-Wheeler transform of the collection is kept as runs of equal symbols with the suffix
 positions at both ends of each run.  In repetitive collections the runs are few.  How far the text
@@ -9,25 +9,26 @@ the statistic of the next position is one less.
 
 import numpy as np
 
-#: Symbols that are compared at a time (9 bits each in one number).
-_PACK = 7
-
-
 def _packed(symbols):
-    """The next symbols of each position as one number; behind the end comes -1."""
+    """The next symbols of each position as one number, and how many these are; behind the end comes -1."""
     n = len(symbols)
-    padded = np.concatenate([symbols, np.zeros(_PACK, dtype=np.int64)])
+    bits = int(symbols.max()).bit_length()
+    depth = 63 // bits
+    padded = np.concatenate([symbols, np.zeros(depth, dtype=np.int64)])
     key = np.zeros(n, dtype=np.int64)
-    for i in range(_PACK):
-        key <<= 9
+    for i in range(depth):
+        key <<= bits
         key |= padded[i:i + n]
-    return np.append(key, -1)
+    return np.append(key, -1), depth
+
 
+def suffix_array(packed, depth):
+    """Positions in the order of their suffixes, by prefix doubling over the groups still tied.
 
-def suffix_array(packed):
-    """Positions in the order of their suffixes, by prefix doubling over the groups still tied."""
+    No two suffixes are equal, so sorts need not be stable.
+    """
     n = len(packed) - 1
-    order = np.argsort(packed[:n], kind="stable")
+    order = np.argsort(packed[:n])
     values = packed[order]
     head = np.ones(n, dtype=bool)
     head[1:] = values[1:] != values[:-1]
@@ -35,14 +36,13 @@ def suffix_array(packed):
     first = np.maximum.accumulate(np.where(head, np.arange(n), 0))
     rank[order] = first
     rank[n] = -1
-    depth = _PACK
     tied = ~head
     tied[:-1] |= tied[1:]
     slots = np.flatnonzero(tied)
     while len(slots):
         at = order[slots]
         key = rank[at] * (n + 1) + rank[np.minimum(at + depth, n)] + 1
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         at, key = at[by], key[by]
         order[slots] = at
         head = np.ones(len(slots), dtype=bool)
@@ -56,7 +56,7 @@ def suffix_array(packed):
     return order
 
 
-def common_length(packed, symbols, a, b):
+def common_length(packed, depth, symbols, a, b):
     """Length of the common prefix of the suffixes at each pair of positions."""
     n = len(symbols)
     length = np.zeros(len(a), dtype=np.int64)
@@ -64,10 +64,10 @@ def common_length(packed, symbols, a, b):
     while len(live):  # whole packs
         same = packed[np.minimum(a[live] + length[live], n)] == packed[np.minimum(b[live] + length[live], n)]
         live = live[same]
-        length[live] += _PACK
+        length[live] += depth
     tail = np.append(symbols, -1)
     live = np.arange(len(a))
-    for _ in range(_PACK):  # then single symbols
+    for _ in range(depth):  # then single symbols
         same = tail[np.minimum(a[live] + length[live], n)] == tail[np.minimum(b[live] + length[live], n)]
         live = live[same]
         length[live] += 1
@@ -78,13 +78,19 @@ class RunIndex:
     """Runs of the transform of strings that are each followed by an end mark."""
 
     def __init__(self, strings):
+        strings = [np.frombuffer(s, dtype=np.uint8) if isinstance(s, bytes) else s for s in strings]
         sizes = np.array([len(s) for s in strings], dtype=np.int64)
         self.starts = np.cumsum(sizes + 1) - sizes - 1
-        data = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8).astype(np.int64) + 2
-        data[self.starts + sizes] = 1  # the end marks; 0 is what stands behind the last one
+        values = np.concatenate(strings)
+        if values.dtype != np.uint8:  # numbers of any size get small names
+            values = np.unique(values, return_inverse=True)[1]
+        data = np.ones(len(values) + len(strings), dtype=np.int64)  # end marks; 0 stands behind the last one
+        own = np.ones(len(data), dtype=bool)
+        own[self.starts + sizes] = False
+        data[own] = values.astype(np.int64) + 2
         self.symbols, self.sizes = data, sizes
-        packed = _packed(data)
-        order = suffix_array(packed)
+        packed, depth = _packed(data)
+        order = suffix_array(packed, depth)
         before = data[order - 1]
         before[order == 0] = -1  # nothing stands before the first position
         head = np.ones(len(order), dtype=bool)
@@ -97,7 +103,7 @@ class RunIndex:
         self.run_last = order[np.append(at[1:], len(order)) - 1]
         # How far the first suffix of a run agrees with the last one of the run before.
         self.agree = np.concatenate([[0], common_length(
-            packed, data, self.run_first[1:], self.run_last[:-1])])
+            packed, depth, data, self.run_first[1:], self.run_last[:-1])])
 
     def statistics(self):
         """For each position, the longest match of the text from there with any other position.

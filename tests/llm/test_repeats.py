@@ -100,3 +100,14 @@ def test_cut_texts_stay_text():
     data = "aé日b".encode()
     assert repeats.whole_characters(data, [(2, 5)]) == []
     assert repeats.without(data, repeats.whole_characters(data, [(1, 6)])).decode() == "ab"
+
+
+def test_index_takes_words_as_symbols():
+    """Codes of words are symbols of their own: repeats are counted from word to word."""
+    rng = random.Random(8)
+    for length in (1, 2, 4):
+        texts = [np.array([rng.choice([3, 2**63 + 5, 2**64 - 1, 7]) for _ in range(rng.randrange(1, 40))], np.uint64)
+                 for _ in range(6)]
+        seen = Counter(t[i:i + length].tobytes() for t in texts for i in range(len(t) - length + 1))
+        assert [m.tolist() for m in RunIndex(texts).repeated(length)] == [
+            [seen[t[i:i + length].tobytes()] > 1 for i in range(len(t) - length + 1)] for t in texts]
