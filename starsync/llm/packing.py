@@ -21,7 +21,8 @@ are ignored.
 """
 
 import bisect
-import struct
+import re
+import string
 import zlib
 
 import numpy as np
@@ -43,9 +44,6 @@ TOKENIZER = "byte_bpe_50k.json"
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
-pack_id = struct.Struct("<I").pack  # one id as a little-endian unsigned 32-bit integer
-
-
 class Encoder:
     """Ids of texts by a tokenizer file of the byte-level kind; built once per worker."""
 
@@ -54,45 +52,55 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.encode = ChunkMemo(self.encode_many).encode
-        self.letters = dict(enumerate(byte_characters()))
-        self.words = Memo(lambda words: map(self.word, words))
-        self.marks = dict(zip(MARKS, self.whole(MARKS)))
+        space = byte_characters()[ord(" ")]
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.begins[[i for token, i in vocabulary.items() if token.startswith(space)]] = True
+        self.words = Memo(self.encode_words)
+        self.tails = Memo(self.whole)
 
     def whole(self, texts) -> list:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def word(self, text) -> bytes:
-        """Ids of a pre-token, straight from the tokenizer's model."""
-        tokens = self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(self.letters))
-        return b"".join([pack_id(t.id) for t in tokens])
+    def encode_words(self, words) -> list:
+        """Ids of each word (a space and letters, a pre-token of its own).
+
+        They are encoded as one text; the token that begins with a space is the first of a word.
+        """
+        ids = np.frombuffer(self.whole(["".join(words)])[0], dtype="<u4")
+        at = np.flatnonzero(self.begins[ids])
+        if len(at) != len(words):  # a tokenizer that splits otherwise
+            return self.whole(words)
+        held, at = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+        return [held[a:b] for a, b in zip(at, at[1:])]
 
     def encode_many(self, texts) -> list:
         """Ids of each text.
 
-        A space and letters are one pre-token, and a mark behind it is another: most texts here are
-        such a word or a word and a mark, and words repeat.  All others go through the tokenizer.
+        A space and letters are one pre-token, and what a mark begins behind it are others: most texts
+        here are such a word or a word and a tail, and both repeat.  All others go through the tokenizer.
         """
-        out, words, others = [None] * len(texts), {}, []
+        out, words, others = [None] * len(texts), [], []
         for i, t in enumerate(texts):
-            mark = t[-1:] if t[-1:] in self.marks else ""
-            word = t[:-1] if mark else t
-            if word[:1] == " " and word[1:].isalpha() and max(word) < LAST_LETTER:
-                words[i] = word, mark
+            word = WORD.match(t)
+            if word and (word.end() == len(t) or t[word.end()] in MARKS):
+                words.append((i, word[0], t[word.end():]))
             else:
                 others.append(i)
-        self.words.learn({word for word, _ in words.values()})
-        for i, (word, mark) in words.items():
-            out[i] = self.words.young[word] + self.marks.get(mark, b"")
+        self.words.learn({word for _, word, _ in words})
+        self.tails.learn({tail for _, _, tail in words})
+        for i, word, tail in words:
+            out[i] = self.words.young[word] + self.tails.young[tail]
         for i, ids in zip(others, self.whole([texts[i] for i in others])):
             out[i] = ids
         return out
 
 
-#: Marks that are a pre-token when they end a chunk behind a letter.
-MARKS = [".", ",", ";", ":", "!", "?"]
-#: Letters below this code point are letters in all Unicode versions of the libraries.
-LAST_LETTER = "\u0250"
+#: A space and letters that are letters in all Unicode versions of the libraries.
+WORD = re.compile(" [A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+#: Marks that end a pre-token of letters and begin another, whatever follows.
+MARKS = frozenset(string.punctuation) - {"'"}
 
 
 def cut(n: int, size: int) -> list:

@@ -122,3 +122,18 @@ def test_special_strings_and_spaces_are_the_librarys(spark, sf_dir):
     texts += texts_of(spark, sf_dir)[:50]
     for text, ids in zip(texts, encoder.encode(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_new_words_and_their_tails_are_encoded_together():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(packing.TOKENIZER)
+    tokenizer, encoder = Tokenizer.from_file(path), packing.Encoder(path)
+    words = [chr(97 + i % 26) * 2 + "çthonre" * (i % 3) + chr(97 + i // 26) for i in range(300)]
+    tails = ["", ".", "###", ".\nErß", '",', "<|endoftext|>b", "-x", "!  ", "_1"]
+    text = "x " + " ".join(w + tails[i % len(tails)] for i, w in enumerate(words))
+    calls, whole = [], encoder.whole
+    encoder.whole = lambda texts: calls.append(len(texts)) or whole(texts)
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == tokenizer.encode(
+        text, add_special_tokens=False).ids
+    assert sum(calls) < 20  # one text holds all words, not one call for each
