@@ -12,9 +12,10 @@ more alike; what meets is never lost:
    are in one component then is done (that is what copies and edited copies do, however many).
 2. *Prefixes.*  Kinds that are left (many unlike kinds that share a passage) are filed again, under the
    first n - ceil(t n) + 1 of their shingles, those first that the fewest of them have.  Kinds that are
-   similar enough share one of these, and a shared passage comes last.  Rounds of stars follow, with more and
-   more hubs from the smallest components, for the pairs across components that sizes and places allow, until
-   each bucket is in one component or all its members have been hubs.
+   similar enough share one of these, and a shared passage comes last.  Rounds of stars follow, with many
+   hubs from the smallest components, for the pairs across components that sizes, places and sketches allow,
+   until each bucket is in one component or all its members have been hubs.  Sketches never keep similar
+   sets apart.
 
 A pair is verified on its texts: ``HUBS`` hubs and blocks of about ``BLOCK`` of their pairs are dealt out
 together, each member's text once, and streamed.  No array of shingles is shuffled with a pair, no bucket
@@ -40,9 +41,11 @@ from starsync.llm.fingerprints import THRESHOLD, WORDS, Signer
 from starsync.session import scratch, stage
 
 LANES, BAND = 96, 4
-#: Hubs of a bucket in the first round after kinds are filed under their shingles, eight times as many with
-#: each further round, and the most of a round.  Rounds go on until no bucket has two components.
+#: Hubs of a bucket in the first round after kinds are filed under their shingles, and in the later ones.
+#: Rounds go on until no bucket has two components.
 FIRST_WIDTH, MOST_WIDTH = 8, 1024
+#: Words of 64 bits in the sketch of a set.
+SKETCH = 16
 #: Hubs whose sets a task holds, and pairs of them that are compared in one go.
 HUBS, BLOCK = 256, 4000
 
@@ -70,10 +73,25 @@ def alike(a: np.ndarray, b: np.ndarray, threshold) -> bool:
     return both * (1 + threshold) >= (len(a) + len(b)) * threshold - 1e-6
 
 
-def _text_id() -> list:
-    """The name of a text in 128 bits."""
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """``64 * SKETCH`` bits, of which each shingle flips one: the bits in which two sketches differ are at
+    most as many as the shingles that only one of the sets has."""
+    at = np.bincount((shingles.view(np.uint64) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH)
+    return np.packbits((at & 1).astype(np.uint8)).view(np.int64)
+
+
+def _may_reach(threshold, h):
+    """Whether the sketches of a row and of ``h`` allow the similarity: sets of m and n shingles, d of which
+    are in one set alone, have (m + n - d) / (m + n + d)."""
+    differ = F.aggregate(
+        F.zip_with("bits", h["bits"], lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda d, k: d + k)
+    return differ * (1 + threshold) <= (F.col("n") + h["n"]) * (1 - threshold) + 1e-6
+
+
+def _text_id(columns) -> list:
+    """The name of a text in 128 bits, and one of the row that has it."""
     text = F.coalesce("text", F.lit(""))
-    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), F.xxhash64(*columns).alias("t3")]
 
 
 def signed(docs: DataFrame, columns) -> DataFrame:
@@ -99,11 +117,15 @@ def signed(docs: DataFrame, columns) -> DataFrame:
 def _compare(threshold):
     """Task function: the hubs of a block (text, no ``hubs``) and then its members to links (a, b)."""
     def run(batches):
-        block, own = None, {}
+        block, own, last = None, {}, None
         for batch in batches:
             for part in slices(batch, "text"):
                 a, b = [], []
                 for row in part.to_pylist():
+                    place = row["group"], row["block"], row["hubs"] is None, row["kind"]
+                    if place == last:  # a row that the table has several times
+                        continue
+                    last = place
                     if block != (row["group"], row["block"]):
                         block, own = (row["group"], row["block"]), {}
                     shingles = _shingles(row["text"])
@@ -140,10 +162,12 @@ def _verified(pairs: DataFrame, texts_of, threshold) -> DataFrame:
             "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "kind",
             F.lit(None).cast("array<long>").alias("hubs"))
         wanted = stage(members.unionByName(each), "similar-wanted")
-        rows = wanted.join(texts_of(wanted.select("kind").distinct()), "kind").select(
-            "group", "block", "kind", "hubs", "text")
+        rows = texts_of(wanted).select("group", "block", "kind", "hubs", "text")
+        # With few blocks, as many tasks as they have work for.
+        few = blocks.agg(F.sum("blocks")).first()[0] < parts
+        dealt = rows.repartition("group", "block") if few else rows.repartition(parts, "group", "block")
         # Nulls first: a block's hubs before its members.
-        dealt = rows.repartition(parts, "group", "block").sortWithinPartitions("group", "block", "hubs")
+        dealt = dealt.sortWithinPartitions("group", "block", "hubs", "kind")
         return stage(dealt.mapInArrow(_compare(threshold), "a long, b long"), "similar-links", keep=True)
 
 
@@ -167,12 +191,14 @@ def _star(live: DataFrame, texts_of, threshold, width=1):
 
     The components of a bucket are dealt to ``width`` slots; the smallest of a slot gives the hub.  Where
     there are many, which one of equals that is differs by bucket, so that buckets of the same kinds do not
-    repeat each other's pairs; a single hub is the same in as many buckets as can be.
+    repeat each other's pairs; a single hub is the same in as many buckets as can be.  Rows with ``bits``
+    give only the pairs that their sketches allow.
     """
+    sketched = ["bits"] if "bits" in live.columns else []
     tie = F.col("kind") if width == 1 else F.xxhash64("key", "kind")
     smallest = F.col("tie") if width == 1 else F.struct("k", "tie")
     parts = live.groupBy("key", "c").agg(
-        F.count(F.lit(1)).alias("k"), F.min_by(F.struct("kind", "n", "at", "c"), tie).alias("hub"),
+        F.count(F.lit(1)).alias("k"), F.min_by(F.struct("kind", "n", "at", "c", *sketched), tie).alias("hub"),
         F.min(tie).alias("tie"))
     with scratch(live.sparkSession):
         chosen = stage(parts.groupBy("key", F.pmod(F.xxhash64("c", "key"), F.lit(width)).alias("slot")).agg(
@@ -181,8 +207,9 @@ def _star(live: DataFrame, texts_of, threshold, width=1):
 
         def able(h):
             least = F.least(F.col("n") - F.col("at"), h["n"] - h["at"])
-            return ((h["c"] != F.col("c")) & (~F.col("own") | (F.col("kind") > h["kind"])) & (
+            sized = ((h["c"] != F.col("c")) & (~F.col("own") | (F.col("kind") > h["kind"])) & (
                 least * (1 + threshold) >= (F.col("n") + h["n"]) * threshold - 1e-6))
+            return sized & _may_reach(threshold, h) if sketched else sized
 
         own = F.exists("hubs", lambda h: h["kind"] == F.col("kind"))
         pairs = live.join(hubs, "key").withColumn("own", own).select(
@@ -193,21 +220,26 @@ def _star(live: DataFrame, texts_of, threshold, width=1):
 
 
 def prefix_buckets(kinds: DataFrame, texts_of, threshold) -> DataFrame:
-    """(key, kind, n, at): the kinds under the first of their shingles, from rare to frequent among them."""
+    """(key, kind, n, at, bits): the kinds under the first of their shingles, from rare to frequent among them,
+    and their sketches."""
     def make():
         def fn(batch):
-            return {"kind": batch["kind"], "shingles": [_shingles(t).view(np.int64) for t in batch["text"]]}
+            sets = [_shingles(t) for t in batch["text"]]
+            return {"kind": batch["kind"], "shingles": [s.view(np.int64) for s in sets],
+                    "bits": [sketch(s) for s in sets]}
 
         return fn
 
-    rows = stage(map_texts(texts_of(kinds).select("kind", "text"), make, "kind long, shingles array<long>").select(
-        "kind", F.size("shingles").alias("n"), F.explode("shingles").alias("key")), "similar-shingles")
+    once = texts_of(kinds).groupBy("kind").agg(F.first("text").alias("text"))
+    sets = stage(map_texts(once, make, "kind long, shingles array<long>, bits array<long>"), "similar-sets")
+    rows = sets.select("kind", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
     often = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "similar-often")
     ranked = rows.join(often, "key", "left").withColumn("at", F.row_number().over(
         Window.partitionBy("kind").orderBy(F.coalesce("often", F.lit(1)), "key")) - 1)
     # Shingles that one kind alone has take their places, but make no bucket.
     first = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
-    return ranked.where((F.col("at") < first) & F.col("often").isNotNull()).select("key", "kind", "n", "at")
+    return ranked.where((F.col("at") < first) & F.col("often").isNotNull()).join(
+        sets.select("kind", "bits"), "kind").select("key", "kind", "n", "at", "bits")
 
 
 def simhash_links(marked: DataFrame, texts_of, threshold=THRESHOLD) -> DataFrame:
@@ -227,8 +259,8 @@ def simhash_links(marked: DataFrame, texts_of, threshold=THRESHOLD) -> DataFrame
 
 def links(kinds: DataFrame, texts_of, threshold=THRESHOLD, known: DataFrame = None) -> DataFrame:
     """(a, b) links of ``kinds`` (kind, n, bands); their components are those of the ``known`` links and
-    all similar pairs that share a band.  ``texts_of(kinds)`` gives a text (kind, text) of each of the kinds
-    asked for."""
+    all similar pairs that share a band.  ``texts_of(wanted)`` gives the rows of ``wanted`` a text of their
+    ``kind``."""
     rows = kinds.select("kind", "n", F.posexplode("bands").alias("p", "b")).select(
         "kind", "n", F.xxhash64("p", "b").alias("key"), F.lit(0).alias("at"))
     met = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), "similar-keys")
@@ -248,21 +280,21 @@ def links(kinds: DataFrame, texts_of, threshold=THRESHOLD, known: DataFrame = No
         if not more.isEmpty():
             found = found.union(more)
             nodes = _nodes(found)
-        live, width = _live(rest, nodes), min(8 * width, MOST_WIDTH)
+        live, width = _live(rest, nodes), MOST_WIDTH
     return found
 
 
 def rooted(docs: DataFrame, columns, threshold=THRESHOLD, by_simhash=False) -> DataFrame:
     """The given columns of every row of ``docs`` and ``root``, the least kind of its component."""
-    named = docs.select(*columns, *_text_id(), "text")
-    marked = stage(signed(named, [*columns, "t1", "t2"]), "kinds")
+    named = docs.select(*columns, *_text_id(columns), "text")
+    marked = stage(signed(named, [*columns, "t1", "t2", "t3"]), "kinds")
     kinds = stage(marked.groupBy("kind").agg(
-        F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(F.struct("t1", "t2")).alias("t")), "kinds-once")
+        F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(F.struct("t1", "t2", "t3")).alias("t")), "kinds-once")
 
     def texts_of(wanted):
-        ids = stage(kinds.join(wanted, "kind").select("kind", "t.*"), "kinds-wanted")
-        return named.select("t1", "t2", "text").join(ids, ["t1", "t2"]).groupBy("kind").agg(
-            F.first("text").alias("text"))
+        # One row of a kind gives its text; if the table has that row several times, it comes as often.
+        ids = stage(wanted.join(kinds.select("kind", "t"), "kind").select(*wanted.columns, "t.*"), "kinds-wanted")
+        return named.select("t1", "t2", "t3", "text").join(ids, ["t1", "t2", "t3"]).select(*wanted.columns, "text")
 
     known = simhash_links(marked.where("n > 0"), texts_of, threshold) if by_simhash else None
     found = links(kinds.where("n > 0").select("kind", "n", "bands"), texts_of, threshold, known)

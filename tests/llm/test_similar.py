@@ -121,3 +121,27 @@ def test_simhash_links_near_duplicates_without_bands(spark, monkeypatch):
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     got = corpus_pipeline.drop_near_duplicates(spark, df, None)
     assert sorted(r.doc_id for r in got.collect()) == want
+
+
+def test_sketches_drop_unlike_pairs_of_a_bucket_and_no_similar_ones(spark):
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 2**63, 300).astype(np.uint64)
+    # Copies of one set with up to 120 shingles replaced; a third of them at most are similar.
+    sets = [np.unique(np.concatenate([base[k:], rng.integers(0, 2**63, k).astype(np.uint64)]))
+            for k in range(0, 126, 6) for _ in range(3)]
+    rows = [(1, i, len(s), 0, i, similar.sketch(s).tolist()) for i, s in enumerate(sets)]
+    live = spark.createDataFrame(rows, "key long, kind long, n int, at int, c long, bits array<long>")
+    asked = []
+
+    def texts_of(wanted):
+        asked.extend(tuple(r) for r in wanted.where("hubs IS NOT NULL").selectExpr(
+            "explode(hubs) a", "kind b").collect())
+        return wanted.withColumn("text", F.lit(""))
+
+    similar._star(live, texts_of, 0.8, 1024)
+    pairs = {frozenset(p) for p in asked}
+    hubs = {a for a, _ in asked}
+    like = {frozenset((a, b)) for a in hubs for b in range(len(sets))
+            if a != b and similar.alike(sets[a], sets[b], 0.8)}
+    assert like <= pairs
+    assert len(pairs) < 400  # of 1900 or so that are of like sizes
